@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -49,6 +49,9 @@ class LinearModel:
     def probability(self) -> Column:
         return sigmoid(self.margin())
 
+    def at_version(self, version: int) -> LinearModel:
+        return replace(self, version=version)
+
 
 def sigmoid(margin: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-margin))

@@ -20,9 +20,8 @@ import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window, WindowSpec
 
 SEGMENT = "__segment"
@@ -43,6 +42,11 @@ class SkewPolicy:
 DEFAULT_POLICY = SkewPolicy()
 
 
+def _whole(order: Sequence[str]) -> Column:
+    """A key shared by all rows, for scans over a whole frame; computed, so the join on it stays a hash join."""
+    return F.pmod(F.xxhash64(*order), F.lit(1))
+
+
 @dataclass(frozen=True)
 class HeavyKeys:
     """Estimated row counts of the heavy keys of one column (``None`` stands for the null key)."""
@@ -67,7 +71,7 @@ def find_heavy_keys(df: DataFrame, column: str | None, policy: SkewPolicy = DEFA
     """Keys of ``column`` that hold more rows than one task should take. ``None``: the whole frame is one key."""
     if column is None:
         total = df.count()
-        return HeavyKeys(None, {"all": total} if total > policy.min_rows else {}, policy)
+        return HeavyKeys(None, {0: total} if total > policy.min_rows else {}, policy)
     most = min(policy.sketch_items, math.ceil(1 / policy.share))
     stats = df.select(column).agg(
         F.count(F.lit(1)).alias("total"),
@@ -86,7 +90,7 @@ def _cut_points(df: DataFrame, heavy: HeavyKeys, order: Sequence[str]) -> DataFr
     policy, estimated = heavy.policy, sum(heavy.rows.values())
     wanted = min(policy.max_cuts, max(2, math.ceil(estimated / policy.min_rows) * 2))
     fraction = min(1.0, wanted * policy.samples_per_cut / estimated)
-    key = F.lit("all") if heavy.column is None else F.col(heavy.column)
+    key = _whole(order) if heavy.column is None else F.col(heavy.column)
     samples = (
         df.where(heavy.matches())
         .sample(fraction, seed=11)
@@ -119,7 +123,7 @@ def segmented(df: DataFrame, heavy: HeavyKeys, order: Sequence[str]) -> DataFram
     if not heavy:
         return df.withColumn(SEGMENT, F.lit(0))
     cuts = _cut_points(df, heavy, order).select(F.col("k").alias("__k"), F.col("cuts").alias("__cuts"))
-    key = F.lit("all") if heavy.column is None else F.col(heavy.column)
+    key = _whole(order) if heavy.column is None else F.col(heavy.column)
     joined = df.join(F.broadcast(cuts), key.eqNullSafe(F.col("__k")), "left")
     number = _count_below(F.col("__cuts"), F.struct(*order), heavy.policy.max_cuts)
     return joined.withColumn(SEGMENT, F.when(F.col("__cuts").isNull(), 0).otherwise(number)).drop("__k", "__cuts")

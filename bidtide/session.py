@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_local_dirs: dict[str, str] = {}
+_local_dirs: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -31,8 +31,8 @@ def shared_dir(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     app = spark.sparkContext.applicationId
     if app not in _local_dirs:
-        _local_dirs[app] = tempfile.mkdtemp(prefix="bidtide-")
-    return _local_dirs[app]
+        _local_dirs[app] = tempfile.TemporaryDirectory(prefix="bidtide-", ignore_cleanup_errors=True)
+    return _local_dirs[app].name
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
