@@ -27,5 +27,5 @@ def from_serving_text(text: Column | str) -> Column:
 
 
 def milliseconds(width_ms: int) -> Column:
-    """A day-time interval literal of ``width_ms``."""
-    return F.make_dt_interval(secs=F.lit(width_ms / 1000.0).cast("decimal(18,6)"))
+    """A day-time interval literal of ``width_ms``; streaming joins recognise time bounds only as literals."""
+    return F.expr(f"INTERVAL '{width_ms / 1000:.3f}' SECOND")

@@ -12,8 +12,14 @@ from pyspark.sql import types as T
 
 from bidtide.functions.times import from_millis
 
-EVENTS = T.StructType.fromDDL(
-    "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+EVENTS = (
+    T.StructType()
+    .add("event_id", T.LongType())
+    .add("ts", T.TimestampNTZType())
+    .add("user_id", T.LongType())
+    .add("event_type", T.StringType())
+    .add("value", T.DoubleType())
+    .add("props", T.StringType())
 )
 
 # Operating systems by user, publishers (with site and category) by event.

@@ -15,14 +15,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
-def _plain(value: object) -> object:
-    """A pandas cell as a Python value, missing ones as None."""
-    if value is None or value is pd.NaT or value is pd.NA or (isinstance(value, float) and value != value):
-        return None
-    return value.item() if hasattr(value, "item") else value
+_INTEGERS = ("tinyint", "smallint", "int", "bigint")
 
 
-def _resolver(payload: Sequence[str], values: Sequence[str], inclusive: bool):
+def _cells(column: pd.Series, kind: str) -> list[object]:
+    """A pandas column as Python values. Missing cells become None; integers that pandas widened to floats
+    because of missing cells become integers again."""
+    integer = kind in _INTEGERS
+    return [None if pd.isna(v) else int(v) if integer else v for v in column.tolist()]
+
+
+def _resolver(payload: Sequence[str], values: Sequence[str], kinds: dict[str, str], inclusive: bool):
     find = bisect_right if inclusive else bisect_left
 
     def resolve(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -30,15 +33,11 @@ def _resolver(payload: Sequence[str], values: Sequence[str], inclusive: bool):
         versions = {row[0]: tuple(row) for row in kept}
         waiting = [tuple(row) for row in waiting]
         for chunk in chunks:
-            for side, columns in (("version", values), ("probe", payload)):
-                part = chunk[chunk["side"] == side]
-                rows = zip(part["t"], *[part[("v_" if side == "version" else "p_") + c] for c in columns])
-                for row in rows:
-                    row = tuple(_plain(cell) for cell in row)
-                    if side == "probe":
-                        waiting.append(row)
-                    else:
-                        versions[row[0]] = row
+            is_probe = chunk["side"] == "probe"
+            new, probes = chunk[~is_probe], chunk[is_probe]
+            rows = zip(_cells(new["t"], "bigint"), *[_cells(new["v_" + c], kinds[c]) for c in values])
+            versions.update((row[0], row) for row in rows)
+            waiting.extend(zip(_cells(probes["t"], "bigint"), *[_cells(probes["p_" + c], kinds[c]) for c in payload]))
         watermark = state.getCurrentWatermarkMs()
         times = sorted(versions)
         ready = [row for row in waiting if row[0] <= watermark]
@@ -102,7 +101,7 @@ def stream_asof_join(
     version = ", ".join(["t BIGINT", *[f"`{n}` {types[n[2:]]}" for n in v_names]])
     output = ", ".join([f"key {types[key]}", row, *[f"`{n}` {types[n[2:]]}" for n in v_names]])
     resolved = stacked.groupBy("key", "lane").applyInPandasWithState(
-        _resolver(payload, values, inclusive),
+        _resolver(payload, values, types, inclusive),
         output,
         f"versions ARRAY<STRUCT<{_fields(version)}>>, waiting ARRAY<STRUCT<{_fields(row)}>>",
         "append",
