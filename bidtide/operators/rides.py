@@ -15,8 +15,14 @@ def categorised(rides: DataFrame) -> DataFrame:
     return rides.withColumn("fare_category", fare_category(fare))
 
 
+def _once(rows: DataFrame, **columns: Column) -> DataFrame:
+    """Compute columns exactly once per row. As generator output they are not repeated in each expression
+    and filter that uses them, which matters for parsed JSON."""
+    return rows.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def _parsed(messages: DataFrame) -> DataFrame:
-    """Add the record of each message as a variant, or null where the text is not exactly one JSON value.
+    """Add the record of each message: its fields if it is an object, and what kind of value the fare is.
 
     Spark's JSON reader stops after the first value. Parsing the text as the first of two elements, with a
     number derived from the text as the second, exposes anything left over.
@@ -30,23 +36,23 @@ def _parsed(messages: DataFrame) -> DataFrame:
         {"allowSingleQuotes": "false"},
     )
     complete = (F.size("__doc") == 2) & (F.try_variant_get(F.get("__doc", 1), "$", "bigint") == check)
-    return (
-        messages.withColumn("__text", text)
-        .withColumn("__doc", doc)
-        .withColumn("__ride", F.when(complete, F.get("__doc", 0)))
-        .withColumn("__root", F.schema_of_variant("__ride"))
-        .withColumn("__fare", F.expr("try_variant_get(__ride, '$.fare', 'variant')"))
-        .withColumn("__kind", F.schema_of_variant("__fare"))
+    documents = _once(messages.withColumn("__text", text), __doc=doc)
+    records = _once(
+        documents,
+        __complete=F.coalesce(complete, F.lit(False)),
+        __fields=F.when(complete, F.try_variant_get(F.get("__doc", 0), "$", "map<string,variant>")),
     )
+    fare = F.col("__fields").getItem("fare")
+    return records.withColumns({"__fare": fare, "__kind": F.schema_of_variant(fare)})
 
 
 def _is_object() -> Column:
-    return F.coalesce(F.col("__root").startswith("OBJECT"), F.lit(False))
+    return F.col("__fields").isNotNull()
 
 
 def _missing() -> Column:
-    """The record has no ``fare`` key at all. A JSON null fare shows as VOID in the record's schema."""
-    return F.col("__fare").isNull() & F.col("__kind").isNull()
+    """The record has no ``fare`` key at all; a JSON null fare has the kind VOID."""
+    return F.col("__kind").isNull()
 
 
 def _number() -> Column:
@@ -57,18 +63,23 @@ def _number() -> Column:
 
 
 def _blank() -> Column:
-    """Null, empty text, empty array or empty object."""
-    empty = F.try_variant_get("__fare", "$", "string").isin("", "[]", "{}") & ~F.col("__kind").isin("BIGINT")
-    return F.col("__kind").isNull() | (F.col("__kind") == "VOID") | F.coalesce(empty, F.lit(False))
-
-
-def _with_category(category: Column) -> Column:
-    """The record as JSON text with ``fare_category`` set; all other keys are kept as they are."""
-    others = F.map_filter(F.col("__ride").cast("map<string,variant>"), lambda k, _: k != "fare_category")
-    body = F.to_json(others, {"ignoreNullFields": "false"})
-    inner = F.substr(body, F.lit(2), F.length(body) - 2)
-    entry = F.concat(F.lit('"fare_category":"'), category, F.lit('"}'))
-    return F.concat(F.lit("{"), inner, F.when(inner == "", "").otherwise(","), entry)
+    """Missing, null, empty text, empty array or empty object."""
+    kind = F.col("__kind")
+    empty = F.try_variant_get("__fare", "$", "string").isin("", "[]", "{}")
+    return _missing() | (kind == "VOID") | F.coalesce(empty, F.lit(False))
+
+
+def _with_category(rides: DataFrame, fare: Column) -> DataFrame:
+    """The records as JSON text with ``fare_category`` set; all other keys are kept as they are."""
+    others = F.map_filter("__fields", lambda k, _: k != "fare_category")
+    rows = _once(rides, __category=fare_category(fare), __body=F.to_json(others, {"ignoreNullFields": "false"}))
+    entry = F.concat(F.lit('"fare_category":"'), F.col("__category"), F.lit('"}'))
+    body = F.col("__body")
+    # The object without its closing brace, then the new entry.
+    text = F.when(body == "{}", F.concat(F.lit("{"), entry)).otherwise(
+        F.concat(F.substr(body, F.lit(1), F.length(body) - 1), F.lit(","), entry)
+    )
+    return rows.select(text.alias("value"))
 
 
 def categorise_tolerant(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -78,17 +89,16 @@ def categorise_tolerant(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     fare counts as 0. Rejected are nulls, invalid UTF-8, text that is not one JSON object, and fares
     that are not numbers.
     """
-    parsed = _parsed(messages)
-    fare = F.coalesce(_number(), F.when(_blank(), 0.0))
+    fare = F.when(_blank(), 0.0).otherwise(_number())
+    parsed = _once(_parsed(messages), __number=fare)
     reason = (
         F.when(F.col("__text").isNull(), "not text")
-        .when(F.col("__ride").isNull(), "not JSON")
+        .when(~F.col("__complete"), "not JSON")
         .when(~_is_object(), "not an object")
-        .when(fare.isNull(), "fare is not a number")
+        .when(F.col("__number").isNull(), "fare is not a number")
     )
-    judged = parsed.withColumn("__number", fare).withColumn("reason", reason)
-    good = judged.where(F.col("reason").isNull()).select(_with_category(fare_category("__number")).alias("value"))
-    bad = judged.where(F.col("reason").isNotNull()).select("value", "reason")
+    good = _with_category(parsed.where(reason.isNull()), F.col("__number"))
+    bad = parsed.where(reason.isNotNull()).select("value", reason.alias("reason"))
     return good, bad
 
 
@@ -97,7 +107,7 @@ def categorise_strict(messages: DataFrame) -> DataFrame:
     parsed = _parsed(messages)
     fail = F.raise_error(F.concat(F.lit("unusable ride: "), F.coalesce("__text", F.lit("null")))).cast("double")
     fare = F.when(_is_object() & _missing(), 0.0).otherwise(F.coalesce(F.when(_is_object(), _number()), fail))
-    return parsed.select(_with_category(fare_category(fare)).alias("value"))
+    return _with_category(parsed, fare)
 
 
 def serving_rows(enriched: DataFrame, ingestion_time: Column | None = None) -> DataFrame:

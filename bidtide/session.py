@@ -55,6 +55,7 @@ def stream_session(spark: SparkSession) -> SparkSession:
     """
     session = prepare(spark.newSession())
     session.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
+    session.conf.set("spark.sql.streaming.join.stateFormatVersion", "3")
     if _is_local(spark):
         session.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
     else:

@@ -2,68 +2,69 @@
 
 Probes wait in their key's state until the watermark has passed their time; by then every version they may need
 has arrived. A version is kept while it is still the latest one at or before the watermark.
+
+The Python side only compares times. What a probe or version carries travels as one JSON text that is written and
+read by Spark, so a group costs three columns however wide the rows are.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-
-_INTEGERS = ("tinyint", "smallint", "int", "bigint")
-
-
-def _cells(column: pd.Series, kind: str) -> list[object]:
-    """A pandas column as Python values. Missing cells become None; integers that pandas widened to floats
-    because of missing cells become integers again."""
-    integer = kind in _INTEGERS
-    return [None if pd.isna(v) else int(v) if integer else v for v in column.tolist()]
+_STATE = "version_times ARRAY<BIGINT>, versions ARRAY<STRING>, probe_times ARRAY<BIGINT>, probes ARRAY<STRING>"
 
 
-def _resolver(payload: Sequence[str], values: Sequence[str], kinds: dict[str, str], inclusive: bool):
-    find = bisect_right if inclusive else bisect_left
+def _resolver(find: Callable[[list[int], int], int]):
+    """The state function; ``find`` gives how many of the sorted version times count as past."""
 
     def resolve(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        kept, waiting = state.get if state.exists else ([], [])
-        versions = {row[0]: tuple(row) for row in kept}
-        waiting = [tuple(row) for row in waiting]
+        times, rows, waiting_times, waiting_rows = state.get if state.exists else ([], [], [], [])
+        versions = dict(zip(times, rows))
+        waiting = list(zip(waiting_times, waiting_rows))
         for chunk in chunks:
-            is_probe = chunk["side"] == "probe"
-            new, probes = chunk[~is_probe], chunk[is_probe]
-            rows = zip(_cells(new["t"], "bigint"), *[_cells(new["v_" + c], kinds[c]) for c in values])
-            versions.update((row[0], row) for row in rows)
-            waiting.extend(zip(_cells(probes["t"], "bigint"), *[_cells(probes["p_" + c], kinds[c]) for c in payload]))
-        watermark = state.getCurrentWatermarkMs()
+            for t, is_version, row in zip(chunk["t"].tolist(), chunk["is_version"].tolist(), chunk["row"].tolist()):
+                if is_version:
+                    # Equal times: the version that arrived last wins.
+                    versions[t] = row
+                else:
+                    waiting.append((t, row))
         times = sorted(versions)
-        ready = [row for row in waiting if row[0] <= watermark]
-        waiting = [row for row in waiting if row[0] > watermark]
+        watermark = state.getCurrentWatermarkMs()
+        ready = [p for p in waiting if p[0] <= watermark]
+        waiting = [p for p in waiting if p[0] > watermark]
 
         if ready:
-            none = (None,) * len(values)
-            found = [find(times, row[0]) - 1 for row in ready]
-            looked_up = [versions[times[i]][1:] if i >= 0 else none for i in found]
-            columns = [key[0]], *zip(*[(*r, *v) for r, v in zip(ready, looked_up)])
-            names = ["t", *["p_" + c for c in payload], *["v_" + c for c in values]]
-            out = pd.DataFrame({n: pd.Series(c, dtype=object) for n, c in zip(names, columns[1:])})
-            yield out.assign(key=key[0])[["key", *names]]
+            past = [find(times, t) for t, _ in ready]
+            found = [versions[times[n - 1]] if n else None for n in past]
+            yield pd.DataFrame({"t": [t for t, _ in ready], "probe": [row for _, row in ready], "version": found})
 
         settled = bisect_right(times, watermark) - 1
-        keep = [versions[t] for t in times[max(settled, 0):]]
-        if keep or waiting:
-            state.update((keep, waiting))
+        kept = times[max(settled, 0):]
+        if kept or waiting:
+            state.update((kept, [versions[t] for t in kept], [t for t, _ in waiting], [row for _, row in waiting]))
             if waiting:
-                state.setTimeoutTimestamp(max(min(row[0] for row in waiting), watermark + 1))
+                state.setTimeoutTimestamp(max(min(t for t, _ in waiting), watermark + 1))
         elif state.exists:
             state.remove()
 
     return resolve
 
 
+def _packed(columns: Sequence[str]) -> Column:
+    return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+
+
+def _schema(df: DataFrame, columns: Sequence[str]) -> T.StructType:
+    return T.StructType([T.StructField(c, df.schema[c].dataType) for c in columns])
+
+
 def stream_asof_join(
     probes: DataFrame,
     versions: DataFrame,
@@ -80,37 +81,31 @@ def stream_asof_join(
 
     The probes of ``heavy_keys`` are spread over ``lanes`` state groups, each of which gets that key's versions.
     """
-    payload = [c for c in probes.columns if c not in (key, probe_time)]
-    types = dict(probes.dtypes) | {c: t for c, t in versions.dtypes if c in values}
-    p_names, v_names = ["p_" + c for c in payload], ["v_" + c for c in values]
+    carried = [c for c in probes.columns if c != probe_time]
     heavy = F.coalesce(F.col(key).isin(*heavy_keys), F.lit(False)) if heavy_keys else F.lit(False)
-    spread = F.pmod(F.xxhash64(probe_time, *payload), F.lit(lanes)).cast("int")
+    spread = F.pmod(F.xxhash64(probe_time, *carried), F.lit(lanes)).cast("int")
     copies = F.when(heavy, F.sequence(F.lit(0), F.lit(lanes - 1))).otherwise(F.array(F.lit(0)))
 
+    # The time columns stay in the rows because they carry the watermarks.
     left = probes.select(
-        F.col(key).alias("key"), F.unix_millis(probe_time).alias("t"), F.lit("probe").alias("side"),
-        F.when(heavy, spread).otherwise(0).alias("lane"), *[F.col(c).alias("p_" + c) for c in payload], probe_time,
+        F.col(key).alias("key"), F.when(heavy, spread).otherwise(0).alias("lane"), F.lit(False).alias("is_version"),
+        F.unix_millis(probe_time).alias("t"), _packed(carried).alias("row"), F.col(probe_time).alias("time"),
     )
     right = versions.where(F.col(key).isNotNull()).select(
-        F.col(key).alias("key"), F.unix_millis(version_time).alias("t"), F.lit("version").alias("side"),
-        F.explode(copies).alias("lane"), *[F.col(c).alias("v_" + c) for c in values],
-        F.col(version_time).alias(probe_time),
+        F.col(key).alias("key"), F.explode(copies).alias("lane"), F.lit(True).alias("is_version"),
+        F.unix_millis(version_time).alias("t"), _packed(values).alias("row"), F.col(version_time).alias("time"),
     )
-    stacked = left.unionByName(right, allowMissingColumns=True)
-    row = ", ".join(["t BIGINT", *[f"`{n}` {types[n[2:]]}" for n in p_names]])
-    version = ", ".join(["t BIGINT", *[f"`{n}` {types[n[2:]]}" for n in v_names]])
-    output = ", ".join([f"key {types[key]}", row, *[f"`{n}` {types[n[2:]]}" for n in v_names]])
-    resolved = stacked.groupBy("key", "lane").applyInPandasWithState(
-        _resolver(payload, values, types, inclusive),
-        output,
-        f"versions ARRAY<STRUCT<{_fields(version)}>>, waiting ARRAY<STRUCT<{_fields(row)}>>",
+    resolved = left.unionByName(right).groupBy("key", "lane").applyInPandasWithState(
+        _resolver(bisect_right if inclusive else bisect_left),
+        "t BIGINT, probe STRING, version STRING",
+        _STATE,
         "append",
         GroupStateTimeout.EventTimeTimeout,
     )
-    own = {key: F.col("key").alias(key), probe_time: F.timestamp_millis("t").alias(probe_time)}
-    own |= {c: F.col("p_" + c).alias(c) for c in payload}
-    return resolved.select(*[own[c] for c in probes.columns], *[F.col("v_" + c).alias(c) for c in values])
-
-
-def _fields(columns: str) -> str:
-    return ", ".join(c.replace(" ", ": ", 1) for c in columns.split(", "))
+    unpacked = resolved.select(
+        F.timestamp_millis("t").alias(probe_time),
+        F.from_json("probe", _schema(probes, carried)).alias("p"),
+        F.from_json("version", _schema(versions, values)).alias("v"),
+    )
+    own = [F.col(c) if c == probe_time else F.col(f"p.{c}").alias(c) for c in probes.columns]
+    return unpacked.select(*own, *[F.col(f"v.{c}").alias(c) for c in values])
