@@ -26,35 +26,41 @@ class LinearModel:
     examples: int = 0
     categorical: Sequence[str] = field(default=CATEGORICAL)
 
-    def margin(self) -> Column:
+    def margin_sql(self) -> str:
         """Intercept plus weighted features, over the raw categorical and numeric columns.
 
         All values of one categorical column share a single CASE, so the cost per row does not grow with
         the number of encoded features that do not apply.
         """
-        total = F.lit(float(self.intercept))
-        cases: dict[str, Column] = {}
+        terms = [double_sql(self.intercept)]
+        cases: dict[str, list[str]] = {}
         for feature, weight in zip(self.features, self.weights):
             pair = split_feature(feature, self.categorical)
             if pair is None:
-                total = total + F.col(feature) * float(weight)
+                terms.append(f"`{feature}` * {double_sql(weight)}")
             else:
                 column, value = pair
-                hit, bonus = F.col(column) == value, F.lit(float(weight))
-                cases[column] = cases[column].when(hit, bonus) if column in cases else F.when(hit, bonus)
-        for case in cases.values():
-            total = total + case.otherwise(0.0)
-        return total
+                cases.setdefault(column, []).append(f"WHEN {text_sql(value)} THEN {double_sql(weight)}")
+        terms += [f"CASE `{column}` {' '.join(whens)} ELSE 0.0D END" for column, whens in cases.items()]
+        return " + ".join(terms)
+
+    def probability_sql(self) -> str:
+        return f"1.0D / (1.0D + exp(-({self.margin_sql()})))"
 
     def probability(self) -> Column:
-        return sigmoid(self.margin())
+        return F.expr(self.probability_sql())
 
     def at_version(self, version: int) -> LinearModel:
         return replace(self, version=version)
 
 
-def sigmoid(margin: Column) -> Column:
-    return F.lit(1.0) / (F.lit(1.0) + F.exp(-margin))
+def double_sql(value: float) -> str:
+    return f"{float(value)!r}D"
+
+
+def text_sql(value: str) -> str:
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
 def serving_features() -> dict[str, Column]:

@@ -13,8 +13,8 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bidtide.functions.encode import one_hot
-from bidtide.functions.score import CATEGORICAL, LinearModel, serving_features, sigmoid
+from bidtide.functions.encode import split_feature
+from bidtide.functions.score import CATEGORICAL, LinearModel, serving_features, text_sql
 
 
 @dataclass(frozen=True)
@@ -24,7 +24,7 @@ class LearningRate:
     # Fixed value: the L2 strength of the online learner.
     alpha: float = 1e-4
     eta0: float = 1.0
-    steps_per_batch: int = 10
+    steps_per_batch: int = 5
 
     def at(self, step: int) -> float:
         return self.eta0 / (1.0 + self.alpha * self.eta0 * step)
@@ -47,16 +47,17 @@ def learnable(impressions: DataFrame) -> DataFrame:
 
 def gradient_step(model: LinearModel, rows: DataFrame, rate: LearningRate, step: int) -> LinearModel:
     """One step along the mean gradient of the log loss over ``rows``; the intercept is not shrunk."""
-    names = [f"x{i}" for i in range(len(model.features))]
-    encoded = [c.alias(n) for c, n in zip(one_hot(model.features, CATEGORICAL), names)]
-    residual = sigmoid(model.margin()) - F.col("label")
-    errors = rows.select((residual * F.col("n")).alias("e"), F.col("n"), *encoded)
-    sums = errors.agg(F.sum("n").alias("n"), F.sum("e").alias("e"), *[F.sum(F.col("e") * F.col(n)).alias(n) for n in names])
-    got = sums.first()
+    # SQL text rather than column objects: a step is planned often, and text is one call to the JVM.
+    sums = ["sum(n) AS n", "sum(e) AS e"]
+    for i, feature in enumerate(model.features):
+        pair = split_feature(feature, CATEGORICAL)
+        part = f"e * `{feature}`" if pair is None else f"CASE WHEN `{pair[0]}` = {text_sql(pair[1])} THEN e ELSE 0.0D END"
+        sums.append(f"sum({part}) AS x{i}")
+    got = rows.selectExpr("*", f"({model.probability_sql()} - label) * n AS e").selectExpr(*sums).first()
     if not got["n"]:
         return model
     eta = rate.at(step)
-    weights = [w * (1 - eta * rate.alpha) - eta * got[n] / got["n"] for w, n in zip(model.weights, names)]
+    weights = [w * (1 - eta * rate.alpha) - eta * got[f"x{i}"] / got["n"] for i, w in enumerate(model.weights)]
     return replace(model, weights=weights, intercept=model.intercept - eta * got["e"] / got["n"])
 
 
