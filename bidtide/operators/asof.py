@@ -17,6 +17,10 @@ from bidtide.operators.skew import (
     segmented,
     with_earlier_segments,
 )
+from bidtide.session import written
+
+
+_FIXED_WIDTH = ("boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp", "timestamp_ntz")
 
 
 def latest_versions(
@@ -24,11 +28,17 @@ def latest_versions(
 ) -> DataFrame:
     """One row per key (or per key and version time): the last one written.
 
-    ``max_by`` combines map-side, so a key with many versions costs no more than its partial results.
+    ``max_by`` combines map-side, so a key with many versions costs no more than its partial results. Columns
+    of fixed width are picked one by one, which keeps the aggregation hash-based; others travel in a struct.
     """
-    group = [key] if version_time is None else [key, version_time]
+    if not (sequence or version_time):
+        raise ValueError("name the column that orders versions")
+    order = sequence or version_time
+    group = [key, version_time] if sequence and version_time else [key]
+    types = dict(changelog.dtypes)
     rest = [c for c in changelog.columns if c not in group]
-    order = F.col(sequence) if sequence else F.col(version_time or rest[-1])
+    if all(types[c] in _FIXED_WIDTH for c in rest):
+        return changelog.groupBy(*group).agg(*[F.max_by(c, order).alias(c) for c in rest]).select(*changelog.columns)
     picked = changelog.groupBy(*group).agg(F.max_by(F.struct(*rest), order).alias("__row"))
     return picked.select(*group, "__row.*").select(*changelog.columns)
 
@@ -43,6 +53,7 @@ def asof_join(
     *,
     inclusive: bool = True,
     deleted: str | None = None,
+    versions_by_key: bool = False,
     heavy: HeavyKeys | None = None,
     policy: SkewPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
@@ -50,7 +61,9 @@ def asof_join(
 
     ``inclusive=False`` looks strictly before the probe. ``versions`` has one row per key and time
     (see ``latest_versions``); a true ``deleted`` column ends the key's validity from that time on. Probes and
-    versions meet in one shuffle: both are stacked, ordered by time, and the last version carried forward.
+    versions meet in one shuffle: both are stacked, ordered by time, and the last version carried forward. With
+    ``versions_by_key`` the versions come hash-partitioned by key, as ``profile_changelog`` leaves them when no
+    user is heavy; then only the probes move.
     """
     gone = F.coalesce(F.col(deleted), F.lit(False)) if deleted else F.lit(False)
     payload = [c for c in probes.columns if c not in (key, probe_time)]
@@ -64,9 +77,13 @@ def asof_join(
     version = F.struct(gone.alias("gone"), *values)
     left = stack(probes, probe_time, 1 - version_side, F.lit(None), F.struct(F.lit(1).alias("probe"), *payload))
     right = stack(versions.where(F.col(key).isNotNull()), version_time, version_side, version, F.lit(None))
+    heavy = find_heavy_keys(left.unionByName(right), key, policy) if heavy is None else heavy
+    if versions_by_key and not heavy:
+        left = left.repartition(key)
     stacked = left.unionByName(right)
-
-    heavy = find_heavy_keys(stacked, key, policy) if heavy is None else heavy
+    if heavy:
+        # Several passes follow; they share one evaluation of the inputs.
+        stacked = written(stacked, "lookup")
     order = ["__t", "__side"]
     rows = segmented(stacked, heavy, order) if heavy else stacked
     keys = [key, SEGMENT] if heavy else [key]

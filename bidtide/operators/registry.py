@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from bidtide.functions.score import LinearModel
 from bidtide.schemas import MODEL_WEIGHTS
@@ -26,42 +25,56 @@ def model_rows(spark: SparkSession, model: LinearModel) -> DataFrame:
 
 
 def save_model(spark: SparkSession, model: LinearModel, root: str) -> None:
-    model_rows(spark, model).write.mode("overwrite").parquet(f"{root}/{model.source}/{model.version:012d}")
+    model_rows(spark, model).write.mode("overwrite").parquet(_folder(root, model.source, model.version))
 
 
-def models(spark: SparkSession, root: str, source: str) -> DataFrame | None:
-    """All weights of all versions of ``source``, or None before the first one."""
+def _versions(spark: SparkSession, root: str, source: str) -> list[int]:
+    """The version numbers of a source by folder name, newest first."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{source}")
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(folder) if status.isDirectory()]
+    return sorted((int(name) for name in names if name.isdigit()), reverse=True)
+
+
+def _folder(root: str, source: str, version: int) -> str:
+    return f"{root}/{source}/{version:012d}"
+
+
+def load_version(spark: SparkSession, root: str, source: str, version: int) -> LinearModel | None:
+    """One version, or None if it is not complete."""
     try:
-        return spark.read.schema(MODEL_WEIGHTS).option("recursiveFileLookup", "true").parquet(f"{root}/{source}")
+        rows = spark.read.schema(MODEL_WEIGHTS).parquet(_folder(root, source, version)).collect()
     except AnalysisException as missing:
         if missing.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-
-
-def load_latest(spark: SparkSession, root: str, source: str, below: int | None = None) -> LinearModel | None:
-    """The newest complete version of ``source``, of those below a version if one is given."""
-    table = models(spark, root, source)
-    if table is None:
+    rows.sort(key=lambda r: r["position"])
+    if not rows or len(rows) != rows[0]["n_features"] + 1:
         return None
-    if below is not None:
-        table = table.where(F.col("version") < below)
-    complete = (
-        table.groupBy("version")
-        .agg(F.count(F.lit(1)).alias("__have"), F.max("n_features").alias("__want"))
-        .where(F.col("__have") == F.col("__want") + 1)
-        .agg(F.max("version").alias("v"))
-        .first()["v"]
-    )
-    if complete is None:
-        return None
-    rows = table.where(F.col("version") == complete).orderBy("position").collect()
     return LinearModel(
         [r["feature"] for r in rows[1:]], [r["weight"] for r in rows[1:]], rows[0]["weight"],
-        source=source, version=complete, examples=rows[0]["examples"],
+        source=source, version=version, examples=rows[0]["examples"],
     )
 
 
+def load_latest(spark: SparkSession, root: str, source: str, below: int | None = None) -> LinearModel | None:
+    """The newest complete version of ``source``, of those below a version if one is given. Folders are listed,
+    and normally only the newest is read, so the cost does not grow with the history."""
+    for version in _versions(spark, root, source):
+        if below is None or version < below:
+            model = load_version(spark, root, source, version)
+            if model is not None:
+                return model
+    return None
+
+
+def models(spark: SparkSession, root: str, source: str) -> DataFrame:
+    """All weights of all versions of ``source``."""
+    return spark.read.schema(MODEL_WEIGHTS).option("recursiveFileLookup", "true").parquet(f"{root}/{source}")
+
+
 def current_model(spark: SparkSession, root: str) -> LinearModel | None:
     """The online model once there is one, until then the batch model, and None without either."""
     return load_latest(spark, root, "online") or load_latest(spark, root, "batch")

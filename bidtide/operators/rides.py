@@ -15,6 +15,10 @@ def categorised(rides: DataFrame) -> DataFrame:
     return rides.withColumn("fare_category", fare_category(fare))
 
 
+# Fixed value: the white space JSON allows between tokens.
+_BLANKS = " \t\r\n"
+
+
 def _once(rows: DataFrame, **columns: Column) -> DataFrame:
     """Compute columns exactly once per row. As generator output they are not repeated in each expression
     and filter that uses them, which matters for parsed JSON."""
@@ -37,17 +41,15 @@ def _parsed(messages: DataFrame) -> DataFrame:
     )
     complete = (F.size("__doc") == 2) & (F.try_variant_get(F.get("__doc", 1), "$", "bigint") == check)
     documents = _once(messages.withColumn("__text", text), __doc=doc)
-    records = _once(
-        documents,
-        __complete=F.coalesce(complete, F.lit(False)),
-        __fields=F.when(complete, F.try_variant_get(F.get("__doc", 0), "$", "map<string,variant>")),
+    records = _once(documents, __ride=F.when(complete, F.get("__doc", 0)))
+    return _once(records, __fare=F.expr("try_variant_get(__ride, '$.fare', 'variant')")).withColumn(
+        "__kind", F.schema_of_variant("__fare")
     )
-    fare = F.col("__fields").getItem("fare")
-    return records.withColumns({"__fare": fare, "__kind": F.schema_of_variant(fare)})
 
 
 def _is_object() -> Column:
-    return F.col("__fields").isNotNull()
+    """A text that is one JSON value is an object if it opens with a brace."""
+    return F.col("__ride").isNotNull() & F.ltrim(F.col("__text"), F.lit(_BLANKS)).startswith("{")
 
 
 def _missing() -> Column:
@@ -70,16 +72,22 @@ def _blank() -> Column:
 
 
 def _with_category(rides: DataFrame, fare: Column) -> DataFrame:
-    """The records as JSON text with ``fare_category`` set; all other keys are kept as they are."""
-    others = F.map_filter("__fields", lambda k, _: k != "fare_category")
-    rows = _once(rides, __category=fare_category(fare), __body=F.to_json(others, {"ignoreNullFields": "false"}))
-    entry = F.concat(F.lit('"fare_category":"'), F.col("__category"), F.lit('"}'))
-    body = F.col("__body")
-    # The object without its closing brace, then the new entry.
-    text = F.when(body == "{}", F.concat(F.lit("{"), entry)).otherwise(
-        F.concat(F.substr(body, F.lit(1), F.length(body) - 1), F.lit(","), entry)
+    """The records as JSON text with ``fare_category`` set; all other keys are kept as they are.
+
+    The entry is appended to the text itself. Only a record that already has the key is rebuilt without it.
+    """
+    rows = _once(
+        rides,
+        __entry=F.concat(F.lit('"fare_category":"'), fare_category(fare), F.lit('"}')),
+        __old=F.expr("try_variant_get(__ride, '$.fare_category', 'variant')"),
     )
-    return rows.select(text.alias("value"))
+    others = F.map_filter(F.expr("try_variant_get(__ride, '$', 'map<string,variant>')"), lambda k, _: k != "fare_category")
+    rebuilt = F.to_json(others, {"ignoreNullFields": "false"})
+    record = F.when(F.col("__old").isNull(), F.rtrim(F.col("__text"), F.lit(_BLANKS))).otherwise(rebuilt)
+    rows = _once(rows, __record=record)
+    opened = F.substr("__record", F.lit(1), F.length("__record") - 1)
+    empty = F.regexp_like("__record", F.lit(r"^\s*\{\s*\}$"))
+    return rows.select(F.concat(opened, F.when(empty, "").otherwise(","), "__entry").alias("value"))
 
 
 def categorise_tolerant(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -93,7 +101,7 @@ def categorise_tolerant(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     parsed = _once(_parsed(messages), __number=fare)
     reason = (
         F.when(F.col("__text").isNull(), "not text")
-        .when(~F.col("__complete"), "not JSON")
+        .when(F.col("__ride").isNull(), "not JSON")
         .when(~_is_object(), "not an object")
         .when(F.col("__number").isNull(), "fare is not a number")
     )

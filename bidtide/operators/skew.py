@@ -24,6 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
+from bidtide.session import written
+
 SEGMENT = "__segment"
 
 
@@ -172,6 +174,9 @@ def running_sums(
     equal to the current one in ``order``.
     """
     heavy = find_heavy_keys(df, key, policy) if heavy is None else heavy
+    if heavy:
+        # Several passes follow; they share one evaluation of the input.
+        df = written(df, "scan")
     rows = segmented(df, heavy, order) if heavy else df
     w = _window(heavy).orderBy(*order)
     if peers:

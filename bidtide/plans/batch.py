@@ -142,10 +142,9 @@ def ride_fare_category_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ride_fields(messages: DataFrame) -> DataFrame:
-    paths = {"ride_id": "bigint", "pickup": "string", "fare": "double", "fare_category": "string"}
-    ride = F.parse_json("value")
-    fields = [F.try_variant_get(ride, f"$.{n}", t).alias(n) for n, t in paths.items()]
-    return messages.select(*fields, F.try_variant_get(ride, "$.note.k[1]", "string").alias("note_entry"))
+    fields = "ride_id BIGINT, pickup STRING, fare DOUBLE, fare_category STRING, note STRUCT<k: ARRAY<STRING>>"
+    ride = messages.select(F.from_json("value", fields).alias("r")).select("r.*")
+    return ride.select("ride_id", "pickup", "fare", "fare_category", F.get("note.k", 1).alias("note_entry"))
 
 
 def ride_fare_category_tolerant(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -204,7 +203,8 @@ def _request_lookup(at: Inputs, inclusive: bool = True) -> DataFrame:
     heavy = at.heavy_users()
     probes = at.requests.select("request_id", "user_id", *CATEGORICAL, "ts")
     return asof_join(
-        probes, _changelog(at, heavy), "user_id", "ts", "update_time", PROFILE_FEATURES, inclusive=inclusive, heavy=heavy
+        probes, _changelog(at, heavy), "user_id", "ts", "update_time", PROFILE_FEATURES,
+        inclusive=inclusive, versions_by_key=True, heavy=heavy,
     )
 
 
@@ -217,7 +217,7 @@ def _impression_lookup(at: Inputs, inclusive: bool) -> DataFrame:
     probes = at.impressions().select("request_id", "user_id", *CATEGORICAL, "is_clicked", "event_time")
     return asof_join(
         probes, _changelog(at, heavy), "user_id", "event_time", "update_time", PROFILE_FEATURES,
-        inclusive=inclusive, heavy=heavy,
+        inclusive=inclusive, versions_by_key=True, heavy=heavy,
     )
 
 

@@ -21,8 +21,10 @@ def as_messages(rows: DataFrame, key: Sequence[str] = ()) -> DataFrame:
     return rows.select(F.to_json(F.struct(*key), _JSON).alias("key"), value)
 
 
-def _writer(rows: DataFrame, checkpoint: str, once: bool, trigger: str | None) -> DataStreamWriter:
-    writer = rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+def _writer(
+    rows: DataFrame, checkpoint: str, once: bool, trigger: str | None, mode: str = "append"
+) -> DataStreamWriter:
+    writer = rows.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     if once:
         return writer.trigger(availableNow=True)
     return writer.trigger(processingTime=trigger) if trigger else writer
@@ -36,9 +38,17 @@ def to_files(
 
 
 def to_kafka(
-    messages: DataFrame, servers: str, topic: str, checkpoint: str, once: bool = False, trigger: str | None = None
+    messages: DataFrame,
+    servers: str,
+    topic: str,
+    checkpoint: str,
+    once: bool = False,
+    trigger: str | None = None,
+    mode: str = "append",
 ) -> DataStreamWriter:
-    writer = _writer(messages, checkpoint, once, trigger).format("kafka")
+    """Write keyed or plain messages to Kafka. Keyed messages of an aggregation in ``update`` mode make the topic
+    an upsert topic: the last message of a key is its current row."""
+    writer = _writer(messages, checkpoint, once, trigger, mode).format("kafka")
     return writer.option("kafka.bootstrap.servers", servers).option("topic", topic)
 
 

@@ -32,10 +32,13 @@ def to_upsert_table(
     return writer.trigger(processingTime=trigger) if trigger else writer
 
 
-def current_rows(spark: SparkSession, path: str, schema: T.StructType, key: str) -> DataFrame:
-    """The latest row of each key; keys whose last change was a delete are gone."""
+def current_rows(
+    spark: SparkSession, path: str, schema: T.StructType, key: str, order: str = "batch_id"
+) -> DataFrame:
+    """The latest row of each key; keys whose last change was a delete are gone. ``order`` is a column that grows
+    with each change of a key; the batch serves where a batch holds at most one row per key."""
     log = read_changelog(spark, path, schema)
-    latest = latest_versions(log, key, sequence="batch_id")
+    latest = latest_versions(log, key, sequence=order)
     return latest.where(~F.coalesce("deleted", F.lit(False))).select(*schema.names)
 
 

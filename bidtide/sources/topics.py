@@ -69,6 +69,22 @@ def decode(messages: DataFrame, schema: T.StructType, on_error: str = "fail") ->
     return rows.where(F.coalesce(checked.cast("boolean"), F.lit(True))).drop(corrupt)
 
 
+def decode_upserts(messages: DataFrame, schema: T.StructType, key: str) -> DataFrame:
+    """Rows of an upsert topic: the key from the JSON key, the other columns from the JSON value, and ``deleted``
+    where the value is null. Other columns of the messages, such as the offset, are kept to order versions."""
+    options = {"mode": "FAILFAST", "timestampFormat": SERVING_TIME_FORMAT}
+    key_type = T.StructType([schema[key]])
+    rest = T.StructType([f for f in schema.fields if f.name != key])
+    extra = [c for c in messages.columns if c not in ("key", "value")]
+    parsed = messages.select(
+        F.from_json("key", key_type, options).alias("k"),
+        F.from_json("value", rest, options).alias("v"),
+        F.col("value").isNull().alias("deleted"),
+        *extra,
+    )
+    return parsed.select("k.*", "v.*", "deleted", *extra)
+
+
 def with_event_time(
     rows: DataFrame, time: str = "ts", source: Column | None = None, delay: str | None = OUT_OF_ORDER
 ) -> DataFrame:

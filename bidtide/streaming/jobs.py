@@ -11,14 +11,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from bidtide.functions.score import CATEGORICAL, ctr_score, serving_features
+from bidtide.functions.score import CATEGORICAL, LinearModel, ctr_score, serving_features
 from bidtide.operators.interval_join import enrich
 from bidtide.operators.learning import LearningRate, learn_batch, new_model
 from bidtide.operators.profiles import user_profiles
 from bidtide.operators.registry import current_model, load_latest, save_model
 from bidtide.operators.rides import categorise_strict, categorise_tolerant, fare_totals
 from bidtide.schemas import PROFILE_FEATURES
-from bidtide.sinks.topics import to_files, to_table
+from bidtide.sinks.topics import as_messages, to_files, to_table
 from bidtide.sinks.upsert import to_upsert_table
 from bidtide.sources.topics import OUT_OF_ORDER
 from bidtide.streaming.asof import stream_asof_join
@@ -72,6 +72,24 @@ def tolerant_ride_job(
     )
 
 
+def static_scoring_job(
+    requests: DataFrame,
+    profiles: DataFrame,
+    model: LinearModel,
+    path: str,
+    checkpoint: str,
+    once: bool = False,
+    heavy_users: Sequence[str] = (),
+) -> DataStreamWriter:
+    """Score requests with one fixed model and append the scores as JSON messages."""
+    probes = requests.select("request_id", "user_id", *CATEGORICAL, "ts")
+    joined = stream_asof_join(
+        probes, profiles, "user_id", "ts", "update_time", PROFILE_FEATURES, heavy_keys=heavy_users
+    )
+    scored = joined.withColumns(serving_features()).select("request_id", ctr_score(model).alias("ctr_score"))
+    return to_files(as_messages(scored), path, checkpoint, once)
+
+
 def scoring_job(
     requests: DataFrame,
     profiles: DataFrame,

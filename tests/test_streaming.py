@@ -121,6 +121,7 @@ def test_changelog_has_every_version(spark, streaming, tmp_path, impression_topi
     run(jobs.changelog_job(rows, out, str(tmp_path / "ckpt"), once=True))
     flat = impressions(spark, *[("r", u, c, k, t) for u, c, k, t in impression_topic])
     same_rows(read_changelog(spark, out).select(*schemas.PROFILES.names), profile_changelog(flat))
+    same_rows(current_rows(spark, out, schemas.PROFILES, "user_id", order="total_views"), user_profiles(flat))
 
 
 def test_changelog_times_never_go_back(spark, streaming, tmp_path):
@@ -191,6 +192,33 @@ def test_scoring_reloads_the_model_for_every_batch(spark, streaming, tmp_path):
     assert got["q0"] == 0.0 and got["q1"] == pytest.approx(0.5) and got["q2"] == pytest.approx(1.0)
 
 
+def test_static_scores_are_json_messages(spark, streaming, tmp_path):
+    versions_topic(tmp_path / "v", [("u1", 0, 1), ("end", 60_000, 0)])
+    topic_file(tmp_path / "p", 0, request("a", 5), request("b", 7, "new"), request("end", 60_000, "end"))
+    asked = stream(streaming, tmp_path / "p", schemas.REQUESTS_FOR_SCORING)
+    from pyspark.sql import types as T
+
+    fields = T.StructType().add("user_id", T.StringType()).add("timestamp_ts", T.LongType()).add("v", T.LongType())
+    profiles = stream(streaming, tmp_path / "v", fields).withColumnRenamed("ts", "update_time")
+    profiles = profiles.withColumns({"total_views": F.lit(2) * F.col("v"), "tech_views": F.col("v"), "lifestyle_views": F.lit(0) * F.col("v")})
+    model = LinearModel(["frac_tech"], [3.0], -1.5)
+    run(jobs.static_scoring_job(asked, profiles, model, str(tmp_path / "o"), str(tmp_path / "c"), once=True))
+    got = {r.request_id: r.ctr_score for r in spark.read.json(str(tmp_path / "o")).collect()}
+    assert got["a"] == pytest.approx(0.5) and got["b"] == pytest.approx(0.18242552380635635)
+
+
+def test_upsert_topic_round_trip(spark):
+    from pyspark.sql import types as T
+
+    table = T.StructType().add("user_id", T.StringType()).add("total_views", T.LongType()).add("update_time", T.TimestampType())
+    rows = spark.createDataFrame([("a", 3, at(5)), ("b", None, at(6))], table)
+    messages = as_messages(rows, key=["user_id"]).withColumn("offset", F.lit(1))
+    deleted = spark.createDataFrame([('{"user_id":"a"}', None, 2)], "key STRING, value STRING, offset INT")
+    back = topics.decode_upserts(messages.unionByName(deleted), table, "user_id")
+    same_rows(back.where("not deleted").select(*table.names), rows)
+    assert [(r.user_id, r.offset) for r in back.where("deleted").collect()] == [("a", 2)]
+
+
 def test_learning_writes_versions_and_status(spark, streaming, tmp_path):
     models, log, ckpt = (str(tmp_path / n) for n in ("models", "log", "ckpt"))
     from pyspark.sql import types as T
