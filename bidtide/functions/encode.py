@@ -20,7 +20,8 @@ def fit_categories(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]
     pairs = df.select(
         F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in columns])).alias("p")
     ).select("p.*")
-    found = pairs.where(F.col("value").isNotNull()).distinct().limit(MAX_VALUES * len(columns) + 1).collect()
+    # One more than allowed is enough to tell that a column has too many.
+    found = pairs.where(F.col("value").isNotNull()).distinct().take(MAX_VALUES * len(columns) + 1)
     values: dict[str, list[str]] = {c: [] for c in columns}
     for row in found:
         values[row["name"]].append(row["value"])

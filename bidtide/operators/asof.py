@@ -83,8 +83,9 @@ def asof_join(
     stacked = left.unionByName(right)
     if heavy:
         # Several passes follow; they share one evaluation of the inputs.
-        stacked = written(stacked, "lookup")
-    order = ["__t", "__side"]
+        stacked = written(stacked, "lookup").withColumn("__tie", F.xxhash64("__p"))
+    # Probes at one instant get the same version, so a heavy key may be cut between them.
+    order = ["__t", "__side", "__tie"] if heavy else ["__t", "__side"]
     rows = segmented(stacked, heavy, order) if heavy else stacked
     keys = [key, SEGMENT] if heavy else [key]
     frame = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)

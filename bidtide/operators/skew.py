@@ -51,7 +51,10 @@ def _whole(order: Sequence[str]) -> Column:
 
 @dataclass(frozen=True)
 class HeavyKeys:
-    """Estimated row counts of the heavy keys of one column (``None`` stands for the null key)."""
+    """Estimated row counts of the heavy keys of one column (``None`` stands for the null key).
+
+    They may be found once on one dataset and used for others with the same key.
+    """
 
     column: str | None
     rows: Mapping[object, int] = field(default_factory=dict)
@@ -88,14 +91,16 @@ def find_heavy_keys(df: DataFrame, column: str | None, policy: SkewPolicy = DEFA
 
 
 def _cut_points(df: DataFrame, heavy: HeavyKeys, order: Sequence[str]) -> DataFrame:
-    """One row per heavy key with its sorted cut points: at most ``max_cuts`` order tuples altogether."""
-    policy, estimated = heavy.policy, sum(heavy.rows.values())
-    wanted = min(policy.max_cuts, max(2, math.ceil(estimated / policy.min_rows) * 2))
-    fraction = min(1.0, wanted * policy.samples_per_cut / estimated)
+    """One row per heavy key with its sorted cut points: altogether about ``max_cuts`` order tuples plus two per
+    heavy key, whatever the data size."""
+    policy, hot = heavy.policy, df.where(heavy.matches())
+    # Counted rather than taken from the estimate, which may stem from a related dataset.
+    n_rows = max(1, hot.count())
+    wanted = min(policy.max_cuts, max(2, math.ceil(n_rows / policy.min_rows) * 2))
+    fraction = min(1.0, wanted * policy.samples_per_cut / n_rows)
     key = _whole(order) if heavy.column is None else F.col(heavy.column)
     samples = (
-        df.where(heavy.matches())
-        .sample(fraction, seed=11)
+        hot.sample(fraction, seed=11)
         .select(key.alias("k"), F.struct(*order).alias("o"))
         .groupBy("k")
         .agg(F.sort_array(F.collect_list("o")).alias("os"))
@@ -143,8 +148,8 @@ def with_earlier_segments(
 ) -> DataFrame:
     """Join to each row what earlier segments of its key contribute.
 
-    ``segment_totals`` has one row per heavy key and segment, so at most ``max_cuts`` rows plus one per
-    heavy key: it fits one broadcast.
+    ``segment_totals`` has one row per heavy key and segment, so about as many rows as there are cut points: it
+    fits one broadcast.
     """
     keys = [SEGMENT] if heavy.column is None else [heavy.column, SEGMENT]
     by_key = Window.partitionBy(*keys[:-1]).orderBy(SEGMENT)

@@ -109,12 +109,12 @@ def stream_ride_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ride_fields(spark.read.text(at.path("out")))
 
 
-def _staged_changelog(at: Streams) -> DataFrame:
+def _staged_changelog(at: Streams, impressions: DataFrame | None = None) -> DataFrame:
     """A stream of profile versions with its end marker and watermark."""
     path = at.path("versions")
     derived = Inputs(at.spark, at.sf_dir)
-    versions = profile_changelog(derived.impressions(), heavy=derived.heavy_users())
-    versions.write.parquet(path)
+    impressions = derived.impressions() if impressions is None else impressions
+    profile_changelog(impressions, heavy=derived.heavy_users()).write.parquet(path)
     table = at.spark.read.schema(PROFILES).parquet(path)
     stream = _with_end(at.stream_of(path, PROFILES), table, ["user_id"], "update_time")
     # The marker may copy a row of any user with that id; only its time matters.
@@ -134,10 +134,11 @@ def stream_asof_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _learn(spark: SparkSession, sf_dir: str) -> Streams:
     at = Streams(spark, sf_dir, "learn")
     path = at.staged_impressions()
-    stream = _with_end(at.stream_of(path, IMPRESSIONS), spark.read.schema(IMPRESSIONS).parquet(path), ["user_id"], "event_time")
+    table = spark.read.schema(IMPRESSIONS).parquet(path)
+    stream = _with_end(at.stream_of(path, IMPRESSIONS), table, ["user_id"], "event_time")
     _run(
         jobs.learning_job(
-            stream.withWatermark("event_time", OUT_OF_ORDER), _staged_changelog(at), at.path("models"),
+            stream.withWatermark("event_time", OUT_OF_ORDER), _staged_changelog(at, table), at.path("models"),
             at.path("out"), at.path("ckpt"), once=True, features=FIXED_MODEL.features,
         )
     )

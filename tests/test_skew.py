@@ -6,7 +6,7 @@ from bidtide.operators.asof import asof_join
 from bidtide.operators.history import user_history
 from bidtide.operators.metrics import roc_auc
 from bidtide.operators.profiles import profile_changelog
-from bidtide.operators.skew import SEGMENT, SkewPolicy, find_heavy_keys, running_sums, segmented
+from bidtide.operators.skew import SEGMENT, HeavyKeys, SkewPolicy, find_heavy_keys, running_sums, segmented
 
 SMALL = SkewPolicy(min_rows=100, max_cuts=32)
 
@@ -61,6 +61,21 @@ def test_asof_does_not_depend_on_segments(spark, skewed, inclusive):
     same_rows(asof_join(*args, inclusive=inclusive, policy=SMALL), asof_join(*args, inclusive=inclusive))
 
 
+def test_estimates_from_another_dataset_only_steer_the_plan(spark, skewed):
+    heavy = HeavyKeys("user_id", {"hot": 1, "u2": 10**9, "absent": 5}, SMALL)
+    same_rows(user_history(skewed, heavy=heavy), user_history(skewed))
+
+
+def test_probes_at_one_instant_are_split(spark, skewed):
+    one = skewed.where("user_id = 'hot'").select("request_id", "user_id", F.timestamp_millis(F.lit(5)).alias("ts"))
+    versions = spark.createDataFrame([("hot", 1), ("hot", 9)], "user_id STRING, v INT").withColumn("vt", F.timestamp_millis("v"))
+    out = asof_join(one, versions, "user_id", "ts", "vt", ["v"], policy=SMALL)
+    assert [tuple(r) for r in out.groupBy("v").count().collect()] == [(1, 1000)]
+    rows = one.select("user_id", F.lit(5).alias("t"), F.xxhash64("request_id").alias("tie"))
+    sizes = segmented(rows, find_heavy_keys(rows, "user_id", SMALL), ["t", "tie"]).groupBy(SEGMENT).count()
+    assert sizes.agg(F.max("count")).first()[0] < 300
+
+
 def test_auc_does_not_depend_on_segments(spark, skewed):
     scored = skewed.select(F.col("is_clicked").alias("label"), (F.col("request_id").cast("int") * 31 % 977 / 977).alias("score"))
     a, b = roc_auc(scored, policy=SMALL).first(), roc_auc(scored).first()
