@@ -21,11 +21,14 @@ from bidtide.operators.metrics import classification_report, roc_auc
 from bidtide.operators.profiles import profile_changelog, user_profiles
 from bidtide.operators.skew import HeavyKeys, find_heavy_keys
 from bidtide.operators.training import (
+    HISTORY_FEATURES,
     class_weights,
     coefficient_table,
+    collapsed,
     dataset_summary,
     in_training_split,
     train_ctr,
+    training_rows,
 )
 from bidtide.plans import datasets
 from bidtide.schemas import PROFILE_FEATURES
@@ -303,6 +306,23 @@ def split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return at.impressions().groupBy(side, "is_clicked").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def training_matrix_v1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the first model is fitted and tested on: counts per split side, features and label."""
+    return collapsed(training_rows(Inputs(spark, sf_dir).impressions(), False))
+
+
+def training_matrix_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    at = Inputs(spark, sf_dir)
+    matrix = collapsed(training_rows(at.impressions(), True, heavy=at.heavy_users()))
+    return rounded(matrix, 9, "frac_tech", "frac_lifestyle")
+
+
+def model_feature_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ordered feature list of the second model."""
+    names = feature_names(fit_categories(Inputs(spark, sf_dir).requests, CATEGORICAL), HISTORY_FEATURES)
+    return spark.createDataFrame(list(enumerate(names)), "position INT, feature STRING")
+
+
 def _model(spark: SparkSession, sf_dir: str, history: bool):
     at = Inputs(spark, sf_dir)
     return train_ctr(at.impressions(), history, heavy=at.heavy_users() if history else None)
@@ -359,6 +379,9 @@ QUERIES = {
     "training_guards": training_guards,
     "class_weights": impression_class_weights,
     "split_counts": split_counts,
+    "training_matrix_v1": training_matrix_v1,
+    "training_matrix_v2": training_matrix_v2,
+    "model_feature_columns": model_feature_columns,
     "ctr_model_v1_coefficients": ctr_model_v1_coefficients,
     "ctr_model_v2_coefficients": ctr_model_v2_coefficients,
     "ctr_model_v1_report": ctr_model_v1_report,

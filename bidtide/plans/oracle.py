@@ -185,6 +185,27 @@ SELECT round(SUM(pos * (below + CAST(neg AS DOUBLE) / 2)) / (CAST(SUM(pos) AS DO
        CAST(SUM(pos) AS BIGINT) AS positives, CAST(SUM(neg) AS BIGINT) AS negatives FROM ranked
 """
 
+# One gradient step from zero weights: the step size (1) times the mean of (label - 0.5) * feature.
+_FIRST_STEP = """
+, lookup AS (
+  SELECT i.os, i.site_category, i.is_clicked - 0.5::DOUBLE AS r,
+    CASE WHEN COALESCE(p.total_views, 0) = 0 THEN 0.0::DOUBLE
+         ELSE CAST(p.tech_views AS DOUBLE) / CAST(p.total_views AS DOUBLE) END AS frac_tech,
+    CASE WHEN COALESCE(p.total_views, 0) = 0 THEN 0.0::DOUBLE
+         ELSE CAST(p.lifestyle_views AS DOUBLE) / CAST(p.total_views AS DOUBLE) END AS frac_lifestyle
+  FROM impressions i ASOF LEFT JOIN changelog p ON i.user_id = p.user_id AND i.event_time >= p.update_time),
+steps AS (
+  SELECT COUNT(*) AS examples, AVG(r) AS w0, AVG(r * frac_tech) AS w1, AVG(r * frac_lifestyle) AS w2,
+    AVG(CASE WHEN os = 'MacOS' THEN r ELSE 0 END) AS w3, AVG(CASE WHEN os = 'Windows' THEN r ELSE 0 END) AS w4,
+    AVG(CASE WHEN os = 'iOS' THEN r ELSE 0 END) AS w5, AVG(CASE WHEN site_category = 'News' THEN r ELSE 0 END) AS w6,
+    AVG(CASE WHEN site_category = 'Sports' THEN r ELSE 0 END) AS w7,
+    AVG(CASE WHEN site_category = 'Tech' THEN r ELSE 0 END) AS w8 FROM lookup)
+SELECT CAST(x.position AS INTEGER) AS position, x.feature, round(x.weight, 9) AS weight, examples FROM steps,
+  LATERAL (VALUES (0, '(intercept)', w0), (1, 'frac_tech', w1), (2, 'frac_lifestyle', w2), (3, 'os_MacOS', w3),
+    (4, 'os_Windows', w4), (5, 'os_iOS', w5), (6, 'site_category_News', w6), (7, 'site_category_Sports', w7),
+    (8, 'site_category_Tech', w8)) AS x(position, feature, weight)
+"""
+
 ORACLE = {
     "enriched_impressions": _IMPRESSIONS,
     "win_request_matches": _with(_BASE, " SELECT * FROM matched"),
@@ -289,6 +310,26 @@ ORACLE = {
         f" SELECT CASE WHEN {_IN_TRAIN} THEN 'train' ELSE 'test' END AS side, is_clicked, COUNT(*) AS n_rows"
         " FROM impressions GROUP BY ALL",
     ),
+    "training_matrix_v1": _with(
+        _BASE,
+        f" SELECT {_IN_TRAIN} AS train, os, site_category, is_clicked AS label, COUNT(*) AS n FROM impressions GROUP BY ALL",
+    ),
+    "training_matrix_v2": _with(
+        _BASE, _HISTORY,
+        f", grouped AS (SELECT {_IN_TRAIN} AS train, os, site_category, frac_tech, frac_lifestyle, is_clicked AS label,"
+        " COUNT(*) AS n FROM history_shares GROUP BY ALL) SELECT train, os, site_category,"
+        " round(frac_tech, 9) AS frac_tech, round(frac_lifestyle, 9) AS frac_lifestyle, label, n FROM grouped",
+    ),
+    "model_feature_columns": _with(
+        _BASE,
+        " SELECT CAST(ROW_NUMBER() OVER (ORDER BY part, feature) - 1 AS INTEGER) AS position, feature FROM ("
+        " SELECT 0 AS part, 'frac_tech' AS feature UNION ALL SELECT 1, 'frac_lifestyle' UNION ALL"
+        " SELECT 2, 'os_' || os FROM (SELECT DISTINCT os FROM requests) WHERE os > (SELECT MIN(os) FROM requests) UNION ALL"
+        " SELECT 3, 'site_category_' || site_category FROM (SELECT DISTINCT site_category FROM requests)"
+        " WHERE site_category > (SELECT MIN(site_category) FROM requests))",
+    ),
+    "online_learner_status": _with(_BASE, " SELECT 'Updated' AS status, COUNT(*) AS examples FROM impressions"),
+    "online_model_weights": _with(_BASE, _CHANGELOG, _FIRST_STEP),
     "stream_enriched_impressions": _IMPRESSIONS,
     "stream_user_profiles": _USER_PROFILES,
     "stream_profile_changelog": _USER_CHANGELOG,

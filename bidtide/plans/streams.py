@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from bidtide.operators.interval_join import enrich
+from bidtide.operators.learning import LearningRate
 from bidtide.operators.profiles import profile_changelog
 from bidtide.operators.registry import models, save_model
 from bidtide.plans import datasets
@@ -132,6 +133,7 @@ def stream_asof_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _learn(spark: SparkSession, sf_dir: str) -> Streams:
+    """Run the learner over all impressions with a single gradient step, so that its result can be written as SQL."""
     at = Streams(spark, sf_dir, "learn")
     path = at.staged_impressions()
     table = spark.read.schema(IMPRESSIONS).parquet(path)
@@ -140,6 +142,7 @@ def _learn(spark: SparkSession, sf_dir: str) -> Streams:
         jobs.learning_job(
             stream.withWatermark("event_time", OUT_OF_ORDER), _staged_changelog(at, table), at.path("models"),
             at.path("out"), at.path("ckpt"), once=True, features=FIXED_MODEL.features,
+            rate=LearningRate(steps_per_batch=1),
         )
     )
     return at
@@ -153,7 +156,8 @@ def online_learner_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def online_model_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = _learn(spark, sf_dir)
-    return models(spark, at.path("models"), "online").select("version", "position", "feature", "weight", "examples")
+    weights = models(spark, at.path("models"), "online").select("position", "feature", "weight", "examples")
+    return rounded(weights, 9, "weight")
 
 
 STREAMS = {
