@@ -75,7 +75,7 @@ class Schedule:
                 if not live.any():
                     break
                 lasts = np.where(live, left / np.where(live, share, 1), np.inf)
-                served = np.where(live, np.minimum(np.round(share * lasts.min()).astype(np.int64), left), 0)
+                served = np.where(live, np.minimum(np.round(np.minimum(share * lasts.min(), self.total)).astype(np.int64), left), 0)
                 served[np.argmin(lasts)] = left[np.argmin(lasts)]
                 phases.append(served)
                 left = left - served

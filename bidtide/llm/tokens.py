@@ -30,7 +30,9 @@ from pyspark.sql import functions as F
 from bidtide.llm.text import per_batch, small_batches
 from bidtide.session import fresh_path
 
-MEMORY = 300_000
+MEMORY = 500_000
+#: Characters beyond which a piece is not remembered.
+LONG = 64
 BLOCK_IDS = 65_536
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 _WORKER: dict[str, PieceIds] = {}
@@ -45,7 +47,8 @@ class PieceIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
+        self.after_space: dict[str, bytes | None] = {}  # ids of a piece with a space before it; None: not a plain piece
+        self.as_is: dict[str, bytes] = {}
 
     @classmethod
     def of(cls, path: str) -> PieceIds:
@@ -57,26 +60,50 @@ class PieceIds:
     def vocabulary(self) -> int:
         return self.tokenizer.get_vocab_size(with_added_tokens=True)
 
-    def _learn(self, pieces: set[str]) -> None:
-        fresh = [p for p in pieces if p not in self.known]
-        if len(self.known) + len(fresh) > MEMORY:
-            self.known.clear()
-            fresh = list(pieces)
-        encoded = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
-        self.known.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(fresh, encoded))
+    def _encoded(self, pieces: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+
+    def _of_pieces(self, pieces: list[str]) -> bytes:
+        """Ids of adjacent pieces of a text that start anew wherever ``_CUT`` holds."""
+        if fresh := list(set(pieces).difference(self.as_is)):
+            if len(self.as_is) + len(fresh) > MEMORY:
+                self.as_is.clear()
+                fresh = list(set(pieces))
+            self.as_is.update(zip(fresh, self._encoded(fresh)))
+        ids = b"".join(map(self.as_is.__getitem__, pieces))
+        for piece in fresh:
+            if len(piece) > LONG:
+                del self.as_is[piece]
+        return ids
+
+    def _learn(self, fresh: set[str]) -> None:
+        known = self.after_space
+        odd = {p for p in fresh if p.strip() != p or not p}
+        known.update(dict.fromkeys(odd))
+        # A word and the mark at its end are never merged.
+        marked = {p for p in fresh - odd if p[-1] in ".,;:!?" and p[:-1].isalpha()}
+        whole = list((fresh - odd - marked | {p[:-1] for p in marked}).difference(known))
+        known.update(zip(whole, self._encoded([f" {p}" for p in whole])))
+        for p in marked:
+            known[p] = known[p[:-1]] + self._of_pieces([p[-1]])
+
+    def encode_one(self, text: str) -> bytes:
+        head, *pieces = text.split(" ")
+        if len(head) > LONG or len(max(pieces, key=len, default="")) > LONG:
+            return self._of_pieces(_CUT.split(text))
+        if len(self.after_space) > MEMORY:
+            self.after_space.clear()
+        if fresh := set(pieces).difference(self.after_space):
+            self._learn(fresh)
+        if pieces and (not head or head[-1].isspace()):
+            return self._of_pieces(_CUT.split(text))
+        try:
+            return (self._of_pieces([head]) if head else b"") + b"".join(map(self.after_space.__getitem__, pieces))
+        except TypeError:  # a piece that isn't plain
+            return self._of_pieces(_CUT.split(text))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = []
-        for text in texts:
-            head, *rest = text.split(" ")
-            plain = all(rest) and not any(p[0].isspace() or p[-1].isspace() for p in rest) and not (rest and (not head or head[-1].isspace()))
-            cut.append([head, *[f" {p}" for p in rest]] if plain else _CUT.split(text))
-        self._learn({p for pieces in cut for p in pieces})
-        known = self.known
-        encoded = [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
-        for piece in {p for pieces in cut for p in pieces if len(p) > 64}:  # rare, and too long to keep
-            known.pop(piece, None)
-        return encoded
+        return [self.encode_one(text) for text in texts]
 
 
 def bits_for(vocabulary: int) -> int:
