@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bidtide.llm import decontaminate, licenses, packing, tokens
+from bidtide.llm import decontaminate, licenses, packing, pii, sql, tokens, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,5 +35,15 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES = {f.__name__: f for f in (op4_decontamination, op5_token_ids, op7_licenses, op9_packing)}
-ORACLE: dict[str, str] = {}
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judged_pages(table(spark, sf_dir, "pages")).drop("trust", "distrust")
+
+
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+    counts = [F.size(k.name).cast("long").alias(f"n_{k.name}") for k in pii.BASE]
+    return found.select("doc_id", *counts, F.sha2(pii.listed(pii.BASE), 256).alias("base_sha256"), pii.listed(pii.BASE + pii.ADDED).alias("spans"))
+
+
+QUERIES = {f.__name__: f for f in (op3_url_filter, op4_decontamination, op5_token_ids, op7_licenses, op9_packing, op10_personal_data)}
+ORACLE: dict[str, str] = {"op3_url_filter": sql.url_filter(), "op10_personal_data": sql.personal_data()}

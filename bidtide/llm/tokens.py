@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from bidtide.llm.text import per_batch, small_batches
 from bidtide.session import fresh_path
 
-MEMORY = 500_000
+MEMORY = 700_000
 #: Characters beyond which a piece is not remembered.
 LONG = 64
 BLOCK_IDS = 65_536
@@ -61,7 +62,7 @@ class PieceIds:
         return self.tokenizer.get_vocab_size(with_added_tokens=True)
 
     def _encoded(self, pieces: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
     def _of_pieces(self, pieces: list[str]) -> bytes:
         """Ids of adjacent pieces of a text that start anew wherever ``_CUT`` holds."""
