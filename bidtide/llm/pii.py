@@ -111,13 +111,13 @@ def listed(kinds: list[Kind]) -> Column:
 
 def redacted(docs: DataFrame, column: str = "redacted") -> DataFrame:
     """doc_id and the text with every span (overlapping ones as one) replaced by its kind in angle brackets."""
-    found = personal_data(docs.withColumn("doc_id", F.struct("doc_id", F.coalesce("text", F.lit("")).alias("text"))))
+    found = personal_data(docs.withColumn("doc_id", F.struct("doc_id", F.coalesce("text", F.lit("")).alias("text")))).withColumnRenamed("doc_id", "of")
     spans = F.array_sort(F.transform(F.concat(*[F.col(k.name) for k in BASE + ADDED]), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    text = F.col("doc_id.text")
+    text = F.col("of.text")
 
     def cut(done: Column, s: Column) -> Column:
         fresh = F.concat(done["out"], F.substring(text, done["at"] + 1, s["start"] - done["at"]), F.lit("<"), s["kind"], F.lit(">"))
         return F.struct(F.greatest(done["at"], s["end"]).alias("at"), F.when(s["start"] >= done["at"], fresh).otherwise(done["out"]).alias("out"))
 
     whole = F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), cut, lambda done: F.concat(done["out"], F.substr(text, done["at"] + 1)))
-    return found.select("doc_id.doc_id", whole.alias(column))
+    return found.select("of.doc_id", whole.alias(column))

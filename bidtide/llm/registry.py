@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bidtide.llm import decontaminate, licenses, packing, pii, sql, tokens, urls
+from bidtide.llm import decontaminate, embeddings, licenses, neardup, packing, pii, sql, tokens, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op5_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), size=2)
+
+
 def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.license_labels(table(spark, sf_dir, "documents"))
     return found.withColumns({c: F.concat_ws(",", c) for c in ("base_labels", "labels")})
@@ -35,6 +39,10 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judged_pages(table(spark, sf_dir, "pages")).drop("trust", "distrust")
 
@@ -45,5 +53,5 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(pii.listed(pii.BASE), 256).alias("base_sha256"), pii.listed(pii.BASE + pii.ADDED).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op3_url_filter, op4_decontamination, op5_token_ids, op7_licenses, op9_packing, op10_personal_data)}
+QUERIES = {f.__name__: f for f in (op2_embedding_dedup, op3_url_filter, op4_decontamination, op5_token_ids, op6_near_duplicates, op7_licenses, op9_packing, op10_personal_data)}
 ORACLE: dict[str, str] = {"op3_url_filter": sql.url_filter(), "op10_personal_data": sql.personal_data()}

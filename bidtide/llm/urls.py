@@ -55,8 +55,8 @@ def propagated(links: DataFrame, seeds: DataFrame, damping: float = 0.85, steps:
         return scores
     links, seeds = written(links, "links"), written(seeds, "seeds")
     for step in range(steps):
-        flow = scores.join(links, (scores.kind == links.kind) & (scores.host == links.src))
-        came = flow.groupBy(links.kind, F.col("dst").alias("host")).agg((damping * F.sum(F.col("score") * F.col("share"))).alias("score"))
+        flow = scores.withColumnRenamed("host", "src").join(links, ["kind", "src"])
+        came = flow.groupBy("kind", F.col("dst").alias("host")).agg((damping * F.sum(F.col("score") * F.col("share"))).alias("score"))
         kept = came.groupBy("kind").agg(F.sum("score").alias("moved"))
         back = seeds.join(F.broadcast(kept), "kind", "left").select("kind", "host", (F.col("seed") * (1 - F.coalesce("moved", F.lit(0.0)))).alias("score"))
         scores = came.unionByName(back).groupBy("kind", "host").agg(F.sum("score").alias("score"))
