@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bidtide.llm import decontaminate, embeddings, licenses, neardup, packing, pii, sql, tokens, urls
+from bidtide.llm import decontaminate, embeddings, licenses, lines, neardup, packing, pii, sql, tokens, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +39,10 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.removed_lines(table(spark, sf_dir, "documents")).select("doc_id", F.size("lines").cast("long").alias("n_removed"), F.concat_ws(",", "lines").alias("removed_lines"))
+
+
 def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -53,5 +57,5 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(pii.listed(pii.BASE), 256).alias("base_sha256"), pii.listed(pii.BASE + pii.ADDED).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op2_embedding_dedup, op3_url_filter, op4_decontamination, op5_token_ids, op6_near_duplicates, op7_licenses, op9_packing, op10_personal_data)}
-ORACLE: dict[str, str] = {"op3_url_filter": sql.url_filter(), "op10_personal_data": sql.personal_data()}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_embedding_dedup, op3_url_filter, op4_decontamination, op5_token_ids, op6_near_duplicates, op7_licenses, op9_packing, op10_personal_data)}
+ORACLE: dict[str, str] = {"op1_line_dedup": sql.line_dedup(), "op3_url_filter": sql.url_filter(), "op10_personal_data": sql.personal_data()}

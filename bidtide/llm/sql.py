@@ -56,3 +56,18 @@ def personal_data() -> str:
     base = "coalesce(string_agg(span, ',' ORDER BY k, s) FILTER (k < 4), '')"
     counts = ", ".join(f"count(*) FILTER (k = {i}) AS n_{kind}" for i, (kind, *_) in enumerate(_CHECKS))
     return f"WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents), f AS ({' UNION ALL '.join(parts)}) SELECT d.doc_id, {counts}, sha256({base}) AS base_sha256, coalesce(string_agg(span, ',' ORDER BY k, s), '') AS spans FROM d LEFT JOIN f ON f.doc_id = d.doc_id GROUP BY d.doc_id"
+
+
+def line_dedup(percent: int = 80, min_tokens: int = 3) -> str:
+    """Prefix filter on exact frequencies, then the exact test on common tokens."""
+    words = r"list_distinct(regexp_extract_all(translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'))"
+    return f"""WITH s AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL),
+l AS (SELECT doc_id, i - 1 AS line, {words} AS w FROM (SELECT doc_id, unnest(range(1, len(ls) + 1)) AS i, unnest(ls) AS l FROM s)),
+k AS MATERIALIZED (SELECT row_number() OVER (ORDER BY doc_id, line) AS r, doc_id, line, list_sort(w) AS w, len(w) AS n FROM l WHERE len(w) >= {min_tokens}),
+c AS MATERIALIZED (SELECT min(r) AS r, w, any_value(n) AS n FROM k GROUP BY w),
+t AS (SELECT r, n, unnest(w) AS t FROM c), f AS (SELECT t, count(*) AS df FROM t GROUP BY t),
+p AS MATERIALIZED (SELECT r, n, t FROM (SELECT r, n, t, row_number() OVER (PARTITION BY r ORDER BY df, t) AS pos FROM t JOIN f USING (t)) WHERE pos <= n - ceil(n * {percent} / 100) + 1),
+q AS (SELECT DISTINCT a.r AS a, b.r AS b FROM p a JOIN p b ON a.t = b.t AND a.r < b.r AND least(a.n, b.n) * 100 >= greatest(a.n, b.n) * {percent}),
+m AS (SELECT DISTINCT b FROM q JOIN c x ON x.r = a JOIN c y ON y.r = b WHERE 100 * len(list_intersect(x.w, y.w)) >= {percent} * (x.n + y.n - len(list_intersect(x.w, y.w)))),
+g AS (SELECT doc_id, line FROM k WHERE r NOT IN (SELECT r FROM c WHERE r NOT IN (SELECT b FROM m)))
+SELECT doc_id, count(*) AS n_removed, string_agg(line::varchar, ',' ORDER BY line) AS removed_lines FROM g GROUP BY doc_id"""
