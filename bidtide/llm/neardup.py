@@ -41,6 +41,8 @@ _FACTORS = _RANDOM.integers(0, 1 << 32, HASHES, np.uint32) | np.uint32(1)
 _TERMS = _RANDOM.integers(0, 1 << 32, HASHES, np.uint32)
 _ODD_LANES = int("01" * 32, 2)
 _CHUNK = 4096
+#: Ids up to which the table of documents to confirm is sent to the tasks (8 bytes each); beyond, texts are shuffled.
+BROADCAST_IDS = 1_000_000
 
 
 def _minima(values: np.ndarray) -> np.ndarray:
@@ -107,7 +109,9 @@ def estimate_cut(threshold: float) -> float:
 def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
     pairs = written(pairs, "candidates")
-    wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    wanted = written(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct(), "wanted")
+    if wanted.count() <= BROADCAST_IDS:
+        wanted = F.broadcast(wanted)
     hashes = WordHashes()
 
     def sets_of(batch: pa.RecordBatch) -> dict:

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bidtide.llm import decontaminate, embeddings, licenses, lines, neardup, packing, pii, sql, tokens, urls
+from bidtide.llm import decontaminate, embeddings, licenses, lines, neardup, packing, pii, quality, sql, tokens, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,12 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumns({c: F.concat_ws(",", c) for c in ("base_labels", "labels")})
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    found = quality.judged(docs, table(spark, sf_dir, "labels"))
+    return found.select("doc.doc_id", "doc.lang", "n", "perplexity", "score", "threshold", "kept")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -57,5 +63,5 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(pii.listed(pii.BASE), 256).alias("base_sha256"), pii.listed(pii.BASE + pii.ADDED).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_embedding_dedup, op3_url_filter, op4_decontamination, op5_token_ids, op6_near_duplicates, op7_licenses, op9_packing, op10_personal_data)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_embedding_dedup, op3_url_filter, op4_decontamination, op5_token_ids, op6_near_duplicates, op7_licenses, op8_quality, op9_packing, op10_personal_data)}
 ORACLE: dict[str, str] = {"op1_line_dedup": sql.line_dedup(), "op3_url_filter": sql.url_filter(), "op10_personal_data": sql.personal_data()}
