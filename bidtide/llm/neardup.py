@@ -3,16 +3,17 @@ shingle sets confirm them.
 
 1. Every text becomes the set of hashes of its word shingles; documents with equal sets are one class (its smallest
    doc_id), so exact copies never form pairs.
-2. ``HASHES`` minima of permuted hashes; ``ROWS`` consecutive ones make a band key, and ``KEEP_BITS`` low bits of each are packed
+2. ``HASHES`` minima of permuted hashes; ``ROWS`` consecutive ones of the first make a band key, and ``KEEP_BITS`` low bits of each are packed
    into a signature. Two signatures agree in a lane by chance with probability 2^-bits, which the estimate corrects for.
-3. Two rounds of stars: in each band bucket every class is paired with the bucket's first (then last) class, and only its best
-   partner by estimate is confirmed. Copies of one text mostly join here, with one pair for each copy.
+3. Rounds of stars: in each band bucket every class is paired with one class of the bucket drawn by a hash, another one
+   in each round, and of its partners in all its buckets only the best by estimate is confirmed. Copies of one text mostly join
+   here, with one pair for each copy and round.
 4. The rest, exactly: classes of a bucket that are still in different components are all compared by signature, those
    that aren't of the bucket's largest component with all others, and every pair whose estimate is within reach
    is confirmed. Pairs inside one component change nothing and are not made.
 
 A pair at the threshold misses all bands with probability (1 - s^ROWS)^BANDS = 5e-8 at 0.8, and its estimate falls below the
-cut (five standard deviations under the threshold) with probability below 1e-6.
+cut (four standard deviations under the threshold) with probability 3e-5.
 
 Defined results: null, empty and blank texts have no shingles and link with nothing; a text with fewer words than a shingle
 is one shingle of all its words; repeated doc_ids are treated as one document each time they have equal sets, and
@@ -33,14 +34,15 @@ from bidtide.llm.components import components
 from bidtide.llm.text import WordHashes, mixed, per_batch, shingles, small_batches, spaced_words, utf8
 from bidtide.session import written
 
-HASHES, ROWS, KEEP_BITS = 128, 4, 2
-BANDS = HASHES // ROWS
+HASHES, ROWS, BANDS, KEEP_BITS = 256, 4, 32, 2
 _LANES = 64 // KEEP_BITS
 _RANDOM = np.random.default_rng(20_240_601)
 _FACTORS = _RANDOM.integers(0, 1 << 32, HASHES, np.uint32) | np.uint32(1)
 _TERMS = _RANDOM.integers(0, 1 << 32, HASHES, np.uint32)
 _ODD_LANES = int("01" * 32, 2)
 _CHUNK = 4096
+#: Rounds of stars.
+STARS = 3
 #: Ids up to which the table of documents to confirm is sent to the tasks (8 bytes each); beyond, texts are shuffled.
 BROADCAST_IDS = 1_000_000
 
@@ -56,7 +58,7 @@ def _minima(values: np.ndarray) -> np.ndarray:
 
 def _band_keys(minima: np.ndarray) -> np.ndarray:
     keys = np.arange(1, BANDS + 1, dtype=np.uint64)
-    for column in minima.reshape(BANDS, ROWS).T:
+    for column in minima[: BANDS * ROWS].reshape(BANDS, ROWS).T:
         keys = mixed(keys + column)
     return keys
 
@@ -103,7 +105,7 @@ def estimate(left: str, right: str) -> Column:
 def estimate_cut(threshold: float) -> float:
     chance = 0.5**KEEP_BITS
     agree = threshold + (1 - threshold) * chance
-    return threshold - 5 * math.sqrt(agree * (1 - agree) / HASHES) / (1 - chance)
+    return threshold - 4 * math.sqrt(agree * (1 - agree) / HASHES) / (1 - chance)
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -150,7 +152,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     own = signs.join(classes, "set_key").where("doc_id = id").dropDuplicates(["id"]).select("id", *words, "bands")
     own = written(own, "class_signatures")
     keyed = own.select("id", F.explode("bands").alias("key"))
-    shared = keyed.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
+    drawn = [F.min(F.struct(F.xxhash64("id", "key", F.lit(r)), F.col("id"))).alias(f"hub{r}") for r in range(STARS)]
+    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("members"), *drawn).where("members > 1").select("key", *[F.col(f"hub{r}.id").alias(f"hub{r}") for r in range(STARS)])
     buckets = written(keyed.join(shared, "key"), "buckets")
     signature = own.select("id", *words)
     cut, links = F.lit(estimate_cut(percent / 100)), None
@@ -159,7 +162,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         pairs = pairs.distinct().join(signature.select(F.col("id").alias("a"), F.struct(*words).alias("l")), "a").join(signature.select(F.col("id").alias("b"), F.struct(*words).alias("r")), "b")
         return pairs.select("a", "b", estimate("l", "r").alias("estimate")).where(F.col("estimate") >= cut)
 
-    for hub in ("first", "last"):
+    for hub in (f"hub{r}" for r in range(STARS)):
         known = _with_component(buckets, links)
         at = known.select(F.col("key"), F.col("id").alias("b"), F.col("comp").alias("b_comp"), F.col(hub).alias("a")).where("a <> b")
         if links is not None:
