@@ -38,7 +38,7 @@ from bidtide.sinks.topics import as_messages
 # A fixed model for queries about scoring, so that their results can be written as SQL.
 FIXED_MODEL = LinearModel(
     ["frac_tech", "frac_lifestyle", "os_MacOS", "os_Windows", "os_iOS",
-     "site_category_News", "site_category_Sports", "site_category_Tech"],
+     "site_category_Music", "site_category_Outdoors", "site_category_Tech"],
     [1.5, -0.75, 0.2, -0.1, 0.35, -0.4, 0.15, 0.6],
     -1.25,
 )

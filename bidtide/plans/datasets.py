@@ -22,11 +22,15 @@ EVENTS = (
     .add("props", T.StringType())
 )
 
-# Operating systems by user, publishers (with site and category) by event.
 SYSTEMS = ["iOS", "Android", "Windows", "MacOS"]
-PUBLISHERS = ["pub_001", "pub_002", "pub_003", "pub_004", "pub_005"]
-DOMAINS = ["techcrunch.com", "vogue.com", "espn.com", "cnn.com", "wired.com"]
-CATEGORIES = ["Tech", "Lifestyle", "Sports", "News", "Tech"]
+#: Sample sites by event number: id, domain, category. Profiles count the categories Tech and Lifestyle.
+SITES = [
+    ("site-a", "slow-kitchen.example", "Lifestyle"),
+    ("site-b", "byte-garden.example", "Tech"),
+    ("site-c", "night-records.example", "Music"),
+    ("site-d", "circuit-letters.example", "Tech"),
+    ("site-e", "trail-and-tent.example", "Outdoors"),
+]
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,7 +38,9 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    """The table as a stream, whether it is one file or a folder of part files; a missing table is an error."""
+    # A pattern, as a stream's plain path must be a folder.
+    return spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/events.parque[t]")
 
 
 def _pick(values: list[str], index: Column) -> Column:
@@ -55,11 +61,11 @@ def requests(events: DataFrame) -> DataFrame:
         _text_id().alias("request_id"),
         _millis().alias("timestamp_ts"),
         F.concat(F.lit("u_"), user).alias("user_id"),
-        F.concat(F.lit("192.168.0."), user % 255 + 1).alias("ip_address"),
+        F.concat(F.lit("10.7."), user % 200, F.lit("."), user % 250 + 1).alias("ip_address"),
         _pick(SYSTEMS, user % 4).alias("os"),
-        _pick(DOMAINS, event % 5).alias("site_domain"),
-        _pick(CATEGORIES, event % 5).alias("site_category"),
-        _pick(PUBLISHERS, event % 5).alias("publisher_id"),
+        _pick([s[1] for s in SITES], event % len(SITES)).alias("site_domain"),
+        _pick([s[2] for s in SITES], event % len(SITES)).alias("site_category"),
+        _pick([s[0] for s in SITES], event % len(SITES)).alias("publisher_id"),
     ).withColumn("ts", from_millis("timestamp_ts"))
 
 

@@ -6,7 +6,7 @@ _BASE = """
 requests AS (
   SELECT CAST(event_id AS VARCHAR) AS request_id, epoch_us(ts) // 1000 AS timestamp_ts, 'u_' || user_id AS user_id,
          (['iOS','Android','Windows','MacOS'])[user_id % 4 + 1] AS os,
-         (['Tech','Lifestyle','Sports','News','Tech'])[event_id % 5 + 1] AS site_category,
+         (['Lifestyle','Tech','Music','Tech','Outdoors'])[event_id % 5 + 1] AS site_category,
          make_timestamp((epoch_us(ts) // 1000) * 1000) AS ts
   FROM events),
 wins AS (
@@ -88,7 +88,7 @@ serving AS (
 
 _SCORE = """1.0::DOUBLE / (1.0::DOUBLE + exp(-(-1.25::DOUBLE + frac_tech * 1.5::DOUBLE + frac_lifestyle * -0.75::DOUBLE
   + CASE os WHEN 'MacOS' THEN 0.2::DOUBLE WHEN 'Windows' THEN -0.1::DOUBLE WHEN 'iOS' THEN 0.35::DOUBLE ELSE 0.0::DOUBLE END
-  + CASE site_category WHEN 'News' THEN -0.4::DOUBLE WHEN 'Sports' THEN 0.15::DOUBLE WHEN 'Tech' THEN 0.6::DOUBLE
+  + CASE site_category WHEN 'Music' THEN -0.4::DOUBLE WHEN 'Outdoors' THEN 0.15::DOUBLE WHEN 'Tech' THEN 0.6::DOUBLE
     ELSE 0.0::DOUBLE END)))"""
 
 _IN_TRAIN = "CAST('0x' || substr(md5(request_id || ':42'), 1, 8) AS BIGINT) % 10 < 7"
@@ -101,7 +101,7 @@ predicted AS (SELECT *, CASE WHEN score > 0.5 THEN 1 ELSE 0 END AS prediction FR
 _ONE_HOT = ", ".join(
     f"CASE WHEN {c} = '{v}' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS \"{c}_{v}\""
     for c, v in [("os", "MacOS"), ("os", "Windows"), ("os", "iOS"),
-                 ("site_category", "News"), ("site_category", "Sports"), ("site_category", "Tech")]
+                 ("site_category", "Music"), ("site_category", "Outdoors"), ("site_category", "Tech")]
 )
 
 _MESSAGES = """
@@ -197,12 +197,12 @@ _FIRST_STEP = """
 steps AS (
   SELECT COUNT(*) AS examples, AVG(r) AS w0, AVG(r * frac_tech) AS w1, AVG(r * frac_lifestyle) AS w2,
     AVG(CASE WHEN os = 'MacOS' THEN r ELSE 0 END) AS w3, AVG(CASE WHEN os = 'Windows' THEN r ELSE 0 END) AS w4,
-    AVG(CASE WHEN os = 'iOS' THEN r ELSE 0 END) AS w5, AVG(CASE WHEN site_category = 'News' THEN r ELSE 0 END) AS w6,
-    AVG(CASE WHEN site_category = 'Sports' THEN r ELSE 0 END) AS w7,
+    AVG(CASE WHEN os = 'iOS' THEN r ELSE 0 END) AS w5, AVG(CASE WHEN site_category = 'Music' THEN r ELSE 0 END) AS w6,
+    AVG(CASE WHEN site_category = 'Outdoors' THEN r ELSE 0 END) AS w7,
     AVG(CASE WHEN site_category = 'Tech' THEN r ELSE 0 END) AS w8 FROM lookup)
 SELECT CAST(x.position AS INTEGER) AS position, x.feature, round(x.weight, 9) AS weight, examples FROM steps,
   LATERAL (VALUES (0, '(intercept)', w0), (1, 'frac_tech', w1), (2, 'frac_lifestyle', w2), (3, 'os_MacOS', w3),
-    (4, 'os_Windows', w4), (5, 'os_iOS', w5), (6, 'site_category_News', w6), (7, 'site_category_Sports', w7),
+    (4, 'os_Windows', w4), (5, 'os_iOS', w5), (6, 'site_category_Music', w6), (7, 'site_category_Outdoors', w7),
     (8, 'site_category_Tech', w8)) AS x(position, feature, weight)
 """
 

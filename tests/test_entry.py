@@ -1,4 +1,5 @@
 import collections
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -17,7 +18,8 @@ def rows(columns, data):
 @pytest.fixture(scope="module")
 def db():
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW events AS SELECT * FROM '{SF}/events.parquet'")
+    for path in Path(SF).glob("*.parquet"):
+        con.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
     return con
 
 
@@ -34,6 +36,19 @@ def test_query_matches_its_sql(spark, db, name):
     assert rows(df.columns, got) == rows(names, want.fetchall())
 
 
+@pytest.mark.parametrize("name", [n for n in entry.queries() if n.startswith("stream_")])
+def test_streams_read_folders_of_part_files(spark, db, name, tmp_path):
+    spark.read.parquet(f"{SF}/events.parquet").repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    df = entry.queries()[name](spark, str(tmp_path))
+    want = db.execute(ORACLE[name])
+    assert rows(df.columns, df.collect()) == rows([d[0] for d in want.description], want.fetchall())
+
+
+def test_a_missing_table_is_an_error(spark, tmp_path):
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        entry.queries()["stream_fare_totals"](spark, str(tmp_path)).collect()
+
+
 def test_flagship(spark):
     assert entry.entry(spark).count() > 0
 

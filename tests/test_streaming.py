@@ -124,6 +124,23 @@ def test_changelog_has_every_version(spark, streaming, tmp_path, impression_topi
     same_rows(current_rows(spark, out, schemas.PROFILES, "user_id", order="total_views"), user_profiles(flat))
 
 
+@pytest.mark.parametrize("records", [100, 10_000])
+def test_changelog_orders_whole_micro_batches(spark, streaming, tmp_path, records):
+    """One user, 30,000 events in no order in one micro-batch, whatever the transfer's batch size."""
+    order = [i * 7919 % 30_000 for i in range(30_000)]
+    topic_file(tmp_path / "imp", 0, *[impression("u", "Tech" if i % 3 else "Lifestyle", i % 2, i) for i in order])
+    rows = stream(streaming, tmp_path / "imp", schemas.IMPRESSIONS_FOR_PROFILES, time="event_time")
+    out, was = str(tmp_path / "log"), streaming.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    streaming.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(records))
+    try:
+        run(to_table(stream_profile_changelog(rows), out, str(tmp_path / "ckpt"), once=True))
+    finally:
+        streaming.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", was)
+    flat = impressions(spark, *[("r", "u", "Tech" if i % 3 else "Lifestyle", i % 2, i) for i in order])
+    got, want = spark.read.parquet(out).select(*schemas.PROFILES.names), profile_changelog(flat)
+    assert got.count() == 30_000 and got.exceptAll(want).count() == 0
+
+
 def test_changelog_times_never_go_back(spark, streaming, tmp_path):
     topic_file(tmp_path / "imp", 0, impression("u", "Tech", 0, 1000))
     topic_file(tmp_path / "imp", 1, impression("u", "News", 0, 400))
