@@ -23,6 +23,7 @@ result; extra columns stay as they are.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +32,7 @@ from bidtide.llm.text import _ALNUM, WordHashes, mixed, per_batch, small_batches
 from bidtide.session import written
 
 SKETCH = 1 << 22
+_BLOCK = 1 << 14
 #: Ids up to which the table of documents to verify is sent to the tasks (8 bytes each); beyond, texts are shuffled.
 BROADCAST_IDS = 1_000_000
 _SALT = np.uint64(0xA5A5A5A5A5A5A5A5)
@@ -57,17 +59,23 @@ def _tokens(texts: list[bytes], hashes: WordHashes) -> tuple[np.ndarray, np.ndar
 
 
 def _counters(docs: DataFrame) -> np.ndarray:
-    """Occurrences of tokens by hashed counter, capped where a byte pair ends."""
+    """Occurrences of tokens by hashed counter. Tasks sum the counters of a block, and blocks come back as bytes: 16 MB."""
     hashes = WordHashes()
 
     def rows(batch: pa.RecordBatch) -> dict:
-        token = _tokens(batch.column("text").to_pylist(), hashes)[3]
-        counter, n = np.unique((token % np.uint64(SKETCH)).astype(np.int32), return_counts=True)
+        words = [w for text in batch.column("text").to_pylist() for w in text.translate(_ALNUM).split()]
+        counter, n = np.unique((hashes.of(words) % np.uint64(SKETCH)).astype(np.int32), return_counts=True)
         return {"counter": pa.array(counter), "n": pa.array(n)}
 
-    found = per_batch(docs.select(utf8().alias("text")), "counter int, n long", rows).groupBy("counter").agg(F.sum("n").alias("n")).toPandas()
+    def blocks(group: pd.DataFrame) -> pd.DataFrame:
+        held = np.zeros(_BLOCK, np.uint32)
+        held[group["counter"] % _BLOCK] = np.minimum(group["n"], 2**32 - 1)
+        return pd.DataFrame({"block": [int(group["counter"].iloc[0]) // _BLOCK], "counts": [held.tobytes()]})
+
+    found = per_batch(docs.select(utf8().alias("text")), "counter int, n long", rows).groupBy("counter").agg(F.sum("n").alias("n"))
     counters = np.zeros(SKETCH, np.uint32)
-    counters[found["counter"]] = np.minimum(found["n"], 2**32 - 1)
+    for block, counts in found.groupBy(F.floor(F.col("counter") / _BLOCK)).applyInPandas(blocks, "block int, counts binary").collect():
+        counters[block * _BLOCK : (block + 1) * _BLOCK] = np.frombuffer(counts, np.uint32)
     return counters
 
 
