@@ -105,9 +105,11 @@ def _before(order: str = "order", gram: str = "gram"):
 
 def _score_pass(frame: DataFrame, model: DataFrame, first_bytes: list[int]) -> DataFrame:
     everywhere = (F.col("order") == 1) | (F.col("order") == 0)
-    rows = model.where(everywhere | _before().isin(first_bytes)).toPandas()
-    tables = {int(o): (g["gram"].to_numpy(), g["value"].to_numpy()) for o, g in rows.groupby("order")}
+    rows = model.where(everywhere | _before().isin(first_bytes)).toArrow()
+    orders, grams, values = (rows[c].to_numpy() for c in ("order", "gram", "value"))
+    tables = {int(o): (grams[orders == o], values[orders == o]) for o in np.unique(orders)}
     shared = frame.sparkSession.sparkContext.broadcast(tables)
+    del rows, orders, grams, values, tables
     number = shared._jbroadcast.id()
     here = np.zeros(256, bool)
     here[first_bytes] = True
