@@ -181,7 +181,9 @@ def removed_lines(docs: DataFrame, percent: int = 80, min_tokens: int = 3) -> Da
     columns = [F.col("x.doc_id").alias("a_doc"), F.col("x.line").alias("a_line"), F.col("y.doc_id").alias("b_doc"), F.col("y.line").alias("b_line")]
     settled = written(_verified(stars.select(*columns), named, percent), "settled").select(F.col("b_doc").alias("doc_id"), F.col("b_line").alias("line"), F.lit(True).alias("settled"))
     # The rest: of each pair the smaller line's postings end earlier; the later line must be one without a match so far.
-    known = postings.join(settled, ["doc_id", "line"], "left").select("token", "doc_id", "line", "size", "bits", "place", F.coalesce("settled", F.lit(False)).alias("settled"))
+    marks = F.broadcast(settled) if settled.count() <= BROADCAST_IDS else settled
+    known = classes.join(marks, ["doc_id", "line"], "left").select(
+        "doc_id", "line", "size", "bits", F.coalesce("settled", F.lit(False)).alias("settled"), F.posexplode("prefix").alias("place", "token"))
     short = known.where(F.col("place") < F.col("size") - _overlap(percent, F.col("size"), F.col("size")) + 1)
     smaller = (F.col("x.size") < F.col("y.size")) | (F.col("x.size") == F.col("y.size")) & ((F.col("x.doc_id") < F.col("y.doc_id")) | (F.col("x.doc_id") == F.col("y.doc_id")) & (F.col("x.line") < F.col("y.line")))
     x_first = (F.col("x.doc_id") < F.col("y.doc_id")) | (F.col("x.doc_id") == F.col("y.doc_id")) & (F.col("x.line") < F.col("y.line"))
