@@ -35,6 +35,9 @@ MEMORY = 700_000
 #: Characters beyond which a piece is not remembered.
 LONG = 64
 BLOCK_IDS = 65_536
+#: New words that go to the library as one text.
+JOINED = 64
+_MARKS = ".,;:!?"
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 _WORKER: dict[str, PieceIds] = {}
 
@@ -50,6 +53,7 @@ class PieceIds:
         self.tokenizer.encode_special_tokens = True
         self.after_space: dict[str, bytes | None] = {}  # ids of a piece with a space before it; None: not a plain piece
         self.as_is: dict[str, bytes] = {}
+        self.marks = dict(zip(_MARKS, self._encoded(list(_MARKS))))
 
     @classmethod
     def of(cls, path: str) -> PieceIds:
@@ -77,16 +81,40 @@ class PieceIds:
                 del self.as_is[piece]
         return ids
 
+    def _of_words(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters, each with a space before it. Such a word is one pre-token, so many go to the library as
+        one text, which saves most of its cost for a call; a text that comes back with more pre-tokens is done word by word."""
+        groups = [words[i : i + JOINED] for i in range(0, len(words), JOINED)]
+        out: list[bytes] = []
+        for group, e in zip(groups, self.tokenizer.encode_batch([f" {' '.join(g)}" for g in groups], add_special_tokens=False)):
+            of_word, raw = np.array(e.word_ids), array("I", e.ids).tobytes()
+            cuts = [0, *(4 * np.flatnonzero(of_word[1:] != of_word[:-1]) + 4).tolist(), len(raw)]
+            if len(cuts) == len(group) + 1:
+                out += [raw[i:j] for i, j in zip(cuts, cuts[1:])]
+            else:
+                out += self._encoded([f" {w}" for w in group])
+        return out
+
     def _learn(self, fresh: set[str]) -> None:
         known = self.after_space
-        odd = {p for p in fresh if p.strip() != p or not p}
-        known.update(dict.fromkeys(odd))
-        # A word and the mark at its end are never merged.
-        marked = {p for p in fresh - odd if p[-1] in ".,;:!?" and p[:-1].isalpha()}
-        whole = list((fresh - odd - marked | {p[:-1] for p in marked}).difference(known))
-        known.update(zip(whole, self._encoded([f" {p}" for p in whole])))
+        words, marked, others = set(), [], []
+        for p in fresh:
+            if p.isalpha():
+                words.add(p)
+            elif p and p[-1] in _MARKS and p[:-1].isalpha() and p[:-1].lower().isalpha():
+                # A word and the mark at its end are never merged, unless its lower case ends in a combining mark.
+                marked.append(p)
+                if p[:-1] not in known:
+                    words.add(p[:-1])
+            elif p and p.strip() == p:
+                others.append(p)
+            else:
+                known[p] = None
+        plain = list(words)
+        known.update(zip(plain, self._of_words(plain)))
+        known.update(zip(others, self._encoded([f" {p}" for p in others])))
         for p in marked:
-            known[p] = known[p[:-1]] + self._of_pieces([p[-1]])
+            known[p] = known[p[:-1]] + self.marks[p[-1]]
 
     def encode_one(self, text: str) -> bytes:
         head, *pieces = text.split(" ")

@@ -25,12 +25,12 @@ def test_piecewise_ids_equal_the_library(path):
     encoder, plain = tokens.PieceIds.of(path), direct(path)
 
     @settings(max_examples=300, deadline=None)
-    @given(st.text(st.sampled_from("ab éÉ'st0,. \n\t  ́\x1c<|>|Σς"), max_size=40))
+    @given(st.text(st.sampled_from("ab éÉ'st0,. \n\t  ́\x1c<|>|Σςİ"), max_size=40))
     def check(text):
         assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == plain(text)
 
     check()
-    for text in ("a  b   c \n d", "it's don't 12 ", "<|endoftext|> x", " ", "x" * 500):
+    for text in ("a  b   c \n d", "it's don't 12 ", "<|endoftext|> x", " ", "x" * 500, "a İ. İİ b! ǅ: ﬁ", " ".join(map(chr, range(0xC0, 0x250)))):
         assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == plain(text)
 
 
