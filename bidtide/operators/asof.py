@@ -17,8 +17,6 @@ from bidtide.operators.skew import (
     segmented,
     with_earlier_segments,
 )
-from bidtide.session import written
-
 
 _FIXED_WIDTH = ("boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp", "timestamp_ntz")
 
@@ -81,21 +79,17 @@ def asof_join(
     if versions_by_key and not heavy:
         left = left.repartition(key)
     stacked = left.unionByName(right)
-    if heavy:
-        # Several passes follow; they share one evaluation of the inputs.
-        stacked = written(stacked, "lookup").withColumn("__tie", F.xxhash64("__p"))
     # Probes at one instant get the same version, so a heavy key may be cut between them.
     order = ["__t", "__side", "__tie"] if heavy else ["__t", "__side"]
-    rows = segmented(stacked, heavy, order) if heavy else stacked
+    rows = segmented(stacked.withColumn("__tie", F.xxhash64("__p")), heavy, order) if heavy else stacked
     keys = [key, SEGMENT] if heavy else [key]
     frame = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     found = rows.withColumn("__found", F.last("__v", ignorenulls=True).over(frame))
     if heavy:
-        seen = rows.where(heavy.matches() & F.col("__v").isNotNull())
-        tails = seen.groupBy(*keys).agg(F.max_by("__v", "__t").alias("__tail"))
-        # A segment without versions has no tail row; probes in it still need the ones before.
-        segments = rows.where(heavy.matches()).select(*keys).distinct().join(tails, keys, "left")
-        found = with_earlier_segments(found, heavy, segments, {"__carried": F.last("__tail", ignorenulls=True)})
+        # A segment without versions has a null tail; probes in it still need the ones before.
+        tail = F.max_by("__v", F.when(F.col("__v").isNotNull(), F.col("__t")))
+        tails = rows.groupBy(*keys).agg(tail.alias("__tail"))
+        found = with_earlier_segments(found, heavy, tails, {"__carried": F.last("__tail", ignorenulls=True)})
         found = found.withColumn("__found", F.coalesce("__found", "__carried"))
     result = found.where(F.col("__p").isNotNull())
     live = ~F.col("__found.gone")

@@ -1,24 +1,22 @@
 """Ordered scans over keys of any weight.
 
 A window partitioned by user puts all rows of one user in one task. When a single key may hold a large share
-of the data that task never ends, so heavy keys are cut into time-ordered segments:
+of the data that task never ends, so such data is cut into segments of a bounded number of rows:
 
-1. ``find_heavy_keys`` names the keys above a row threshold from a mergeable frequent-items sketch: one narrow
-   scan, no shuffle of the rows.
-2. ``segmented`` gives every row of a heavy key the number of its segment, by binary search among that
-   key's cut points. Cut points come from a sample; the sample decides where a key is cut and nothing else.
-3. The scan runs per (key, segment); what earlier segments contribute is one small row per segment, so it is
-   broadcast back.
+1. ``find_heavy_keys`` counts the rows of the heaviest key: one narrow scan with map-side counts.
+2. ``segmented`` range-partitions the rows by key and order into as many partitions as the rows need. A row's segment is
+   its partition, so a key of any weight is spread over consecutive segments, and light keys share one.
+3. The scan runs per (key, segment); what earlier segments contribute is one small row per segment of the keys that
+   span several, at most two per partition.
 
-Rows of all other keys stay in segment 0 and take the ordinary window plan, with one shuffle either way.
-Results never depend on which keys were found heavy.
+Without a heavy key the ordinary window plan with one shuffle is taken. Results don't depend on the choice.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,135 +29,86 @@ SEGMENT = "__segment"
 
 @dataclass(frozen=True)
 class SkewPolicy:
-    """A key is heavy above ``max(min_rows, share * total)`` rows, which bounds how many keys can be heavy."""
+    """``rows_per_task`` bounds the rows one task should hold of a key, however many rows there are in all."""
 
-    min_rows: int = 1_000_000
-    share: float = 1 / 2000
-    # The sketch's error is about 3.5 / 32768 of all rows at this size, well below ``share``.
-    sketch_items: int = 16_000
-    max_cuts: int = 4096
-    samples_per_cut: int = 30
+    rows_per_task: int = 1_000_000
+    #: Segments up to which their totals (at most two rows each) are broadcast; beyond, they are shuffled.
+    broadcast_segments: int = 100_000
 
 
 DEFAULT_POLICY = SkewPolicy()
 
 
-def _whole(order: Sequence[str]) -> Column:
-    """A key shared by all rows, for scans over a whole frame; computed, so the join on it stays a hash join."""
-    return F.pmod(F.xxhash64(*order), F.lit(1))
-
-
 @dataclass(frozen=True)
 class HeavyKeys:
-    """Estimated row counts of the heavy keys of one column (``None`` stands for the null key).
+    """Rows in all and of the heaviest key of one column (``None``: the whole frame is one key).
 
-    They may be found once on one dataset and used for others with the same key.
+    They may be found once on one dataset and used for others with the same key and about as many rows at most.
     """
 
     column: str | None
-    rows: Mapping[object, int] = field(default_factory=dict)
+    total: int = 0
+    heaviest: int = 0
     policy: SkewPolicy = DEFAULT_POLICY
 
     def __bool__(self) -> bool:
-        return bool(self.rows)
+        return self.heaviest > self.policy.rows_per_task
+
+    @property
+    def keys(self) -> list[str]:
+        return [] if self.column is None else [self.column]
+
+    @property
+    def pieces(self) -> int:
+        """Partitions, twice as many as needed since sampled bounds are not exact."""
+        return max(2, math.ceil(2 * self.total / self.policy.rows_per_task))
 
-    def matches(self) -> Column:
-        if self.column is None:
-            return F.lit(True)
-        plain = [k for k in self.rows if k is not None]
-        hit = F.col(self.column).isin(plain) if plain else F.lit(False)
-        hit = F.coalesce(hit, F.lit(False))
-        return hit | F.col(self.column).isNull() if None in self.rows else hit
+    def bounded(self, totals: DataFrame) -> DataFrame:
+        """A table of a few rows per segment, to be broadcast while that is small."""
+        return F.broadcast(totals) if self.pieces <= self.policy.broadcast_segments else totals
 
 
 def find_heavy_keys(df: DataFrame, column: str | None, policy: SkewPolicy = DEFAULT_POLICY) -> HeavyKeys:
-    """Keys of ``column`` that hold more rows than one task should take. ``None``: the whole frame is one key."""
+    """The exact weight of the heaviest key, the null key included."""
     if column is None:
         total = df.count()
-        return HeavyKeys(None, {0: total} if total > policy.min_rows else {}, policy)
-    most = min(policy.sketch_items, math.ceil(1 / policy.share))
-    stats = df.select(column).agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(F.col(column).isNull()).alias("nulls"),
-        F.expr(f"approx_top_k(`{column}`, {most}, {policy.sketch_items})").alias("top"),
-    ).first()
-    threshold = max(policy.min_rows, policy.share * stats["total"])
-    rows = {r["item"]: r["count"] for r in stats["top"] or [] if r["item"] is not None and r["count"] > threshold}
-    if stats["nulls"] > threshold:
-        rows[None] = stats["nulls"]
-    return HeavyKeys(column, rows, policy)
-
-
-def _cut_points(df: DataFrame, heavy: HeavyKeys, order: Sequence[str]) -> DataFrame:
-    """One row per heavy key with its sorted cut points: altogether about ``max_cuts`` order tuples plus two per
-    heavy key, whatever the data size."""
-    policy, hot = heavy.policy, df.where(heavy.matches())
-    # Counted rather than taken from the estimate, which may stem from a related dataset.
-    n_rows = max(1, hot.count())
-    wanted = min(policy.max_cuts, max(2, math.ceil(n_rows / policy.min_rows) * 2))
-    fraction = min(1.0, wanted * policy.samples_per_cut / n_rows)
-    key = _whole(order) if heavy.column is None else F.col(heavy.column)
-    samples = (
-        hot.sample(fraction, seed=11)
-        .select(key.alias("k"), F.struct(*order).alias("o"))
-        .groupBy("k")
-        .agg(F.sort_array(F.collect_list("o")).alias("os"))
-    )
-    per_sample = F.lit(policy.samples_per_cut)
-    step = F.greatest(F.lit(1), F.least(per_sample, F.ceil(F.size("os") / 2))).cast("int")
-    picks = F.sequence(step, F.size("os"), step)
-    cuts = samples.select("k", F.array_distinct(F.transform(picks, lambda i: F.element_at("os", i))).alias("cuts"))
-    # Fixed on the driver (a bounded handful), so a recomputed task sees the same cuts.
-    return df.sparkSession.createDataFrame(cuts.collect(), cuts.schema)
-
-
-def _count_below(cuts: Column, value: Column, max_cuts: int) -> Column:
-    """How many cut points lie strictly below ``value``, by binary search."""
-    steps = F.array(*[F.lit(2**p) for p in range(int(math.log2(max_cuts)) + 1, -1, -1)])
-    return F.aggregate(
-        steps,
-        F.lit(0),
-        lambda lo, step: F.when(
-            (lo + step <= F.size(cuts)) & (F.get(cuts, lo + step - 1) < value), lo + step
-        ).otherwise(lo),
-    )
+        return HeavyKeys(None, total, total, policy)
+    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    got = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.coalesce(F.max("n"), F.lit(0)).alias("heaviest")).first()
+    return HeavyKeys(column, got["total"], got["heaviest"], policy)
 
 
 def segmented(df: DataFrame, heavy: HeavyKeys, order: Sequence[str]) -> DataFrame:
-    """Add the segment number of every row. Rows equal in ``order`` always share a segment."""
+    """``df`` with the segment number of every row, written once. Rows equal in key and ``order`` share a segment, and segments of a
+    key follow its order."""
     if not heavy:
         return df.withColumn(SEGMENT, F.lit(0))
-    cuts = _cut_points(df, heavy, order).select(F.col("k").alias("__k"), F.col("cuts").alias("__cuts"))
-    key = _whole(order) if heavy.column is None else F.col(heavy.column)
-    joined = df.join(F.broadcast(cuts), key.eqNullSafe(F.col("__k")), "left")
-    number = _count_below(F.col("__cuts"), F.struct(*order), heavy.policy.max_cuts)
-    return joined.withColumn(SEGMENT, F.when(F.col("__cuts").isNull(), 0).otherwise(number)).drop("__k", "__cuts")
-
-
-def _window(heavy: HeavyKeys) -> WindowSpec:
-    keys = [] if heavy.column is None else [heavy.column]
-    if heavy:
-        keys = [*keys, SEGMENT]
-    return Window.partitionBy(*keys)
+    ranged = df.repartitionByRange(heavy.pieces, *heavy.keys, *order)
+    return written(ranged.withColumn(SEGMENT, F.spark_partition_id()), "segments")
 
 
 def with_earlier_segments(
     rows: DataFrame, heavy: HeavyKeys, segment_totals: DataFrame, carry: Mapping[str, Column]
 ) -> DataFrame:
-    """Join to each row what earlier segments of its key contribute.
-
-    ``segment_totals`` has one row per heavy key and segment, so about as many rows as there are cut points: it
-    fits one broadcast.
-    """
-    keys = [SEGMENT] if heavy.column is None else [heavy.column, SEGMENT]
-    by_key = Window.partitionBy(*keys[:-1]).orderBy(SEGMENT)
+    """Join to each row what earlier segments of its key contribute. ``segment_totals`` has one row per key and segment; keys in a
+    single segment have nothing to carry and drop out."""
+    keys = [*heavy.keys, SEGMENT]
+    by_key = Window.partitionBy(*heavy.keys).orderBy(SEGMENT)
     before = by_key.rowsBetween(Window.unboundedPreceding, -1)
     carried = segment_totals.select(
-        *[F.col(k).alias("__c_" + k) for k in keys], *[c.over(before).alias(n) for n, c in carry.items()]
+        *[F.col(k).alias("__c_" + k) for k in keys],
+        F.row_number().over(by_key).alias("__nth"),
+        *[c.over(before).alias(n) for n, c in carry.items()],
     )
-    same = [F.col(k).eqNullSafe(F.col("__c_" + k)) for k in keys]
-    condition = same[0] if len(same) == 1 else same[0] & same[1]
-    return rows.join(F.broadcast(carried), condition, "left").drop(*["__c_" + k for k in keys])
+    carried = carried.where("__nth > 1").drop("__nth")
+    same = F.col(SEGMENT) == F.col("__c_" + SEGMENT)
+    for k in heavy.keys:
+        same = same & F.col(k).eqNullSafe(F.col("__c_" + k))
+    return rows.join(heavy.bounded(carried), same, "left").drop(*["__c_" + k for k in keys])
+
+
+def _window(heavy: HeavyKeys) -> WindowSpec:
+    return Window.partitionBy(*heavy.keys, *([SEGMENT] if heavy else []))
 
 
 def running_sums(
@@ -179,9 +128,6 @@ def running_sums(
     equal to the current one in ``order``.
     """
     heavy = find_heavy_keys(df, key, policy) if heavy is None else heavy
-    if heavy:
-        # Several passes follow; they share one evaluation of the input.
-        df = written(df, "scan")
     rows = segmented(df, heavy, order) if heavy else df
     w = _window(heavy).orderBy(*order)
     if peers:
@@ -192,8 +138,7 @@ def running_sums(
     local = rows.withColumns({name: F.coalesce(F.sum(expr).over(frame), zero) for name, expr in sums.items()})
     if not heavy:
         return local
-    keys = [SEGMENT] if heavy.column is None else [heavy.column, SEGMENT]
-    totals = rows.where(heavy.matches()).groupBy(*keys).agg(*[F.sum(e).alias(n) for n, e in sums.items()])
+    totals = rows.groupBy(*heavy.keys, SEGMENT).agg(*[F.sum(e).alias(n) for n, e in sums.items()])
     carry = {"__before_" + n: F.sum(n) for n in sums}
     out = with_earlier_segments(local, heavy, totals, carry)
     out = out.withColumns({n: F.col(n) + F.coalesce(F.col("__before_" + n), zero) for n in sums})

@@ -1,5 +1,6 @@
 import pytest
 from helpers import same_rows
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from bidtide.operators.asof import asof_join
@@ -8,7 +9,7 @@ from bidtide.operators.metrics import roc_auc
 from bidtide.operators.profiles import profile_changelog
 from bidtide.operators.skew import SEGMENT, HeavyKeys, SkewPolicy, find_heavy_keys, running_sums, segmented
 
-SMALL = SkewPolicy(min_rows=100, max_cuts=32)
+SMALL = SkewPolicy(rows_per_task=300)
 
 
 @pytest.fixture(scope="module")
@@ -26,7 +27,7 @@ def skewed(spark):
 
 def test_heavy_keys_are_found(spark, skewed):
     heavy = find_heavy_keys(skewed, "user_id", SMALL)
-    assert heavy.rows == {"hot": 1000, None: 1000}
+    assert heavy and (heavy.total, heavy.heaviest) == (3000, 1000)
     assert not find_heavy_keys(skewed, "user_id")
 
 
@@ -62,8 +63,21 @@ def test_asof_does_not_depend_on_segments(spark, skewed, inclusive):
 
 
 def test_estimates_from_another_dataset_only_steer_the_plan(spark, skewed):
-    heavy = HeavyKeys("user_id", {"hot": 1, "u2": 10**9, "absent": 5}, SMALL)
-    same_rows(user_history(skewed, heavy=heavy), user_history(skewed))
+    for total in (1, 500, 10_000):
+        same_rows(user_history(skewed, heavy=HeavyKeys("user_id", total, 10**9, SMALL)), user_history(skewed))
+
+
+@pytest.mark.parametrize("n", [1_500, 15_000])
+def test_groups_stay_under_the_bound_at_any_size(spark, n):
+    i = F.col("id")
+    rows = spark.range(n).select(F.when(i % 3 > 0, "hot").otherwise(F.concat(F.lit("u"), i % 40)).alias("k"), (i * 7919 % n).alias("t"))
+    parts = segmented(rows, find_heavy_keys(rows, "k", SMALL), ["t"]).groupBy("k", SEGMENT).count()
+    assert parts.agg(F.max("count"), F.sum("count")).first()[1] == n
+    assert parts.agg(F.max("count")).first()[0] <= SMALL.rows_per_task
+    by_key = Window.partitionBy("k").orderBy("t")
+    same_rows(running_sums(rows, "k", ["t"], {"s": F.col("t")}, policy=SMALL), rows.withColumn("s", F.sum("t").over(by_key)))
+    shuffled = SkewPolicy(rows_per_task=300, broadcast_segments=0)
+    same_rows(running_sums(rows, "k", ["t"], {"s": F.col("t")}, policy=shuffled), rows.withColumn("s", F.sum("t").over(by_key)))
 
 
 def test_probes_at_one_instant_are_split(spark, skewed):
