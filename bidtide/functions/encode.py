@@ -10,25 +10,36 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-# A categorical column with more values than this is not something to one-hot encode.
-MAX_VALUES = 10_000
+def vocabulary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """column_name, value, position: the distinct non-null values of each column in order, from one pass over ``df``."""
+    named = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns])
+    values = df.select(F.explode(named).alias("p")).select("p.*").where(F.col("value").isNotNull()).distinct()
+    by_column = Window.partitionBy("column_name").orderBy("value")
+    return values.withColumn("position", F.row_number().over(by_column) - 1)
+
+
+def feature_table(words: DataFrame, columns: Sequence[str], numeric: Sequence[str] = ()) -> DataFrame:
+    """position, feature: the ordered feature list of a ``vocabulary``, as a plan."""
+    rank = F.create_map(*[F.lit(v) for i, c in enumerate(columns) for v in (c, i)])[F.col("column_name")]
+    encoded = words.where("position > 0").select(
+        rank.alias("part"), F.col("position").alias("nth"), F.concat_ws("_", "column_name", "value").alias("feature")
+    )
+    names = F.array(*[F.struct(F.lit(-1), F.lit(i), F.lit(n)) for i, n in enumerate(numeric)])
+    if numeric:
+        # One row to explode, taken from the data so that an empty table has the numeric features too.
+        first = words.agg(F.count(F.lit(1))).select(F.explode(names).alias("n")).select("n.*").toDF("part", "nth", "feature")
+        encoded = first.unionByName(encoded)
+    # A window over one row per feature.
+    return encoded.select((F.row_number().over(Window.orderBy("part", "nth")) - 1).alias("position"), "feature")
 
 
 def fit_categories(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    """Sorted distinct non-null values of each column, from one pass over ``df``."""
-    pairs = df.select(
-        F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in columns])).alias("p")
-    ).select("p.*")
-    # One more than allowed is enough to tell that a column has too many.
-    found = pairs.where(F.col("value").isNotNull()).distinct().take(MAX_VALUES * len(columns) + 1)
+    """The vocabulary on the driver, where the fitted weights are: one name for each weight."""
     values: dict[str, list[str]] = {c: [] for c in columns}
-    for row in found:
-        values[row["name"]].append(row["value"])
-    for column, seen in values.items():
-        if len(seen) > MAX_VALUES:
-            raise ValueError(f"{column} has more than {MAX_VALUES} values; it cannot be one-hot encoded")
-        seen.sort()
+    for row in sorted(vocabulary(df, columns).collect(), key=lambda r: r["position"]):
+        values[row["column_name"]].append(row["value"])
     return values
 
 

@@ -28,6 +28,14 @@ def save_model(spark: SparkSession, model: LinearModel, root: str) -> None:
     model_rows(spark, model).write.mode("overwrite").parquet(_folder(root, model.source, model.version))
 
 
+def publish(spark: SparkSession, model: LinearModel, root: str) -> LinearModel:
+    """Save ``model`` as the next version of its source: complete versions are never overwritten, so readers are not disturbed."""
+    versions = _versions(spark, root, model.source)
+    numbered = model.at_version(versions[0] + 1 if versions else 0)
+    save_model(spark, numbered, root)
+    return numbered
+
+
 def _versions(spark: SparkSession, root: str, source: str) -> list[int]:
     """The version numbers of a source by folder name, newest first."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{source}")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bidtide.functions.encode import feature_names, fit_categories, one_hot
+from bidtide.functions.encode import feature_names, feature_table, fit_categories, one_hot, vocabulary
 from bidtide.functions.rules import fare_category
 from bidtide.functions.score import CATEGORICAL, LinearModel, ctr_score, serving_features
 from bidtide.functions.times import serving_text
@@ -244,9 +244,7 @@ def user_history_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def onehot_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = fit_categories(Inputs(spark, sf_dir).requests, CATEGORICAL)
-    rows = [(c, v, i) for c, values in found.items() for i, v in enumerate(values)]
-    return spark.createDataFrame(rows, "column_name STRING, value STRING, position INT")
+    return vocabulary(Inputs(spark, sf_dir).requests, CATEGORICAL)
 
 
 def onehot_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -319,8 +317,7 @@ def training_matrix_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def model_feature_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ordered feature list of the second model."""
-    names = feature_names(fit_categories(Inputs(spark, sf_dir).requests, CATEGORICAL), HISTORY_FEATURES)
-    return spark.createDataFrame(list(enumerate(names)), "position INT, feature STRING")
+    return feature_table(vocabulary(Inputs(spark, sf_dir).requests, CATEGORICAL), CATEGORICAL, HISTORY_FEATURES)
 
 
 def _model(spark: SparkSession, sf_dir: str, history: bool):

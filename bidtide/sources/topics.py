@@ -55,11 +55,11 @@ def file_messages(spark: SparkSession, path: str, max_files_per_trigger: int | N
 
 def decode(messages: DataFrame, schema: T.StructType, on_error: str = "fail") -> DataFrame:
     """JSON values as columns of ``schema``. A malformed message fails the query, or is dropped with
-    ``on_error="drop"``. A consumer names only the fields it needs."""
+    ``on_error="drop"``; a null one is skipped. A consumer names only the fields it needs."""
     corrupt = "__corrupt"
     fields = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
     options = {"columnNameOfCorruptRecord": corrupt, "timestampFormat": SERVING_TIME_FORMAT}
-    rows = messages.select(F.from_json("value", fields, options).alias("r")).select("r.*")
+    rows = messages.where(F.col("value").isNotNull()).select(F.from_json("value", fields, options).alias("r")).select("r.*")
     if on_error == "drop":
         return rows.where(F.col(corrupt).isNull()).drop(corrupt)
     checked = F.when(

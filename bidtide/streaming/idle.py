@@ -2,20 +2,33 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HEARTBEAT_PREFIX = "__beat_"
 
 
-def with_heartbeats(quiet: DataFrame, busy: DataFrame, key: str = "request_id", time: str = "ts", every: int = 100) -> DataFrame:
-    """Add to ``quiet`` about one in ``every`` event times of ``busy``, under keys that match nothing.
+def _latest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The latest time of a task's rows."""
+    latest = None
+    for batch in batches:
+        found = pc.max(batch.column("ms")).as_py()
+        latest = found if latest is None or found is not None and found > latest else latest
+    if latest is not None:
+        yield pa.RecordBatch.from_pydict({"ms": pa.array([latest], pa.int64())})
+
+
+def with_heartbeats(quiet: DataFrame, busy: DataFrame, key: str = "request_id", time: str = "ts") -> DataFrame:
+    """Add to ``quiet`` the latest event time of every task of every micro-batch of ``busy``, under keys that match nothing.
 
     A query's watermark is the minimum over its inputs, so a stream without events would hold back every
     unmatched row of the others. Call this before setting the watermark. The keys are not null: null keys
     would be filtered below the watermark and have no effect.
     """
-    beat = busy.where(F.pmod(F.xxhash64(key), F.lit(every)) == 0).select(
-        F.concat(F.lit(HEARTBEAT_PREFIX), F.col(key)).alias(key), F.col(time)
-    )
+    beats = busy.select(F.unix_millis(time).alias("ms")).mapInArrow(_latest, "ms long")
+    beat = beats.select(F.concat(F.lit(HEARTBEAT_PREFIX), F.col("ms")).alias(key), F.timestamp_millis("ms").alias(time))
     return quiet.unionByName(beat, allowMissingColumns=True)

@@ -6,13 +6,13 @@ import pytest
 from helpers import at
 from pyspark.sql import functions as F
 
-from bidtide.functions.encode import feature_names, fit_categories, one_hot
+from bidtide.functions.encode import feature_names, feature_table, fit_categories, one_hot, vocabulary
 from bidtide.functions.rules import serving_share, training_share
 from bidtide.functions.score import CATEGORICAL, LinearModel, ctr_score, serving_features, text_sql
 from bidtide.operators import training
 from bidtide.operators.learning import LearningRate, learn_batch, learnable, new_model
 from bidtide.operators.metrics import classification_report, roc_auc
-from bidtide.operators.registry import current_model, load_latest, save_model
+from bidtide.operators.registry import current_model, load_latest, publish, save_model
 
 SYSTEMS, CATEGORIES = ["iOS", "Android", "Windows"], ["Tech", "News", "Sports"]
 
@@ -178,3 +178,13 @@ def test_registry(spark, tmp_path):
     path = f"{root}/online/{11:012d}"
     spark.read.parquet(f"{root}/online/{10:012d}").withColumn("version", F.lit(11).cast("long")).where("position = 0").write.parquet(path)
     assert current_model(spark, root).version == 10
+    # Publishing goes to a new version, beyond an incomplete one too.
+    assert publish(spark, batch, root).version == 1 and load_latest(spark, root, "batch").version == 1
+    assert publish(spark, LinearModel(["a"], [5.0], 0.0, "online"), root).version == 12
+
+
+def test_vocabulary_as_a_plan(spark):
+    df = spark.createDataFrame([("b", "y"), ("a", None), ("b", "x"), (None, "z")], "os STRING, site_category STRING")
+    features = feature_table(vocabulary(df, CATEGORICAL), CATEGORICAL, ["n"]).orderBy("position").collect()
+    assert [tuple(r) for r in features] == [(0, "n"), (1, "os_b"), (2, "site_category_y"), (3, "site_category_z")]
+    assert [r.feature for r in feature_table(vocabulary(df.limit(0), CATEGORICAL), CATEGORICAL, ["n"]).collect()] == ["n"]
