@@ -171,7 +171,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         best = compared(at.select("a", "b")).groupBy("b").agg(F.max_by("a", F.struct("estimate", "a")).alias("a")).select("a", "b")
         found = _confirmed(best, docs, size, percent)
         links = found if links is None else links.unionByName(found)
-    links = links.unionByName(_confirmed(_rest(buckets, signature, links, cut), docs, size, percent))
+    links = links.unionByName(_confirmed(_rest(buckets, own, links, cut), docs, size, percent))
     labels = components(links).select(F.col("node").alias("id"), "component")
     named = classes.join(labels, "id", "left").select(F.col("set_key"), F.coalesce("component", "id").alias("component_id"))
     out = signs.select("doc_id", F.col("n").alias("n_shingles"), "set_key").join(named, "set_key", "left")
@@ -179,7 +179,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 
 
 def _rest(buckets: DataFrame, signature: DataFrame, links: DataFrame, cut: Column) -> DataFrame:
-    """Pairs of every bucket across components, by signature; one side leaves out the bucket's largest component."""
+    """Pairs of every bucket across components, by signature; one side leaves out the bucket's largest component.
+
+    A pair of two components is made in each bucket that it shares, as all of these hold more than one component; it is
+    kept in the one with the smallest key, so that it is a row once and not once for each bucket."""
     known = written(_with_component(buckets.select("key", "id"), links), "bucket_components")
     sizes = known.groupBy("key", "comp").count()
     largest = sizes.groupBy("key").agg(F.max_by("comp", F.struct("count", "comp")).alias("main"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
@@ -188,8 +191,9 @@ def _rest(buckets: DataFrame, signature: DataFrame, links: DataFrame, cut: Colum
     x, y = mixed_rows.where("comp <> main").alias("x"), mixed_rows.alias("y")
     apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") != F.col("y.comp"))
     once = (F.col("y.comp") == F.col("y.main")) | (F.col("x.id") < F.col("y.id"))
-    pairs = x.join(y, apart & once & (estimate("x", "y") >= cut))
-    return pairs.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    here = F.array_min(F.array_intersect("x.bands", "y.bands")) == F.col("x.key")
+    pairs = x.join(y, apart & once & (estimate("x", "y") >= cut) & here)
+    return pairs.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
 
 
 def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
