@@ -331,6 +331,8 @@ ORACLE = {
     "online_learner_status": _with(_BASE, " SELECT 'Updated' AS status, COUNT(*) AS examples FROM impressions"),
     "online_model_weights": _with(_BASE, _CHANGELOG, _FIRST_STEP),
     "stream_enriched_impressions": _IMPRESSIONS,
+    "topic_enriched_impressions": _IMPRESSIONS,
+    "chain_scored_requests": _SCORED_REQUESTS,
     "stream_user_profiles": _USER_PROFILES,
     "stream_profile_changelog": _USER_CHANGELOG,
     "stream_fare_totals": _FARE_TOTALS,

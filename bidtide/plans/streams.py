@@ -16,12 +16,12 @@ from bidtide.operators.profiles import profile_changelog
 from bidtide.operators.registry import models, save_model
 from bidtide.plans import datasets
 from bidtide.plans.batch import FIXED_MODEL, Inputs, _ride_fields, naive_times, rounded
-from bidtide.schemas import FARE_TOTALS, IMPRESSIONS, PROFILES, SCORED_REQUESTS
+from bidtide.schemas import CLICKS, FARE_TOTALS, IMPRESSIONS, PROFILES, REQUESTS, REQUESTS_FOR_SCORING, SCORED_REQUESTS, WINS
 from bidtide.session import fresh_path, prepare, stream_session
-from bidtide.sinks.topics import to_table
+from bidtide.sinks.topics import as_messages, to_table
 from bidtide.sinks.upsert import current_rows
 from bidtide.sources.tables import read_changelog
-from bidtide.sources.topics import OUT_OF_ORDER
+from bidtide.sources.topics import OUT_OF_ORDER, decode, file_messages, with_event_time
 from bidtide.streaming import jobs
 
 END = "__end"
@@ -68,7 +68,17 @@ class Streams:
         return path
 
     def stream_of(self, path: str, schema) -> DataFrame:
-        return self.session.readStream.schema(schema).parquet(path)
+        return self.session.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(path)
+
+    def publish(self, name: str, dataset, keys: list[str]) -> None:
+        """Write a derived dataset as a topic of JSON messages, end marker included."""
+        rows = dataset(self.table)
+        ended = _with_end(rows, rows, keys, "ts").withColumn("timestamp_ts", F.unix_millis("ts"))
+        as_messages(ended.drop("ts")).write.text(self.path(name))
+
+    def topic(self, name: str, schema) -> DataFrame:
+        """A JSON topic, decoded, with its event time and no watermark yet."""
+        return with_event_time(decode(file_messages(self.session, self.path(name)), schema), delay=None)
 
 
 def stream_enriched_impressions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,6 +93,38 @@ def stream_enriched_impressions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return naive_times(out.where(F.col("request_id") != END))
 
 
+def _enrich_topics(at: Streams) -> str:
+    """Publish the three JSON topics and run the enrichment job on them; the path of its table."""
+    at.publish("requests", datasets.requests, ["request_id", "user_id"])
+    at.publish("wins", datasets.wins, ["request_id"])
+    at.publish("clicks", datasets.clicks, ["request_id"])
+    inputs = at.topic("requests", REQUESTS), at.topic("wins", WINS), at.topic("clicks", CLICKS)
+    _run(jobs.enrichment_job(*inputs, at.path("impressions"), at.path("impressions_ckpt"), once=True))
+    return at.path("impressions")
+
+
+def topic_enriched_impressions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The enrichment job from JSON topics to its table."""
+    at = Streams(spark, sf_dir, "topic_enrich")
+    out = spark.read.schema(IMPRESSIONS).option("recursiveFileLookup", "true").parquet(_enrich_topics(at))
+    return naive_times(out.where(F.col("request_id") != END))
+
+
+def chain_scored_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Enrichment, version history and scoring, each fed by what the job before has written.
+
+    The marker of the first topic passes through all of them, and its version releases the scores."""
+    at = Streams(spark, sf_dir, "chain")
+    impressions = at.stream_of(_enrich_topics(at), IMPRESSIONS)
+    _run(jobs.changelog_job(impressions, at.path("versions"), at.path("versions_ckpt"), once=True))
+    versions = at.stream_of(at.path("versions"), PROFILES).withWatermark("update_time", OUT_OF_ORDER)
+    requests = at.topic("requests", REQUESTS_FOR_SCORING).withWatermark("ts", OUT_OF_ORDER)
+    save_model(spark, FIXED_MODEL, at.path("models"))
+    _run(jobs.scoring_job(requests, versions, at.path("models"), at.path("out"), at.path("ckpt"), once=True))
+    scored = spark.read.schema(SCORED_REQUESTS).option("recursiveFileLookup", "true").parquet(at.path("out"))
+    return rounded(scored.where(F.col("request_id") != END), 9, "ctr_score")
+
+
 def stream_user_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = Streams(spark, sf_dir, "profiles")
     impressions = at.stream_of(at.staged_impressions(), IMPRESSIONS)
@@ -162,6 +204,8 @@ def online_model_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 STREAMS = {
     "stream_enriched_impressions": stream_enriched_impressions,
+    "topic_enriched_impressions": topic_enriched_impressions,
+    "chain_scored_requests": chain_scored_requests,
     "stream_user_profiles": stream_user_profiles,
     "stream_profile_changelog": stream_profile_changelog,
     "stream_fare_totals": stream_fare_totals,
