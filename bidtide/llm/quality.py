@@ -16,7 +16,7 @@ lies halfway between the ``HIGH`` quantile of the held-out trusted documents and
 at the former where they overlap. Languages with fewer than ``FEWEST`` held-out trusted documents take the threshold of all.
 
 Defined results: null, empty texts score as the median and are kept; a null language is one of its own; without trusted
-documents every document is kept and nothing has a threshold; repeated rows are judged alike; labels of unknown
+documents no document is too surprising and nothing has a threshold; without toxic labels none is toxic; repeated rows are judged alike; labels of unknown
 documents and null labels count for nothing, a document with any label of 0 or toxic is not trusted; extra columns are
 ignored (filter: stay as they are).
 """
@@ -31,12 +31,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bidtide.llm.text import per_batch, small_batches, utf8
+from bidtide.llm.text import alnum_words, per_batch, small_batches, utf8
 from bidtide.session import written
 
 ORDER = 5
 SHARD_ROWS = 3_000_000
 PRIOR, HIGH, LOW, FEWEST = 64, 0.995, 0.05, 20
+REACH, DOUBT = 3, 2.58
+#: Weighted words sent to the tasks at a time.
+SHARD_WORDS = 500_000
 #: Labelled documents up to which their marks are sent to the tasks (some 16 bytes each); beyond, texts are shuffled.
 BROADCAST_LABELS = 1_000_000
 #: Control bytes count as blanks; byte 0 stands before a text.
@@ -182,36 +185,102 @@ def _thresholds(scored: DataFrame) -> DataFrame:
     at = both.alias("b").join(medians.alias("m"), same).select("b.overall", "b.lang", "trusted", "median", "trusted_docs", ((F.col("surprise") + PRIOR * F.col("median")) / (F.col("n") + PRIOR)).alias("score"))
     quantile = lambda flag, q: F.percentile_approx(F.when(flag, F.col("score")), q, 10_000)
     ends = at.groupBy("overall", "lang", "median", "trusted_docs").agg(quantile(F.col("trusted"), HIGH).alias("high"), quantile(~F.col("trusted"), LOW).alias("low"))
-    threshold = F.when(F.col("low") > F.col("high"), (F.col("low") + F.col("high")) / 2).otherwise(F.col("high"))
+    threshold = _limit(F.col("high"), F.col("low"))
     return written(ends.select("overall", "lang", "median", "trusted_docs", threshold.alias("threshold")), "thresholds")
 
 
+def _limit(high, low):
+    """Between the good documents' ``HIGH`` and the bad ones' ``LOW`` quantile, or at the former where they overlap."""
+    return F.when(low > high, (low + high) / 2).otherwise(high)
+
+
+def _unlearned(scored: DataFrame, learned: DataFrame, gap: float | None) -> DataFrame:
+    """of, m, t: of languages that aren't in ``learned`` the median of all their documents and the threshold, null for few."""
+    same = F.col("lang").eqNullSafe(F.col("of"))
+    rest = scored.where("n > 0").join(learned.select("of"), same, "left_anti").select("lang", "n", "surprise")
+    medians = rest.groupBy(F.col("lang").alias("of")).agg(F.percentile_approx(F.col("surprise") / F.col("n"), 0.5, 10_000).alias("m"))
+    score = (F.col("surprise") + PRIOR * F.col("m")) / (F.col("n") + PRIOR)
+    ends = rest.join(medians, same).groupBy("of", "m").agg(F.percentile_approx(score, LOW, 10_000).alias("low"), F.count(F.lit(1)).alias("docs"))
+    reach = F.col("m") + F.greatest(REACH * (F.col("m") - F.col("low")), F.lit(gap).cast("double"))
+    return written(ends.select("of", "m", F.when((F.col("docs") >= FEWEST) & F.lit(gap is not None), reach).alias("t")), "own_limits")
+
+
+def toxic_words(texts: DataFrame) -> DataFrame:
+    """Written: word, weight (above 0) of texts with a flag ``toxic``."""
+    def rows(batch: pa.RecordBatch) -> dict:
+        words, flags = [], []
+        for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
+            found = set(alnum_words(text))
+            words += found
+            flags += [toxic] * len(found)
+        return {"word": pa.array(words, pa.binary()), "toxic": pa.array(flags, pa.bool_())}
+
+    one = F.when(F.col("toxic"), 1).otherwise(0)
+    sizes = texts.agg(F.sum(one).alias("bad"), F.sum(1 - one).alias("good")).first()
+    bad, good = sizes.bad or 0, sizes.good or 0
+    found = per_batch(texts.select(utf8().alias("text"), "toxic"), "word binary, toxic boolean", rows)
+    counts = found.groupBy("word").agg(F.sum(one).alias("a"), F.sum(1 - one).alias("b")).where("a > 0")
+    a, b = F.col("a") + 0.5, F.col("b") + 0.5
+    odds = F.log(a / (bad + 1 - a)) - F.log(b / (good + 1 - b))
+    weight = odds - DOUBT * F.sqrt(1 / a + 1 / b + 1 / (bad + 1 - a) + 1 / (good + 1 - b))
+    return written(counts.select("word", weight.alias("weight")).where("weight > 0"), "toxic_words")
+
+
+def with_toxicity(docs: DataFrame, words: DataFrame, column: str, shard_words: int = SHARD_WORDS) -> DataFrame:
+    """``docs`` with the largest weight of a document's words, 0 without any; words are sent round ``shard_words`` at a time."""
+    shards = max(1, -(-words.count() // shard_words))
+    others = [c for c in docs.columns if c != "text"]
+    frame = docs.select(F.struct(*others).alias("doc"), "text", F.lit(0.0).alias("worst"))
+    kind = frame.schema["doc"].dataType.simpleString()
+    for shard in range(shards):
+        rows = words.where(F.pmod(F.xxhash64("word"), F.lit(shards)) == shard).toArrow()
+        shared = docs.sparkSession.sparkContext.broadcast(dict(zip(rows["word"].to_pylist(), rows["weight"].to_pylist())))
+
+        def worst(batch: pa.RecordBatch, shared=shared) -> dict:
+            weights = shared.value
+            texts = (t or "" for t in batch.column("text").to_pylist())
+            found = [max((weights[w] for w in weights.keys() & set(alnum_words(t.encode()))), default=0.0) for t in texts]
+            return {"doc": batch.column("doc"), "text": batch.column("text"), "worst": pa.array(np.maximum(batch.column("worst").to_numpy(), found), pa.float64())}
+
+        frame = per_batch(frame, f"doc {kind}, text string, worst double", worst)
+        frame = written(frame, "toxicity") if shard + 1 < shards else frame
+    return frame.select("doc.*", "text", F.col("worst").alias(column))
+
+
 def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc (a struct of the document's columns but text), n, score, threshold, perplexity, kept. ``docs`` needs doc_id,
+    """doc (a struct of the document's columns but text), n, score, threshold, perplexity, toxicity, kept. ``docs`` needs doc_id,
     text and lang; ``labels`` doc_id, quality and toxic."""
     bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
     marks = labels.where("doc_id is not null").groupBy("doc_id").agg(
-        F.coalesce(F.min(F.when(F.col("quality").isNotNull(), ~bad)), F.lit(False)).alias("trusted"), F.coalesce(F.max(F.col("quality") == 0), F.lit(False)).alias("distrusted"))
+        F.coalesce(F.min(F.when(F.col("quality").isNotNull(), ~bad)), F.lit(False)).alias("trusted"), F.coalesce(F.max(F.col("quality") == 0), F.lit(False)).alias("distrusted"),
+        F.max(F.col("toxic") == 1).alias("toxic"))
     marks = written(marks, "marks").withColumnRenamed("doc_id", "__id")
     if marks.count() <= BROADCAST_LABELS:
         marks = F.broadcast(marks)
     held_out = F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0
     texts = docs.select("doc_id", "text").join(marks.where("trusted"), F.col("doc_id") == F.col("__id"), "left_semi")
     model = train(texts.where(~held_out))
-    scores = surprise(docs, model).withColumnRenamed("doc", "d")
+    flagged = docs.select("doc_id", "text").join(marks.where("toxic is not null"), F.col("doc_id") == F.col("__id"))
+    words = toxic_words(flagged.where(~held_out).select("text", "toxic"))
+    scores = surprise(with_toxicity(docs, words, "__toxicity"), model).withColumnRenamed("doc", "d")
     scored = written(scores.join(marks, F.col("d.doc_id") == F.col("__id"), "left").select(
-        "d", F.col("d.lang").cast("string").alias("lang"), "n", "surprise", F.coalesce("trusted", F.lit(False)).alias("trusted"),
+        F.col("d").dropFields("__toxicity").alias("d"), F.col("d.__toxicity").alias("toxicity"), "toxic", F.col("d.lang").cast("string").alias("lang"), "n", "surprise", F.coalesce("trusted", F.lit(False)).alias("trusted"),
         F.coalesce("distrusted", F.lit(False)).alias("distrusted"), (F.pmod(F.xxhash64("d.doc_id"), F.lit(5)) == 0).alias("held_out")), "scored")
     limits = _thresholds(scored)
     own = limits.where(~F.col("overall") & (F.col("trusted_docs") >= FEWEST)).select(F.col("lang").alias("of"), F.col("median").alias("m"), F.col("threshold").alias("t"))
+    tail = lambda flag, q: F.percentile_approx(F.when(flag, F.col("toxicity")), q, 10_000)
+    bounds = scored.where("n > 0 and held_out and toxic is not null").agg(tail(~F.col("toxic"), HIGH).alias("high"), tail(F.col("toxic"), LOW).alias("low"))
+    most = bounds.select(_limit(F.col("high"), F.col("low"))).first()[0]
     overall = limits.where("overall").select(F.col("median").alias("m0"), F.col("threshold").alias("t0"))
     every = overall.first()  # one row at most
     m0, t0 = (every.m0, every.t0) if every else (None, None)
+    own = own.unionByName(_unlearned(scored, own, t0 - m0 if every else None))
     joined = scored.join(own, F.col("lang").eqNullSafe(F.col("of")), "left")
-    median, threshold = F.coalesce("m", F.lit(m0).cast("double")), F.coalesce("t", F.lit(t0).cast("double"))
+    median, threshold = F.coalesce("m", F.lit(m0).cast("double")), F.col("t")
     score = (F.col("surprise") + PRIOR * median) / (F.col("n") + PRIOR)
-    out = joined.select(F.col("d").alias("doc"), "n", score.alias("score"), threshold.alias("threshold"), F.exp(F.col("surprise") / F.greatest("n", F.lit(1))).alias("perplexity"))
-    return out.withColumn("kept", F.coalesce(F.col("score") <= F.col("threshold"), F.lit(True)))
+    out = joined.select(F.col("d").alias("doc"), "n", score.alias("score"), threshold.alias("threshold"), F.exp(F.col("surprise") / F.greatest("n", F.lit(1))).alias("perplexity"), "toxicity")
+    fluent = F.coalesce(F.col("score") <= F.col("threshold"), F.lit(True))
+    return out.withColumn("kept", fluent & F.coalesce(F.col("toxicity") <= F.lit(most).cast("double"), F.lit(True)))
 
 
 def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -84,3 +84,24 @@ def test_pipeline_stages_take_effect(spark):
     pieces = pipeline.run(spark, sf).collect()
     assert {r.doc_id for r in pieces} == set(kept["decontamination"])
     assert sum(r.length for r in pieces) == sum(r.doc_tokens for r in pieces if r.start == 0)
+
+
+def test_language_without_trusted_text_and_toxic_words(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    spanish = docs.where("lang = 'es'").select("doc_id")
+    rows = quality.judged(docs, labels.join(spanish, "doc_id", "left_anti")).selectExpr("doc.doc_id", "doc.lang", "kept").join(labels, "doc_id").collect()
+    assert {r.kept for r in rows if r.lang == "es" and r.quality == 1 and r.toxic == 0} == {True}
+    assert {r.kept for r in rows if r.lang == "es" and r.quality == 0} == {False}
+    toxic = [r.kept for r in rows if r.lang == "en" and r.quality == 1 and r.toxic == 1]
+    assert len(toxic) > 20 and sum(toxic) <= 0.1 * len(toxic)
+
+
+def test_toxic_words_in_shards_equal_one_pass(spark):
+    rows = [(i, f"plain words number {i}" + (" you Scum!" if i % 3 == 0 else " you rotter" if i % 3 == 1 else ""), i % 3 < 2) for i in range(90)]
+    texts = spark.createDataFrame(rows, "doc_id long, text string, toxic boolean")
+    words = quality.toxic_words(texts)
+    assert {bytes(r.word) for r in words.collect()} == {b"scum", b"rotter", b"you"}
+    docs = spark.createDataFrame([(1, "ScUm."), (2, "scummy"), (3, None), (4, "a rotter")], "doc_id long, text string")
+    one, many = ({r.doc_id: r.w for r in quality.with_toxicity(docs, words, "w", n).collect()} for n in (10, 1))
+    assert one == many and one[1] > 0 and one[4] > 0 and one[2] == one[3] == 0
