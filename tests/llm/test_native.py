@@ -91,3 +91,10 @@ def test_propagation_equals_matrix_iteration(spark):
         6: ("example.org/en/1", "block"), 7: (None, "allow"), 8: (None, "allow"), 9: (None, "allow")}
     assert (rows[6].host, rows[6].path) == ("a.example.org", "/en/12") and (rows[9].host, rows[9].path) == ("", "")
     assert urls.judged_pages(pages).count() == 10 and urls.judged_pages(pages.limit(0)).count() == 0
+
+
+def test_verdicts_are_free_of_the_tables_size(spark):
+    pages = spark.createDataFrame([(1, "http://bad.com/de/1", ""), (2, "http://bad.com/x", ""), (3, "http://spam.net/", '<a href="//bad.com/">')], "page_id long, url string, html string")
+    more = spark.range(20_000).selectExpr("id + 10 as page_id", "concat('http://h', id, '.com/de/') as url", "'' as html")
+    small, large = ({r.page_id: r.verdict for r in urls.judged_pages(frame, steps=5).where("page_id < 10").collect()} for frame in (pages, pages.unionByName(more)))
+    assert small == large == {1: "block", 2: "block", 3: "block"}
