@@ -71,3 +71,46 @@ q AS (SELECT DISTINCT a.r AS a, b.r AS b FROM p a JOIN p b ON a.t = b.t AND a.r
 m AS (SELECT DISTINCT b FROM q JOIN c x ON x.r = a JOIN c y ON y.r = b WHERE 100 * len(list_intersect(x.w, y.w)) >= {percent} * (x.n + y.n - len(list_intersect(x.w, y.w)))),
 g AS (SELECT doc_id, line FROM k WHERE r NOT IN (SELECT r FROM c WHERE r NOT IN (SELECT b FROM m)))
 SELECT doc_id, count(*) AS n_removed, string_agg(line::varchar, ',' ORDER BY line) AS removed_lines FROM g GROUP BY doc_id"""
+
+_LOW = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def ranked_search(top: int = 50) -> str:
+    words = f"regexp_extract_all({_LOW.format('text')}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+    return f"""WITH i AS (SELECT item_id, list_distinct(flatten(list({words}))) AS ts FROM benchmark WHERE text IS NOT NULL GROUP BY item_id),
+q AS MATERIALIZED (SELECT item_id, unnest(ts) AS t FROM i), qs AS (SELECT DISTINCT t FROM q),
+d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, ws, len(ws) AS n FROM (SELECT doc_id, {words} AS ws FROM documents WHERE text IS NOT NULL)),
+g AS MATERIALIZED (SELECT count(*)::bigint AS nd, sum(n)::bigint AS l FROM d WHERE n > 0),
+p AS MATERIALIZED (SELECT r, doc_id, n, t, count(*) AS tf FROM (SELECT r, doc_id, n, unnest(ws) AS t FROM d) SEMI JOIN qs USING (t) GROUP BY r, doc_id, n, t),
+w AS MATERIALIZED (SELECT t, floor(1000 * ln((2 * nd + 2)::double / (2 * count(*) + 1)))::bigint AS w FROM p, g GROUP BY t, nd),
+c AS MATERIALIZED (SELECT r, doc_id, t, w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * nd) // l))) AS c FROM p JOIN w USING (t), g),
+s AS (SELECT item_id, doc_id, sum(c)::bigint AS score FROM q JOIN c USING (t) GROUP BY item_id, r, doc_id HAVING sum(c) > 0),
+k AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::int AS rank, doc_id, score FROM s)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= {top}"""
+
+
+def merkle_audit(arity: int = 16, levels: int = 12) -> str:
+    """Levels as one CTE each; a node's siblings and its sibling-fold are carried up by every leaf."""
+    field = lambda c: f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::varchar) || ':' || {c} END"
+    leaf = lambda text: "sha256(" + " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+    crc = "xor(list_reduce(list_transform(string_split(doc_id::varchar, ''), lambda c: ascii(c)::bigint), lambda a, b: list_reduce([0::bigint, 1, 2, 3, 4, 5, 6, 7], lambda x, i: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END), xor(a, b)), 4294967295::bigint), 4294967295)"
+    parts = [
+        f"d AS MATERIALIZED (SELECT *, {leaf('text')} AS leaf, CASE WHEN {crc} % 5 = 0 THEN {_LOW.format('text')} ELSE text END AS shown FROM documents)",
+        f"l AS MATERIALIZED (SELECT row_number() OVER (ORDER BY source NULLS FIRST, doc_id NULLS FIRST, leaf) AS r, doc_id, coalesce('=' || source, '') AS tree, leaf, {leaf('shown')} AS folded FROM d)",
+        "a0 AS MATERIALIZED (SELECT tree, row_number() OVER (PARTITION BY tree ORDER BY r) - 1 AS i, leaf AS h FROM l)",
+        "p0 AS MATERIALIZED (SELECT r, doc_id, leaf, tree, row_number() OVER (PARTITION BY tree ORDER BY r) - 1 AS i, '' AS proof, folded FROM l)",
+    ]
+
+    def climb(name: str, path: str) -> None:
+        for k in range(levels):
+            group = f"SELECT tree, i // {arity} AS i, list(h ORDER BY i) AS hs FROM {name}{k} WHERE tree IN (SELECT tree FROM {name}{k} WHERE i > 0) GROUP BY tree, i // {arity}"
+            parts.append(f"g{name}{k} AS MATERIALIZED ({group})")
+            parts.append(f"{name}{k + 1} AS MATERIALIZED (SELECT tree, i, sha256(array_to_string(hs, '')) AS h FROM g{name}{k} UNION ALL SELECT tree, i, h FROM {name}{k} WHERE tree NOT IN (SELECT tree FROM g{name}{k}))")
+            at, left, right = f"p.i % {arity}", f"array_to_string(g.hs[1:p.i % {arity}], '')", f"array_to_string(g.hs[p.i % {arity} + 2:], '')"
+            parts.append(f"{path}{k + 1} AS MATERIALIZED (SELECT p.r, p.doc_id, p.leaf, p.tree, p.i // {arity} AS i, CASE WHEN g.hs IS NULL THEN p.proof ELSE p.proof || {left} || {right} END AS proof, CASE WHEN g.hs IS NULL THEN p.folded ELSE sha256({left} || p.folded || {right}) END AS folded FROM {path}{k} p LEFT JOIN g{name}{k} g ON g.tree = p.tree AND g.i = p.i // {arity})")
+
+    climb("a", "p")
+    parts.append(f"b0 AS MATERIALIZED (SELECT '' AS tree, row_number() OVER (ORDER BY tree) - 1 AS i, h, tree AS named FROM a{levels})")
+    parts.append(f"q0 AS MATERIALIZED (SELECT p.r, p.doc_id, p.leaf, '' AS tree, b.i, p.proof, p.folded, b.h AS subroot FROM p{levels} p JOIN b0 b ON b.named = p.tree)")
+    climb("b", "q")
+    return f"WITH {', '.join(parts)} SELECT q.doc_id, q.leaf, q0.subroot, t.h AS root, sha256(q.proof) AS proof_sha256, q.folded AS folded_root, q.folded = t.h AS verified FROM q{levels} q JOIN q0 ON q0.r = q.r, b{levels} t"
