@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bidtide.llm import decontaminate, embeddings, licenses, lines, merkle, neardup, packing, pii, quality, search, sql, tokens, urls
+from bidtide.llm import decontaminate, embeddings, langid, licenses, lines, merkle, neardup, packing, pii, quality, search, sql, tokens, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,10 +67,14 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audited(table(spark, sf_dir, "documents"), *merkle.audit_columns()).drop("source")
 
 
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.judged(table(spark, sf_dir, "documents"))
+
+
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_embedding_dedup, op3_url_filter, op4_decontamination, op5_token_ids, op6_near_duplicates, op7_licenses, op8_quality, op9_packing, op10_personal_data, op11_merkle_manifest, op13_ranked_search)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_embedding_dedup, op3_url_filter, op4_decontamination, op5_token_ids, op6_near_duplicates, op7_licenses, op8_quality, op9_packing, op10_personal_data, op11_merkle_manifest, op12_language_id, op13_ranked_search)}
 ORACLE: dict[str, str] = {"op1_line_dedup": sql.line_dedup(), "op3_url_filter": sql.url_filter(), "op10_personal_data": sql.personal_data(),
     "op11_merkle_manifest": sql.merkle_audit(), "op13_ranked_search": sql.ranked_search()}
