@@ -1,9 +1,9 @@
 """URL filter: rules by host and path, and link-graph propagation for hosts without a rule. Expressions only.
 
 Trust flows from hosts with allowed pages along links (personalised PageRank); distrust flows from hosts with blocked
-pages against the links' direction, to those who link to them. Scores of a kind sum to 1; times the number of its ruled pages
-they count pages, and these don't shrink as other hosts join the table. A host without a rule's verdict is blocked when its
-distrust is worth at least ``threshold`` blocked pages and more pages than its trust.
+pages against the links' direction, to those who link to them. Scores of a kind sum to 1 over all hosts. A host without a rule's
+verdict is blocked when distrust is more than ``share`` of the trust and distrust that have reached it: a threshold per host that
+depends neither on the size of the table nor on how many pages either set of seeds has.
 
 Links are counted per pair of hosts before anything else, so a host with a third of all pages is one row per linked
 host. Mass at hosts without outgoing links returns to the seeds. Each step is one join and one grouped sum over host pairs;
@@ -67,7 +67,7 @@ def propagated(links: DataFrame, seeds: DataFrame, damping: float = 0.85, steps:
 
 
 def host_scores(pages: DataFrame, rules: list[tuple[str, str, str]], **options) -> DataFrame:
-    """host, trust, distrust, allowed, blocked (the two in pages) for every host that some mass reaches."""
+    """host, trust, distrust for every host that some mass reaches."""
     judged = pages.select(host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     judged = judged.select("host", rule_of(F.col("host"), F.col("path"), rules)["verdict"].alias("verdict")).where("verdict is not null")
     kind = F.when(F.col("verdict") == "allow", "trust").otherwise("distrust").alias("kind")
@@ -84,11 +84,10 @@ def host_scores(pages: DataFrame, rules: list[tuple[str, str, str]], **options)
     links = shares("trust", "src", "dst").unionByName(shares("distrust", "dst", "src"))
     scores = propagated(links, seeds, **options)
     of = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("score")).otherwise(0.0)).alias(kind)
-    pages_of = lambda kind, name: F.sum(F.when(F.col("kind") == kind, F.col("score") * F.col("all")).otherwise(0.0)).alias(name)
-    return scores.join(F.broadcast(totals), "kind").groupBy("host").agg(of("trust"), of("distrust"), pages_of("trust", "allowed"), pages_of("distrust", "blocked"))
+    return scores.groupBy("host").agg(of("trust"), of("distrust"))
 
 
-def judged_pages(pages: DataFrame, rules: list[tuple[str, str, str]] | None = None, threshold: float = 1e-4, **options) -> DataFrame:
+def judged_pages(pages: DataFrame, rules: list[tuple[str, str, str]] | None = None, share: float = 0.5, **options) -> DataFrame:
     """Every page: page_id, host, path, rule, verdict, trust, distrust (of its host)."""
     rules = RULES if rules is None else rules
     scores = host_scores(pages, rules, **options).withColumnRenamed("host", "scored")
@@ -96,7 +95,7 @@ def judged_pages(pages: DataFrame, rules: list[tuple[str, str, str]] | None = No
     rows = rows.withColumn("fit", rule_of(F.col("host"), F.col("path"), rules))
     none = F.lit(0.0)
     at = rows.join(scores, F.col("host") == F.col("scored"), "left").select(
-        "page_id", "host", "path", "fit", F.coalesce("trust", none).alias("trust"), F.coalesce("distrust", none).alias("distrust"),
-        F.coalesce("allowed", none).alias("allowed"), F.coalesce("blocked", none).alias("blocked"))
-    method = F.when((F.col("blocked") >= threshold) & (F.col("blocked") > F.col("allowed")), "block").otherwise("allow")
+        "page_id", "host", "path", "fit", F.coalesce("trust", none).alias("trust"), F.coalesce("distrust", none).alias("distrust"))
+    # A part in 10^9 keeps the order of summation out of the verdict.
+    method = F.when(F.col("distrust") * (1 - 1e-9) > share * (F.col("trust") + F.col("distrust")), "block").otherwise("allow")
     return at.select("page_id", "host", "path", F.col("fit.rule").alias("rule"), F.coalesce("fit.verdict", method).alias("verdict"), "trust", "distrust")
