@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bidtide.llm.components import components
+from bidtide.llm.rows import with_row_ids
 from bidtide.llm.text import WordHashes, mixed, per_batch, shingles, small_batches, spaced_words, utf8
 from bidtide.session import written
 
@@ -197,7 +198,10 @@ def _rest(buckets: DataFrame, signature: DataFrame, links: DataFrame, cut: Colum
 
 
 def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The documents that are the first of their group, unchanged; of rows that repeat a doc_id one stays."""
-    kept = near_duplicates(docs, size, percent).where("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    there = docs.join(kept, docs["doc_id"].eqNullSafe(kept["__kept"]), "left_semi")
-    return there.dropDuplicates(["doc_id"])
+    """The documents that are the first of their group, unchanged. Rows that share a doc_id, or have none, are documents of their
+    own: they go only if their text is a near-duplicate of another row's. Rows without shingles all stay."""
+    numbered_rows = with_row_ids(docs)
+    rows, key = numbered_rows or (docs, "doc_id")
+    judged = near_duplicates(rows.select(F.col(key).alias("doc_id"), "text"), size, percent)
+    kept = judged.where("kept").select(F.col("doc_id").alias("__kept"))
+    return rows.join(kept, F.col(key) == F.col("__kept"), "left_semi").select(*docs.columns)

@@ -52,3 +52,11 @@ def test_awkward_documents(docs):
     kept = neardup.one_of_each(docs)
     assert kept.columns == docs.columns and kept.count() == docs.count() - 1
     assert neardup.near_duplicates(docs.limit(0)).count() == 0 and neardup.one_of_each(docs.limit(0)).count() == 0
+
+
+def test_rows_that_share_an_id_or_have_none_stay(spark):
+    other = [" ".join(f"{c}{i}" for i in range(9)) for c in "abcdefg"]
+    rows = [(None, t) for t in other[:5]] + [(7, other[5]), (7, other[6]), (7, other[6]), (9, other[6]), (None, other[0]), (None, None), (8, ""), (8, "")]
+    got = [tuple(r) for r in neardup.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    want = [(None, t) for t in other[:5]] + [(7, other[5]), (7, other[6]), (None, None), (8, ""), (8, "")]
+    assert sorted(got, key=str) == sorted(want, key=str)
