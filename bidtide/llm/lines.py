@@ -1,7 +1,8 @@
 """Line dedup: an exact set-similarity join of lines, after which every line that an earlier one matches is removed.
 
-A line's tokens are its distinct words. Lines of at least ``min_tokens`` tokens whose Jaccard similarity with any earlier line
-(by doc_id, then line number) is at least ``percent`` are removed; shorter lines always stay.
+A line's tokens are its distinct words. Lines of at least ``min_tokens`` tokens (one, unless asked otherwise) whose Jaccard similarity
+with any earlier line (by doc_id, then line number) is at least ``percent`` are removed; lines without tokens always stay. Sets of few
+tokens, such as a line without blanks, are similar only if they are equal.
 
 1. Rarity: occurrences of all tokens of all lines, counted in ``SKETCH`` hashed counters (a table of fixed size, which is
    what is sent round). Tokens are ordered by their counter, then by hash: one order for all lines, so the filters are
@@ -15,9 +16,10 @@ A line's tokens are its distinct words. Lines of at least ``min_tokens`` tokens
    copies of a line with one pair each. Lines still without a match are then joined with all earlier lines.
 5. Candidates are verified on their full token sets.
 
-Defined results: a null text has no lines and stays null; an empty text is one empty line; repeated doc_ids are taken as
-one document, of which the rows keep their own texts and lose the same line numbers; an empty table gives an empty
-result; extra columns stay as they are.
+Defined results: a null text has no lines and stays null; an empty text is one empty line; doc_id is a long. ``removed_lines`` names
+lines by doc_id, so it wants ids that are unique, and leaves rows without one alone; ``without_repeats`` takes any rows: those that
+share a doc_id or have none are documents of their own, in order of doc_id, rows without one last. An empty table gives an empty result;
+extra columns stay as they are.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bidtide.llm.rows import with_row_ids
 from bidtide.llm.text import _ALNUM, WordHashes, mixed, per_batch, small_batches, utf8
 from bidtide.session import written
 
@@ -165,14 +168,17 @@ def _verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     return per_batch(filled.select("b_doc", "b_line", "x", "y"), "b_doc long, b_line int", similar).distinct()
 
 
-def removed_lines(docs: DataFrame, percent: int = 80, min_tokens: int = 3) -> DataFrame:
+def removed_lines(docs: DataFrame, percent: int = 80, min_tokens: int = 1) -> DataFrame:
     """doc_id, lines: of every document that loses some, the numbers of the lines to remove, ascending."""
     small_batches(docs, "4m")
     named = docs.where("doc_id is not null and text is not null")
     lines = written(_line_table(named, _counters(named), min_tokens, percent), "lines")
     first = F.min(F.struct("doc_id", "line", "size", "bits", "prefix")).alias("f")
     classes = written(lines.groupBy("k1", "k2").agg(first).select("f.*"), "line_classes")
-    postings = classes.select("doc_id", "line", "size", "bits", F.posexplode("prefix").alias("place", "token"))
+    # Different sets are similar from this size on only: one token less in a set of k leaves (k - 1) / k of it.
+    least = -(-percent // (100 - percent)) if percent < 100 else 2**31 - 1
+    classes_joined = classes.where(F.col("size") >= least)
+    postings = classes_joined.select("doc_id", "line", "size", "bits", F.posexplode("prefix").alias("place", "token"))
     # Stars: the first line that has a token among its two rarest meets all others that have it there.
     rare = postings.where("place < 2")
     hubs = rare.groupBy("token").agg(F.min(F.struct("doc_id", "line", "size", "bits", "place")).alias("h"), F.count(F.lit(1)).alias("n")).where("n > 1").select("token", "h.*")
@@ -182,7 +188,7 @@ def removed_lines(docs: DataFrame, percent: int = 80, min_tokens: int = 3) -> Da
     settled = written(_verified(stars.select(*columns), named, percent), "settled").select(F.col("b_doc").alias("doc_id"), F.col("b_line").alias("line"), F.lit(True).alias("settled"))
     # The rest: of each pair the smaller line's postings end earlier; the later line must be one without a match so far.
     marks = F.broadcast(settled) if settled.count() <= BROADCAST_IDS else settled
-    known = classes.join(marks, ["doc_id", "line"], "left").select(
+    known = classes_joined.join(marks, ["doc_id", "line"], "left").select(
         "doc_id", "line", "size", "bits", F.coalesce("settled", F.lit(False)).alias("settled"), F.posexplode("prefix").alias("place", "token"))
     short = known.where(F.col("place") < F.col("size") - _overlap(percent, F.col("size"), F.col("size")) + 1)
     smaller = (F.col("x.size") < F.col("y.size")) | (F.col("x.size") == F.col("y.size")) & ((F.col("x.doc_id") < F.col("y.doc_id")) | (F.col("x.doc_id") == F.col("y.doc_id")) & (F.col("x.line") < F.col("y.line")))
@@ -198,11 +204,13 @@ def removed_lines(docs: DataFrame, percent: int = 80, min_tokens: int = 3) -> Da
     return gone.groupBy("doc_id").agg(F.array_sort(F.collect_list("line")).alias("lines"))
 
 
-def without_repeats(docs: DataFrame, percent: int = 80, min_tokens: int = 3) -> DataFrame:
+def without_repeats(docs: DataFrame, percent: int = 80, min_tokens: int = 1) -> DataFrame:
     """The documents with all their columns, texts without the removed lines."""
-    gone = removed_lines(docs, percent, min_tokens).select(F.col("doc_id").alias("__of"), F.col("lines").alias("__gone"))
+    numbered_rows = with_row_ids(docs)
+    rows, key = numbered_rows or (docs, "doc_id")
+    gone = removed_lines(rows.select(F.col(key).alias("doc_id"), "text"), percent, min_tokens).select(F.col("doc_id").alias("__of"), F.col("lines").alias("__gone"))
     split = F.split("text", "\n", -1)
     kept = F.transform(F.filter(F.transform(split, lambda line, i: F.struct(line.alias("l"), i.alias("i"))), lambda s: ~F.array_contains("__gone", s["i"])), lambda s: s["l"])
-    joined = docs.join(gone, F.col("doc_id") == F.col("__of"), "left")
+    joined = rows.join(gone, F.col(key) == F.col("__of"), "left")
     text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
     return joined.withColumn("text", text).select(*docs.columns)

@@ -7,7 +7,7 @@ from bidtide.llm import urls
 _LINK = r"""href\s*=\s*["'']?(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#"''\s>]+)"""
 
 
-def url_filter(damping: float = 0.85, steps: int = 20, threshold: float = 1e-4) -> str:
+def url_filter(damping: float = 0.85, steps: int = 20, share: float = 0.5) -> str:
     """Rules by a cross-free CASE, propagation as one CTE for each step."""
     low = lambda x: f"translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     ordered = sorted(urls.RULES, key=lambda r: -len(r[0] + r[1]))
@@ -24,7 +24,7 @@ def url_filter(damping: float = 0.85, steps: int = 20, threshold: float = 1e-4)
         parts.append(f"c{k} AS MATERIALIZED (SELECT e.kind, e.dst AS host, {damping} * sum(score * share) AS score FROM s{k} JOIN e ON e.kind = s{k}.kind AND e.src = s{k}.host GROUP BY ALL)")
         parts.append(f"s{k + 1} AS MATERIALIZED (SELECT kind, host, sum(score) AS score FROM (FROM c{k} UNION ALL SELECT kind, host, seed * (1 - coalesce((SELECT sum(score) FROM c{k} WHERE c{k}.kind = seed.kind), 0)) FROM seed) GROUP BY ALL)")
     parts.append(f"f AS (SELECT host, coalesce(sum(score) FILTER (kind = 't'), 0) AS t, coalesce(sum(score) FILTER (kind = 'd'), 0) AS d FROM s{steps} GROUP BY host)")
-    return "WITH " + ", ".join(parts) + f" SELECT page_id, j.host, path, rule, coalesce(fit, CASE WHEN coalesce(d, 0) >= {threshold} AND d > t THEN 'block' ELSE 'allow' END) AS verdict FROM j LEFT JOIN f ON f.host = j.host"
+    return "WITH " + ", ".join(parts) + f" SELECT page_id, j.host, path, rule, coalesce(fit, CASE WHEN coalesce(d, 0) * (1 - 1e-9) > {share} * (d + t) THEN 'block' ELSE 'allow' END) AS verdict FROM j LEFT JOIN f ON f.host = j.host"
 
 
 _EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
@@ -58,7 +58,7 @@ def personal_data() -> str:
     return f"WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents), f AS ({' UNION ALL '.join(parts)}) SELECT d.doc_id, {counts}, sha256({base}) AS base_sha256, coalesce(string_agg(span, ',' ORDER BY k, s), '') AS spans FROM d LEFT JOIN f ON f.doc_id = d.doc_id GROUP BY d.doc_id"
 
 
-def line_dedup(percent: int = 80, min_tokens: int = 3) -> str:
+def line_dedup(percent: int = 80, min_tokens: int = 1) -> str:
     """Prefix filter on exact frequencies, then the exact test on common tokens."""
     words = r"list_distinct(regexp_extract_all(translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'))"
     return f"""WITH s AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL),

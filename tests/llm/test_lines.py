@@ -7,7 +7,7 @@ from bidtide.llm import lines
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
-def brute(rows, percent=80, least=3):
+def brute(rows, percent=80, least=1):
     seen, out = [], {}
     for doc_id, text in sorted((r for r in rows if r[0] is not None and r[1] is not None), key=lambda r: r[0]):
         for number, line in enumerate(text.split("\n")):
@@ -46,3 +46,19 @@ def test_awkward_documents(docs):
     out = lines.without_repeats(docs)
     assert out.columns == docs.columns and out.count() == docs.count()
     assert lines.removed_lines(docs.limit(0)).count() == 0 and lines.without_repeats(docs.limit(0)).count() == 0
+
+
+def test_short_lines_and_lines_without_blanks(spark):
+    chinese = "这是一个没有空格的很长的句子" * 15
+    rows = [(i, f"Read more\nalles klar\n{chinese}\n}}\nline number {i} stands alone here") for i in range(5)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in lines.without_repeats(frame).collect()}
+    assert got == {0: rows[0][1]} | {i: f"}}\nline number {i} stands alone here" for i in range(1, 5)}
+
+
+def test_rows_that_share_an_id_are_documents_of_their_own(spark):
+    rows = [(1, "alpha beta gamma delta"), (2, "alpha beta gamma delta epsilon"), (2, "a wholly unique sentence stands here"), (None, "no id but words of its own"),
+            (None, "alpha beta gamma delta\nlast words")]
+    got = [(r.doc_id, r.text) for r in lines.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    want = [(1, "alpha beta gamma delta"), (2, ""), (2, "a wholly unique sentence stands here"), (None, "no id but words of its own"), (None, "last words")]
+    assert sorted(got, key=str) == sorted(want, key=str)
