@@ -1,4 +1,7 @@
-"""Online logistic regression: a model that is updated batch by batch.
+"""Online logistic regression: a model that is updated by mini-batches of a fixed number of examples, in order of time.
+
+Examples are numbered where they lie, and mini-batches cut from the numbers, so weights don't depend on how a stream was cut
+into micro-batches: what doesn't fill a mini-batch waits for the next micro-batch.
 
 One step is one distributed aggregation that returns the gradient as a single row; the driver holds nothing but
 the weight vector. The gradient depends on a batch only through its feature combinations and their counts, so
@@ -15,6 +18,8 @@ from pyspark.sql import functions as F
 
 from bidtide.functions.encode import split_feature
 from bidtide.functions.score import CATEGORICAL, LinearModel, serving_features, text_sql
+from bidtide.operators.numbering import numbered
+from bidtide.session import written
 
 
 @dataclass(frozen=True)
@@ -34,6 +39,42 @@ def new_model(features: Sequence[str]) -> LinearModel:
     return LinearModel(list(features), [0.0] * len(features), 0.0, source="online")
 
 
+#: What an example is learnt from; with the time these put examples in order, and ties are equal in all of them.
+EXAMPLE = (*CATEGORICAL, "frac_tech", "frac_lifestyle", "label")
+ORDER = ("event_time", "user_id", *EXAMPLE)
+
+
+def examples(impressions: DataFrame) -> DataFrame:
+    """Impressions with profile counters as examples in their order, and whether each can be learnt from."""
+    rows = impressions.withColumns(serving_features()).withColumn("label", F.col("is_clicked"))
+    usable = F.col("frac_tech").isNotNull() & F.col("frac_lifestyle").isNotNull() & F.col("label").isNotNull()
+    return rows.select(*ORDER, usable.alias("usable"))
+
+
+def mini_batches(new: DataFrame, waiting: DataFrame | None, per_step: int) -> tuple[DataFrame, DataFrame, int]:
+    """Whole mini-batches as (step, features, label, n), the examples that are left over, and the number of steps.
+
+    ``new`` follows ``waiting`` in time, as what a micro-batch releases is later than what earlier ones did."""
+    rows = new.select(*ORDER) if waiting is None else waiting.select(*ORDER).unionByName(new.select(*ORDER))
+    placed = written(numbered(rows, ORDER, "step").withColumn("step", F.expr(f"step div {per_step}")), "mini_batches")
+    steps = placed.count() // per_step
+    whole = placed.where(F.col("step") < steps).groupBy("step", *EXAMPLE).agg(F.count(F.lit(1)).alias("n"))
+    return whole, placed.where(F.col("step") >= steps).drop("step"), steps
+
+
+def learn_in_order(model: LinearModel, whole: DataFrame, steps: int, per_step: int, rate: LearningRate = LearningRate()) -> LinearModel:
+    """Update the model with mini-batches, each in turn."""
+    if not steps:
+        return model
+    done = model.examples // per_step
+    collapsed = written(whole.repartitionByRange("step"), "mini_batch_rows")
+    for step in range(steps):
+        rows = collapsed.where(F.col("step") == step)
+        for i in range(rate.steps_per_batch):
+            model = gradient_step(model, rows, rate, (done + step) * rate.steps_per_batch + i)
+    return replace(model, examples=model.examples + steps * per_step)
+
+
 def learnable(impressions: DataFrame) -> DataFrame:
     """Impressions with profile counters, as (features, label, n) and whether each can be learnt from."""
     rows = impressions.withColumns(serving_features())

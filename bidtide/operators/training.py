@@ -12,12 +12,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from bidtide.functions.encode import feature_names, fit_categories, one_hot
+from bidtide.functions.encode import feature_names, fit_categories, sparse_features, split_feature
 from bidtide.functions.score import CATEGORICAL, LinearModel
 from bidtide.operators.history import user_history
 from bidtide.operators.metrics import classification_report, roc_auc
@@ -121,17 +120,21 @@ def fit_logistic(
         raise NotEnoughData("training needs rows of both classes")
     examples = sum(r["n_rows"] for r in counts.values())
     balance = F.when(F.col("label") == 1, counts[1]["class_weight"]).otherwise(counts[0]["class_weight"])
-    encoded = weighted_rows.select(
-        F.col("label").cast("double").alias("label"),
-        (F.col("n") * balance).alias("weight"),
-        *one_hot(features, CATEGORICAL),
-    )
-    vectors = VectorAssembler(inputCols=list(features), outputCol="features").transform(encoded)
+    rows = weighted_rows.withColumns({"label": F.col("label").cast("double"), "weight": F.col("n") * balance})
+    pairs = [split_feature(f, CATEGORICAL) for f in features]
+    numeric = [f for f, pair in zip(features, pairs) if pair is None]
+    # Places by column, as the vectors have them; weights are put back in the order of ``features``.
+    ordered = sorted((pair for pair in pairs if pair), key=lambda pair: CATEGORICAL.index(pair[0]))
+    places = [(column, value, len(numeric) + i) for i, (column, value) in enumerate(ordered)]
+    index = rows.sparkSession.createDataFrame(places, "column_name STRING, value STRING, position INT")
+    vectors = sparse_features(rows, index, CATEGORICAL, numeric)
     fitted = LogisticRegression(
         weightCol="weight", regParam=1.0 / (inverse_regularisation * examples), elasticNetParam=0.0,
         standardization=False, maxIter=max_iterations, tol=1e-9,
     ).fit(vectors.select("label", "weight", "features"))
-    return LinearModel(list(features), [float(w) for w in fitted.coefficients], float(fitted.intercept), examples=examples)
+    names = [*numeric, *["_".join(pair) for pair in ordered]]
+    weights = dict(zip(names, (float(w) for w in fitted.coefficients)))
+    return LinearModel(list(features), [weights[f] for f in features], float(fitted.intercept), examples=examples)
 
 
 def train_ctr(

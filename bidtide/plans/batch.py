@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bidtide.functions.encode import feature_names, feature_table, fit_categories, one_hot, vocabulary
+from bidtide.functions.encode import feature_index, feature_names, feature_table, fit_categories, one_hot, vocabulary
 from bidtide.functions.rules import fare_category
 from bidtide.functions.score import CATEGORICAL, LinearModel, ctr_score, serving_features
 from bidtide.functions.times import serving_text
@@ -37,7 +37,7 @@ from bidtide.sinks.topics import as_messages
 
 # A fixed model for queries about scoring, so that their results can be written as SQL.
 FIXED_MODEL = LinearModel(
-    ["frac_tech", "frac_lifestyle", "os_MacOS", "os_Windows", "os_iOS",
+    ["frac_tech", "frac_lifestyle", "os_ChromeOS", "os_Linux", "os_Windows",
      "site_category_Music", "site_category_Outdoors", "site_category_Tech"],
     [1.5, -0.75, 0.2, -0.1, 0.35, -0.4, 0.15, 0.6],
     -1.25,
@@ -317,7 +317,7 @@ def training_matrix_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def model_feature_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ordered feature list of the second model."""
-    return feature_table(vocabulary(Inputs(spark, sf_dir).requests, CATEGORICAL), CATEGORICAL, HISTORY_FEATURES)
+    return feature_table(feature_index(Inputs(spark, sf_dir).requests, CATEGORICAL, HISTORY_FEATURES), HISTORY_FEATURES)
 
 
 def _model(spark: SparkSession, sf_dir: str, history: bool):
@@ -326,19 +326,20 @@ def _model(spark: SparkSession, sf_dir: str, history: bool):
 
 
 def ctr_model_v1_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return coefficient_table(spark, _model(spark, sf_dir, False).model)
+    return rounded(coefficient_table(spark, _model(spark, sf_dir, False).model), 5, "coefficient")
 
 
 def ctr_model_v2_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return coefficient_table(spark, _model(spark, sf_dir, True).model)
+    return rounded(coefficient_table(spark, _model(spark, sf_dir, True).model), 5, "coefficient")
 
 
 def ctr_model_v1_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _model(spark, sf_dir, False).report()
+    return rounded(_model(spark, sf_dir, False).report(), 9, "precision", "recall", "f1_score")
 
 
 def ctr_model_v2_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _model(spark, sf_dir, True).auc()
+    predicted = _model(spark, sf_dir, True).predictions()
+    return rounded(roc_auc(rounded(predicted, 6, "score"), weight="n"), 4, "roc_auc")
 
 
 QUERIES = {

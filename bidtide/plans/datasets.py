@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bidtide.functions.times import from_millis
+from bidtide.functions.times import SERVING_TIME_FORMAT, from_millis
 
 EVENTS = (
     T.StructType()
@@ -22,7 +22,8 @@ EVENTS = (
     .add("props", T.StringType())
 )
 
-SYSTEMS = ["iOS", "Android", "Windows", "MacOS"]
+#: Sample operating systems by user number.
+SYSTEMS = ["Windows", "Linux", "Android", "ChromeOS"]
 #: Sample sites by event number: id, domain, category. Profiles count the categories Tech and Lifestyle.
 SITES = [
     ("site-a", "slow-kitchen.example", "Lifestyle"),
@@ -121,3 +122,18 @@ def ride_messages(events: DataFrame) -> DataFrame:
         .otherwise(F.concat(fare, F.lit("}")))
     )
     return events.select(F.concat(head, tail).alias("value"))
+
+
+def profile_upserts(events: DataFrame) -> DataFrame:
+    """An upsert topic of profiles, keyed by user: every third event inserts or replaces its user's profile, and every twelfth
+    deletes it. Columns key, value, timestamp and offset."""
+    event = F.col("event_id")
+    when = from_millis("timestamp_ts")
+    rows = events.where(event % 3 == 0).select(
+        F.concat(F.lit("u_"), "user_id").alias("user_id"), event.alias("total_views"), (event % 7).alias("tech_views"),
+        (event % 5).alias("lifestyle_views"), event.alias("offset"), (event % 12 == 9).alias("deleted"), _millis().alias("timestamp_ts"),
+    ).withColumn("update_time", when)
+    value = F.to_json(F.struct("total_views", "tech_views", "lifestyle_views", "update_time"), {"timestampFormat": SERVING_TIME_FORMAT})
+    return rows.select(
+        F.to_json(F.struct("user_id")).alias("key"), F.when(~F.col("deleted"), value).alias("value"), F.col("update_time").alias("timestamp"), "offset"
+    )

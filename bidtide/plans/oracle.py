@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from bidtide.plans import oracle_fit
+
 _BASE = """
 requests AS (
   SELECT CAST(event_id AS VARCHAR) AS request_id, epoch_us(ts) // 1000 AS timestamp_ts, 'u_' || user_id AS user_id,
-         (['iOS','Android','Windows','MacOS'])[user_id % 4 + 1] AS os,
+         (['Windows','Linux','Android','ChromeOS'])[user_id % 4 + 1] AS os,
          (['Lifestyle','Tech','Music','Tech','Outdoors'])[event_id % 5 + 1] AS site_category,
          make_timestamp((epoch_us(ts) // 1000) * 1000) AS ts
   FROM events),
@@ -87,7 +89,7 @@ serving AS (
 """
 
 _SCORE = """1.0::DOUBLE / (1.0::DOUBLE + exp(-(-1.25::DOUBLE + frac_tech * 1.5::DOUBLE + frac_lifestyle * -0.75::DOUBLE
-  + CASE os WHEN 'MacOS' THEN 0.2::DOUBLE WHEN 'Windows' THEN -0.1::DOUBLE WHEN 'iOS' THEN 0.35::DOUBLE ELSE 0.0::DOUBLE END
+  + CASE os WHEN 'ChromeOS' THEN 0.2::DOUBLE WHEN 'Linux' THEN -0.1::DOUBLE WHEN 'Windows' THEN 0.35::DOUBLE ELSE 0.0::DOUBLE END
   + CASE site_category WHEN 'Music' THEN -0.4::DOUBLE WHEN 'Outdoors' THEN 0.15::DOUBLE WHEN 'Tech' THEN 0.6::DOUBLE
     ELSE 0.0::DOUBLE END)))"""
 
@@ -100,7 +102,7 @@ predicted AS (SELECT *, CASE WHEN score > 0.5 THEN 1 ELSE 0 END AS prediction FR
 
 _ONE_HOT = ", ".join(
     f"CASE WHEN {c} = '{v}' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS \"{c}_{v}\""
-    for c, v in [("os", "MacOS"), ("os", "Windows"), ("os", "iOS"),
+    for c, v in [("os", "ChromeOS"), ("os", "Linux"), ("os", "Windows"),
                  ("site_category", "Music"), ("site_category", "Outdoors"), ("site_category", "Tech")]
 )
 
@@ -139,6 +141,21 @@ def _with(*ctes_and_query: str) -> str:
     return "WITH " + ",".join(ctes) + query
 
 
+_UPSERTS = """
+changes AS (
+  SELECT 'u_' || user_id AS user_id, event_id AS total_views, event_id % 7 AS tech_views, event_id % 5 AS lifestyle_views,
+         event_id % 12 = 9 AS deleted, make_timestamp((epoch_us(ts) // 1000) * 1000) AS update_time
+  FROM events WHERE event_id % 3 = 0)
+"""
+
+_QUIET = """
+SELECT m.request_id, m.user_id, m.os, m.site_category, m.campaign_id, m.win_price,
+       CAST(CASE WHEN c.user_action IS NOT NULL THEN 1 ELSE 0 END AS INTEGER) AS is_clicked, m.event_time
+FROM (SELECT * FROM matched WHERE event_time < TIMESTAMP '2024-01-16') m
+LEFT JOIN (SELECT * FROM clicks WHERE ts < TIMESTAMP '2024-01-24') c
+  ON m.request_id = c.request_id AND c.ts BETWEEN m.event_time AND m.event_time + INTERVAL 11 SECOND
+"""
+
 _IMPRESSIONS = _with(_BASE, " SELECT * FROM impressions")
 _FARE_TOTALS = "SELECT event_type AS pickup, round(SUM(value), 4) AS total FROM events GROUP BY event_type"
 _USER_PROFILES = _with(_BASE, " " + _PROFILES)
@@ -185,27 +202,39 @@ SELECT round(SUM(pos * (below + CAST(neg AS DOUBLE) / 2)) / (CAST(SUM(pos) AS DO
        CAST(SUM(pos) AS BIGINT) AS positives, CAST(SUM(neg) AS BIGINT) AS negatives FROM ranked
 """
 
-# One gradient step from zero weights: the step size (1) times the mean of (label - 0.5) * feature.
-_FIRST_STEP = """
-, lookup AS (
-  SELECT i.os, i.site_category, i.is_clicked - 0.5::DOUBLE AS r,
+_LOOKUP = """
+lookup AS (
+  SELECT i.event_time, i.user_id, i.os, i.site_category, i.is_clicked,
     CASE WHEN COALESCE(p.total_views, 0) = 0 THEN 0.0::DOUBLE
          ELSE CAST(p.tech_views AS DOUBLE) / CAST(p.total_views AS DOUBLE) END AS frac_tech,
     CASE WHEN COALESCE(p.total_views, 0) = 0 THEN 0.0::DOUBLE
          ELSE CAST(p.lifestyle_views AS DOUBLE) / CAST(p.total_views AS DOUBLE) END AS frac_lifestyle
-  FROM impressions i ASOF LEFT JOIN changelog p ON i.user_id = p.user_id AND i.event_time >= p.update_time),
-steps AS (
-  SELECT COUNT(*) AS examples, AVG(r) AS w0, AVG(r * frac_tech) AS w1, AVG(r * frac_lifestyle) AS w2,
-    AVG(CASE WHEN os = 'MacOS' THEN r ELSE 0 END) AS w3, AVG(CASE WHEN os = 'Windows' THEN r ELSE 0 END) AS w4,
-    AVG(CASE WHEN os = 'iOS' THEN r ELSE 0 END) AS w5, AVG(CASE WHEN site_category = 'Music' THEN r ELSE 0 END) AS w6,
-    AVG(CASE WHEN site_category = 'Outdoors' THEN r ELSE 0 END) AS w7,
-    AVG(CASE WHEN site_category = 'Tech' THEN r ELSE 0 END) AS w8 FROM lookup)
-SELECT CAST(x.position AS INTEGER) AS position, x.feature, round(x.weight, 9) AS weight, examples FROM steps,
-  LATERAL (VALUES (0, '(intercept)', w0), (1, 'frac_tech', w1), (2, 'frac_lifestyle', w2), (3, 'os_MacOS', w3),
-    (4, 'os_Windows', w4), (5, 'os_iOS', w5), (6, 'site_category_Music', w6), (7, 'site_category_Outdoors', w7),
-    (8, 'site_category_Tech', w8)) AS x(position, feature, weight)
+  FROM impressions i ASOF LEFT JOIN changelog p ON i.user_id = p.user_id AND i.event_time >= p.update_time)
 """
 
+_ONE_HOT_NAMES = ["os_ChromeOS", "os_Linux", "os_Windows", "site_category_Music", "site_category_Outdoors", "site_category_Tech"]
+_WITH_HISTORY = ["frac_tech", "frac_lifestyle", *_ONE_HOT_NAMES]
+_EXAMPLES_PER_STEP = 1000
+_EXAMPLE_ORDER = "event_time, user_id, os, site_category, frac_tech, frac_lifestyle, is_clicked"
+_LEARNT = _with(
+    _BASE, _CHANGELOG, _LOOKUP, oracle_fit.learner("lookup", _WITH_HISTORY, _EXAMPLE_ORDER, _EXAMPLES_PER_STEP, 1.0, 1e-4),
+    " SELECT CAST(position AS INTEGER) AS position, feature, round(weight, 9) AS weight, examples FROM ("
+    f" SELECT unnest(range({len(_WITH_HISTORY) + 1})) AS position, unnest({['(intercept)', *_WITH_HISTORY]}) AS feature,"
+    f" unnest(w) AS weight, t * {_EXAMPLES_PER_STEP} AS examples FROM learnt, learn_last WHERE t = last AND last > 0)",
+).replace("WITH", "WITH RECURSIVE", 1)
+
+
+def _model(history: bool, *rest: str) -> str:
+    source, names = ("history_shares", _WITH_HISTORY) if history else ("impressions", _ONE_HOT_NAMES)
+    fit = oracle_fit.fitted(source, _IN_TRAIN, names)
+    if rest[0] == "coefficients":
+        parts = [fit, oracle_fit.coefficients(names, 5)]
+    else:
+        parts = [fit, oracle_fit.held_out(source, _IN_TRAIN, names), rest[1]]
+    text = _with(_BASE, *([_HISTORY] if history else []), *parts)
+    return text.replace("WITH", "WITH RECURSIVE", 1)
+
+
 ORACLE = {
     "enriched_impressions": _IMPRESSIONS,
     "win_request_matches": _with(_BASE, " SELECT * FROM matched"),
@@ -328,11 +357,49 @@ ORACLE = {
         " SELECT 3, 'site_category_' || site_category FROM (SELECT DISTINCT site_category FROM requests)"
         " WHERE site_category > (SELECT MIN(site_category) FROM requests))",
     ),
-    "online_learner_status": _with(_BASE, " SELECT 'Updated' AS status, COUNT(*) AS examples FROM impressions"),
-    "online_model_weights": _with(_BASE, _CHANGELOG, _FIRST_STEP),
+    "online_learner_status": _with(
+        _BASE,
+        f" SELECT 'Updated' AS status, COUNT(*) // {_EXAMPLES_PER_STEP} * {_EXAMPLES_PER_STEP} AS examples FROM impressions"
+        f" HAVING COUNT(*) >= {_EXAMPLES_PER_STEP}",
+    ),
+    "online_model_weights": _LEARNT,
+    "chain_learned_model": _LEARNT,
+    "ctr_model_v1_coefficients": _model(False, "coefficients"),
+    "ctr_model_v2_coefficients": _model(True, "coefficients"),
+    "ctr_model_v1_report": _model(False, "scores", _REPORT),
+    "ctr_model_v2_auc": _model(True, "scores", _AUC.replace(", 9) AS roc_auc", ", 4) AS roc_auc")),
+    "serving_table_kpis": _with(
+        _BASE,
+        " SELECT COUNT(*) AS impressions, CAST(SUM(is_clicked) AS BIGINT) AS clicks,"
+        " round(SUM(is_clicked) / COUNT(*), 6) AS ctr, round(AVG(win_price), 6) AS avg_cpm FROM impressions",
+    ),
+    "recovered_fare_totals": _FARE_TOTALS,
+    "late_requests": _with(
+        _BASE,
+        " parts AS (SELECT request_id, ts, CAST(least((day(ts) - 1) // 8 + CASE WHEN CAST(request_id AS BIGINT) % 20 = 0 THEN 2 ELSE 0 END, 3)"
+        " AS BIGINT) AS batch_id FROM requests),"
+        " ends AS (SELECT batch_id, MAX(MAX(ts)) OVER (ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING) AS reached"
+        " FROM parts GROUP BY batch_id)",
+        " SELECT request_id, (epoch_us(reached) - epoch_us(ts)) // 1000 - 5000 AS late_ms, batch_id FROM parts JOIN ends USING (batch_id)"
+        " WHERE (epoch_us(reached) - epoch_us(ts)) // 1000 >= 5000",
+    ),
     "stream_enriched_impressions": _IMPRESSIONS,
     "topic_enriched_impressions": _IMPRESSIONS,
     "chain_scored_requests": _SCORED_REQUESTS,
+    "quiet_inputs_impressions": _with(_BASE, _QUIET),
+    "upsert_topic_profiles": _with(
+        _BASE, _UPSERTS,
+        " SELECT r.request_id, r.user_id, r.ts, CASE WHEN NOT c.deleted THEN c.total_views END AS total_views,"
+        " CASE WHEN NOT c.deleted THEN c.tech_views END AS tech_views,"
+        " CASE WHEN NOT c.deleted THEN c.lifestyle_views END AS lifestyle_views"
+        " FROM requests r ASOF LEFT JOIN changes c ON r.user_id = c.user_id AND r.ts >= c.update_time",
+    ),
+    "upsert_topic_current": _with(
+        _UPSERTS,
+        " SELECT user_id, total_views, tech_views, lifestyle_views, update_time FROM changes"
+        " WHERE NOT deleted QUALIFY update_time = MAX(update_time) OVER (PARTITION BY user_id)"
+        " AND (user_id, update_time) IN (SELECT (user_id, MAX(update_time)) FROM changes GROUP BY user_id)",
+    ),
     "stream_user_profiles": _USER_PROFILES,
     "stream_profile_changelog": _USER_CHANGELOG,
     "stream_fare_totals": _FARE_TOTALS,

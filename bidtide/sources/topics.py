@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 from bidtide.functions.times import SERVING_TIME_FORMAT, from_millis
 
 # Fixed value: events may arrive up to 5 s out of order.
-OUT_OF_ORDER = "5 seconds"
+OUT_OF_ORDER_MS = 5000
+OUT_OF_ORDER = f"{OUT_OF_ORDER_MS // 1000} seconds"
 
 
 class KafkaUnavailable(RuntimeError):
@@ -42,7 +43,7 @@ def kafka_messages(
         if "Failed to find data source: kafka" in str(error) or "DATA_SOURCE_NOT_FOUND" in str(error):
             raise KafkaUnavailable("start Spark with the spark-sql-kafka package to read topics") from error
         raise
-    return raw.select(F.col("key").cast("string"), F.col("value").cast("string"), "offset", "partition")
+    return raw.select(F.col("key").cast("string"), F.col("value").cast("string"), "offset", "partition", "timestamp")
 
 
 def file_messages(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -53,6 +54,20 @@ def file_messages(spark: SparkSession, path: str, max_files_per_trigger: int | N
     return reader.text(path)
 
 
+def file_upserts(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Stream keyed messages from a folder of text files, in the columns of a Kafka topic: one JSON object a line with the texts
+    ``key`` and ``value`` (null: delete), ``timestamp`` in epoch milliseconds and ``offset``."""
+    envelope = "key STRING, value STRING, timestamp BIGINT, offset BIGINT"
+    lines = file_messages(spark, path, max_files_per_trigger)
+    messages = lines.select(F.from_json("value", envelope, {"mode": "FAILFAST"}).alias("m")).select("m.*")
+    return messages.withColumn("timestamp", from_millis("timestamp"))
+
+
+def as_upsert_lines(messages: DataFrame) -> DataFrame:
+    """Keyed messages (key, value, timestamp, offset) as the lines that ``file_upserts`` reads."""
+    return messages.select(F.to_json(F.struct("key", "value", F.unix_millis("timestamp").alias("timestamp"), "offset")).alias("value"))
+
+
 def decode(messages: DataFrame, schema: T.StructType, on_error: str = "fail") -> DataFrame:
     """JSON values as columns of ``schema``. A malformed message fails the query, or is dropped with
     ``on_error="drop"``; a null one is skipped. A consumer names only the fields it needs."""
@@ -85,6 +100,14 @@ def decode_upserts(messages: DataFrame, schema: T.StructType, key: str) -> DataF
     return parsed.select("k.*", "v.*", "deleted", *extra)
 
 
+def profile_versions(messages: DataFrame, schema: T.StructType, key: str, version_time: str) -> DataFrame:
+    """The versions that an upsert topic describes: inserts and replacements by their own ``version_time``, and for each null
+    value a closing version (``deleted``) at its message's timestamp. Messages without a key are left out."""
+    rows = decode_upserts(messages, schema, key).where(F.col(key).isNotNull())
+    when = F.when(F.col("deleted"), F.col("timestamp")).otherwise(F.col(version_time))
+    return rows.withColumn(version_time, when).select(*schema.names, "deleted", "offset")
+
+
 def with_event_time(
     rows: DataFrame, time: str = "ts", source: Column | None = None, delay: str | None = OUT_OF_ORDER
 ) -> DataFrame:

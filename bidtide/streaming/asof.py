@@ -1,7 +1,12 @@
 """As-of lookup between two streams.
 
 Probes wait in their key's state until the watermark has passed their time; by then every version they may need
-has arrived. A version is kept while it is still the latest one at or before the watermark.
+has arrived. A version is kept while it is still the latest one before the watermark.
+
+State is a map of blocks in the state store, each a run of at most ``block`` rows in order of time, under a small directory of their
+bounds. A timer at the earliest waiting probe resolves what the watermark has passed, one block of probes at a time against
+the blocks of versions that can hold their answer. So a task holds a few blocks, however many rows a key has, and a
+micro-batch rewrites only the blocks it touches.
 
 The Python side only compares times. What a probe or version carries travels as one JSON text that is written and
 read by Spark, so a group costs three columns however wide the rows are.
@@ -9,52 +14,155 @@ read by Spark, so a group costs three columns however wide the rows are.
 
 from __future__ import annotations
 
-from bisect import bisect_left, bisect_right
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-_STATE = "version_times ARRAY<BIGINT>, versions ARRAY<STRING>, probe_times ARRAY<BIGINT>, probes ARRAY<STRING>"
-
-
-def _resolver(find: Callable[[list[int], int], int]):
-    """The state function; ``find`` gives how many of the sorted version times count as past."""
-
-    def resolve(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        times, rows, waiting_times, waiting_rows = state.get if state.exists else ([], [], [], [])
-        versions = dict(zip(times, rows))
-        waiting = list(zip(waiting_times, waiting_rows))
-        for chunk in chunks:
-            for t, is_version, row in zip(chunk["t"].tolist(), chunk["is_version"].tolist(), chunk["row"].tolist()):
-                if is_version:
-                    # Equal times: the version that arrived last wins.
-                    versions[t] = row
-                else:
-                    waiting.append((t, row))
-        times = sorted(versions)
-        watermark = state.getCurrentWatermarkMs()
-        ready = [p for p in waiting if p[0] <= watermark]
-        waiting = [p for p in waiting if p[0] > watermark]
-
-        if ready:
-            past = [find(times, t) for t, _ in ready]
-            found = [versions[times[n - 1]] if n else None for n in past]
-            yield pd.DataFrame({"t": [t for t, _ in ready], "probe": [row for _, row in ready], "version": found})
-
-        settled = bisect_right(times, watermark) - 1
-        kept = times[max(settled, 0):]
-        if kept or waiting:
-            state.update((kept, [versions[t] for t in kept], [t for t, _ in waiting], [row for _, row in waiting]))
-            if waiting:
-                state.setTimeoutTimestamp(max(min(t for t, _ in waiting), watermark + 1))
-        elif state.exists:
-            state.remove()
-
-    return resolve
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+#: Rows of a block, which are read and written together.
+BLOCK = 2048
+_ROWS = "times ARRAY<BIGINT>, rows ARRAY<STRING>"
+_DIRECTORY = "ids ARRAY<BIGINT>, firsts ARRAY<BIGINT>, lasts ARRAY<BIGINT>, upcoming BIGINT"
+
+
+class _Blocks:
+    """Rows of one kind under the current key: blocks by number, and their first and last times."""
+
+    def __init__(self, handle: StatefulProcessorHandle, name: str, size: int):
+        self.size = size
+        self._blocks = handle.getMapState(name, "block BIGINT", _ROWS)
+        self._directory = handle.getValueState(f"{name}_directory", _DIRECTORY)
+
+    def open(self) -> _Blocks:
+        """Read the current key's directory."""
+        ids, firsts, lasts, self.upcoming = self._directory.get() if self._directory.exists() else ([], [], [], 0)
+        self.bounds = {i: (a, b) for i, a, b in zip(ids, firsts, lasts)}
+        self.changed = False
+        return self
+
+    def close(self) -> None:
+        if self.changed and self.bounds:
+            ids = list(self.bounds)
+            self._directory.update((ids, [self.bounds[i][0] for i in ids], [self.bounds[i][1] for i in ids], self.upcoming))
+        elif self.changed:
+            self._directory.clear()
+
+    def add(self, times: np.ndarray, rows: np.ndarray) -> None:
+        """Add rows in order of time. Few of them go to the last block while it has room, so that trickles don't scatter."""
+        if not len(times):
+            return
+        last = self.upcoming - 1
+        if len(times) < self.size // 4 and last in self.bounds:
+            old, kept = self.read(last)
+            if len(old) + len(times) <= self.size:
+                times, rows = np.concatenate([old, times]), np.concatenate([kept, rows])
+                order = np.argsort(times, kind="stable")  # later arrivals of one time stay behind earlier ones
+                self.put(last, times[order], rows[order])
+                return
+        for start in range(0, len(times), self.size):
+            self.put(self.upcoming, times[start : start + self.size], rows[start : start + self.size])
+            self.upcoming += 1
+
+    def read(self, block: int) -> tuple[np.ndarray, np.ndarray]:
+        times, rows = self._blocks.getValue((block,))
+        return np.array(times, np.int64), np.array(rows, object)
+
+    def put(self, block: int, times: np.ndarray, rows: np.ndarray) -> None:
+        self.changed = True
+        if len(times):
+            self._blocks.updateValue((block,), (times.tolist(), rows.tolist()))
+            self.bounds[block] = int(times[0]), int(times[-1])
+        else:
+            self._blocks.removeKey((block,))
+            self.bounds.pop(block)
+
+
+class _AsOf(StatefulProcessor):
+    def __init__(self, inclusive: bool, block: int):
+        self.inclusive, self.block = inclusive, block
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.versions, self.probes = _Blocks(handle, "versions", self.block), _Blocks(handle, "probes", self.block)
+        self.timer = handle.getValueState("timer", "at BIGINT")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        versions, probes = self.versions.open(), self.probes.open()
+        for chunk in rows:
+            chunk = chunk.sort_values("t", kind="stable")
+            times, is_version, row = chunk["t"].to_numpy(np.int64), chunk["is_version"].to_numpy(bool), chunk["row"].to_numpy(object)
+            versions.add(times[is_version], row[is_version])
+            probes.add(times[~is_version], row[~is_version])
+        watermark = timerValues.getCurrentWatermarkInMs()
+        if not probes.bounds:
+            self._drop_settled(watermark)  # keys that nobody asks for keep one version too
+        self._set_timer(watermark)
+        versions.close()
+        probes.close()
+        yield from ()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        watermark = timerValues.getCurrentWatermarkInMs()
+        versions, probes = self.versions.open(), self.probes.open()
+        for block in [b for b, (first, _) in probes.bounds.items() if first <= watermark]:
+            times, rows = probes.read(block)
+            ready = int(np.searchsorted(times, watermark, "right"))
+            yield pd.DataFrame({"t": times[:ready], "probe": rows[:ready], "version": self._found(times[:ready])})
+            probes.put(block, times[ready:], rows[ready:])
+        self._drop_settled(watermark)
+        self.timer.clear()
+        self._set_timer(watermark)
+        versions.close()
+        probes.close()
+
+    def _found(self, asked: np.ndarray) -> np.ndarray:
+        """The version of each time asked for, in order. Of versions at one time the one that arrived last wins."""
+        best, origin, found = np.full(len(asked), np.iinfo(np.int64).min), np.full(len(asked), -1), np.full(len(asked), None, object)
+        bounds = self.versions.bounds
+        candidates = [b for b, (first, _) in bounds.items() if first <= asked[-1]]
+        for block in sorted(candidates, key=lambda b: bounds[b][1], reverse=True):
+            if (origin >= 0).all() and bounds[block][1] < best.min():
+                break
+            times, rows = self.versions.read(block)
+            past = np.searchsorted(times, asked, "right" if self.inclusive else "left") - 1
+            at = times[past]
+            better = (past >= 0) & ((at > best) | ((at == best) & (block > origin)))
+            best[better], origin[better], found[better] = at[better], block, rows[past[better]]
+        return found
+
+    def _drop_settled(self, watermark: int) -> None:
+        """Forget versions that a later one before the watermark has replaced."""
+        past = [(last, block) for block, (_, last) in self.versions.bounds.items() if last < watermark]
+        if not past:
+            return
+        settled, kept = max(past)
+        for last, block in past:
+            if block != kept:
+                self.versions.put(block, np.zeros(0, np.int64), np.zeros(0, object))
+        first, _ = self.versions.bounds[kept]
+        if first < settled:
+            times, rows = self.versions.read(kept)
+            self.versions.put(kept, times[-1:], rows[-1:])
+
+    def _set_timer(self, watermark: int) -> None:
+        """One timer, at the earliest waiting probe."""
+        if not self.probes.bounds:
+            return
+        earliest = max(min(first for first, _ in self.probes.bounds.values()), watermark + 1)
+        if self.timer.exists():
+            (at,) = self.timer.get()
+            if at <= earliest:
+                return
+            self.handle.deleteTimer(at)
+        self.handle.registerTimer(earliest)
+        self.timer.update((earliest,))
+
+    def close(self) -> None:
+        pass
 
 
 def _packed(columns: Sequence[str]) -> Column:
@@ -74,33 +182,38 @@ def stream_asof_join(
     values: Sequence[str],
     *,
     inclusive: bool = True,
+    deleted: str | None = None,
     heavy_keys: Sequence[str] = (),
     lanes: int = 16,
+    block: int = BLOCK,
 ) -> DataFrame:
-    """Streaming counterpart of ``asof_join``. Both inputs carry a watermark; probes without a match get nulls.
+    """Streaming counterpart of ``asof_join``. Both inputs carry a watermark; probes without a match get nulls, and
+    rows without a time are left out.
 
-    The probes of ``heavy_keys`` are spread over ``lanes`` state groups, each of which gets that key's versions.
+    A version whose ``deleted`` column is true ends the key's validity from its time on. A key of any weight takes bounded memory;
+    to spread its work as well, the probes of ``heavy_keys`` (and those without a key) go to ``lanes`` state groups, each of
+    which gets that key's versions.
     """
     carried = [c for c in probes.columns if c != probe_time]
     heavy = F.coalesce(F.col(key).isin(*heavy_keys), F.lit(False)) if heavy_keys else F.lit(False)
     spread = F.pmod(F.xxhash64(probe_time, *carried), F.lit(lanes)).cast("int")
     copies = F.when(heavy, F.sequence(F.lit(0), F.lit(lanes - 1))).otherwise(F.array(F.lit(0)))
+    gone = F.coalesce(F.col(deleted), F.lit(False)) if deleted else F.lit(False)
 
     # The time columns stay in the rows because they carry the watermarks.
     left = probes.select(
-        F.col(key).alias("key"), F.when(heavy, spread).otherwise(0).alias("lane"), F.lit(False).alias("is_version"),
+        F.col(key).alias("key"), F.when(heavy | F.col(key).isNull(), spread).otherwise(0).alias("lane"), F.lit(False).alias("is_version"),
         F.unix_millis(probe_time).alias("t"), _packed(carried).alias("row"), F.col(probe_time).alias("time"),
     )
     right = versions.where(F.col(key).isNotNull()).select(
         F.col(key).alias("key"), F.explode(copies).alias("lane"), F.lit(True).alias("is_version"),
-        F.unix_millis(version_time).alias("t"), _packed(values).alias("row"), F.col(version_time).alias("time"),
+        F.unix_millis(version_time).alias("t"), F.when(~gone, _packed(values)).alias("row"), F.col(version_time).alias("time"),
     )
-    resolved = left.unionByName(right).groupBy("key", "lane").applyInPandasWithState(
-        _resolver(bisect_right if inclusive else bisect_left),
-        "t BIGINT, probe STRING, version STRING",
-        _STATE,
-        "append",
-        GroupStateTimeout.EventTimeTimeout,
+    resolved = left.unionByName(right).where("t IS NOT NULL").groupBy("key", "lane").transformWithStateInPandas(
+        statefulProcessor=_AsOf(inclusive, block),
+        outputStructType="t BIGINT, probe STRING, version STRING",
+        outputMode="Append",
+        timeMode="EventTime",
     )
     unpacked = resolved.select(
         F.timestamp_millis("t").alias(probe_time),

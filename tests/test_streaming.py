@@ -1,5 +1,8 @@
+import json
+import random
 import time
 
+import numpy as np
 import pytest
 from helpers import at, impressions, millis, offsets, requests, run, same_rows, topic_file, wins
 from pyspark.sql import functions as F
@@ -8,15 +11,20 @@ from bidtide import schemas
 from bidtide.functions.score import LinearModel
 from bidtide.operators.asof import asof_join
 from bidtide.operators.interval_join import enrich
+from bidtide.operators.learning import LearningRate
 from bidtide.operators.profiles import profile_changelog, user_profiles
 from bidtide.operators.registry import load_latest, save_model
+from bidtide.operators.skew import SkewPolicy
+from bidtide.sinks.serving import ingest_to, serving_table
 from bidtide.sinks.topics import as_messages, to_files, to_table
-from bidtide.sinks.upsert import compact, current_rows, write_batch
+from bidtide.sinks.upsert import batches, compact, current_rows, drop_folded, write_batch
 from bidtide.sources import topics
 from bidtide.sources.tables import read_changelog, read_table, report
 from bidtide.streaming import jobs
 from bidtide.streaming.asof import stream_asof_join
-from bidtide.streaming.changelog import stream_profile_changelog
+from bidtide.streaming.changelog import changelog_writer
+from bidtide.streaming.idle import IdleInputs
+from bidtide.streaming.late import late_rows_job
 from bidtide.streaming.restart import run_with_restarts
 
 FAR = 10**9
@@ -112,7 +120,8 @@ def test_profiles_keep_the_latest_row_per_user(spark, streaming, tmp_path, impre
     current = current_rows(spark, out, schemas.PROFILES, "user_id")
     same_rows(current, user_profiles(flat))
     assert read_changelog(spark, out).count() == 4
-    same_rows(compact(spark, out, str(tmp_path / "snapshot"), schemas.PROFILES, "user_id"), user_profiles(flat))
+    assert compact(spark, out, schemas.PROFILES, "user_id") == max(batches(spark, out))
+    same_rows(current_rows(spark, out, schemas.PROFILES, "user_id"), user_profiles(flat))
 
 
 def test_changelog_has_every_version(spark, streaming, tmp_path, impression_topic):
@@ -133,11 +142,11 @@ def test_changelog_orders_whole_micro_batches(spark, streaming, tmp_path, record
     out, was = str(tmp_path / "log"), streaming.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     streaming.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(records))
     try:
-        run(to_table(stream_profile_changelog(rows), out, str(tmp_path / "ckpt"), once=True))
+        run(jobs.changelog_job(rows, out, str(tmp_path / "ckpt"), once=True))
     finally:
         streaming.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", was)
     flat = impressions(spark, *[("r", "u", "Tech" if i % 3 else "Lifestyle", i % 2, i) for i in order])
-    got, want = spark.read.parquet(out).select(*schemas.PROFILES.names), profile_changelog(flat)
+    got, want = read_changelog(spark, out).select(*schemas.PROFILES.names), profile_changelog(flat)
     assert got.count() == 30_000 and got.exceptAll(want).count() == 0
 
 
@@ -146,11 +155,38 @@ def test_changelog_times_never_go_back(spark, streaming, tmp_path):
     topic_file(tmp_path / "imp", 1, impression("u", "News", 0, 400))
     rows = stream(streaming, tmp_path / "imp", schemas.IMPRESSIONS_FOR_PROFILES, time="event_time", delay=None)
     out = str(tmp_path / "log")
-    run(to_table(stream_profile_changelog(rows), out, str(tmp_path / "ckpt"), once=True))
-    got = offsets(spark.read.parquet(out), "update_time").orderBy("total_views").collect()
+    run(jobs.changelog_job(rows, out, str(tmp_path / "ckpt"), once=True))
+    got = offsets(read_changelog(spark, out), "update_time").orderBy("total_views").collect()
     assert [(r.total_views, r.update_time) for r in got] == [(1, 1000), (2, 1000)]
 
 
+def test_changelog_cuts_a_heavy_user_over_tasks(spark, streaming, tmp_path):
+    """A million events of one user in one micro-batch, after one that left totals; equal to batch, in bounded pieces."""
+    def events(first, last):
+        when = F.timestamp_millis(F.lit(millis(0)) + F.col("id") * 7919 % 1_000_000)
+        return spark.range(first, last).select(
+            F.lit("u").alias("user_id"), F.when(F.col("id") % 3 == 0, "Tech").otherwise("Lifestyle").alias("site_category"),
+            (F.col("id") % 2).cast("int").alias("is_clicked"), when.alias("event_time"))
+
+    earlier = events(0, 10).withColumn("event_time", F.timestamp_millis(F.lit(millis(-100))))
+    policy, out, ckpt = SkewPolicy(rows_per_task=100_000), str(tmp_path / "log"), str(tmp_path / "ckpt")
+    for n, rows in enumerate((earlier, events(0, 1_000_000))):
+        rows.coalesce(2).write.parquet(str(tmp_path / "imp" / f"part={n}"))
+        source = streaming.readStream.schema(schemas.IMPRESSIONS_FOR_PROFILES).option("recursiveFileLookup", "true").parquet(str(tmp_path / "imp"))
+        run(jobs.changelog_job(source, out, ckpt, once=True, policy=policy))
+    got, want = read_changelog(spark, out).select(*schemas.PROFILES.names), profile_changelog(earlier.unionByName(events(0, 1_000_000)))
+    assert got.count() == 1_000_001 and got.exceptAll(want).count() == 0
+
+
+def test_a_repeated_micro_batch_of_versions_gives_the_same(spark, tmp_path):
+    work = changelog_writer(str(tmp_path / "log"), str(tmp_path / "totals"))
+    batches = [impressions(spark, ("r", "u", "Tech", 1, 5), ("r", None, "Tech", 0, 7)), impressions(spark, ("r", "u", "Lifestyle", 1, 6), ("r", None, "Tech", 1, 9))]
+    for n in (0, 0, 1, 1):
+        work(batches[n], n)
+    got = offsets(read_changelog(spark, str(tmp_path / "log")), "update_time").orderBy("batch_id", F.col("user_id").asc_nulls_first()).collect()
+    assert [tuple(r)[:7] for r in got] == [(None, 1, 1, 0, 0, 0, 7), ("u", 1, 1, 1, 0, 0, 5), (None, 2, 2, 1, 0, 0, 9), ("u", 2, 1, 1, 1, 1, 6)]
+
+
 def versions_topic(folder, *batches):
     for n, rows in enumerate(batches):
         topic_file(folder, n, *[{"user_id": u, "timestamp_ts": millis(t), "v": v} for u, t, v in rows])
@@ -180,6 +216,98 @@ def test_streaming_asof_equals_batch(spark, streaming, tmp_path, inclusive, heav
     same_rows(got, expected.where("request_id NOT LIKE 'end%'"))
 
 
+@pytest.mark.parametrize("inclusive", [True, False])
+def test_asof_state_is_cut_into_blocks(spark, streaming, tmp_path, inclusive):
+    """One user with nearly all rows, in no order, over several micro-batches and many blocks of 16 rows; versions of one time
+    replace each other, also from a later micro-batch."""
+    from pyspark.sql import types as T
+
+    rng = random.Random(3)
+    fields = T.StructType().add("user_id", T.StringType()).add("timestamp_ts", T.LongType()).add("v", T.LongType())
+    log, asked = [], []
+    for n in range(3):
+        times = [n * 2000 + rng.randrange(2600) for _ in range(400)]
+        log.append([("hot", t, n * 10_000 + i) for i, t in enumerate(times)] + [("cold", n * 2000, n)])
+        asked.append([("hot", n * 2000 + rng.randrange(2600)) for _ in range(500)] + [("cold", n * 2000 + 5)])
+    log.append([("end", FAR, 0)])
+    asked.append([("end", FAR)])
+    versions_topic(tmp_path / "v", *log)
+    for n, rows in enumerate(asked):
+        topic_file(tmp_path / "p", n, *[request(f"{n}_{i}_{u}", t, u) for i, (u, t) in enumerate(rows)])
+    probes = stream(streaming, tmp_path / "p", schemas.REQUESTS_FOR_SCORING).select("request_id", "user_id", "ts")
+    joined = stream_asof_join(probes, stream(streaming, tmp_path / "v", fields), "user_id", "ts", "ts", ["v"], inclusive=inclusive, block=16)
+    run(to_table(joined, str(tmp_path / "out"), str(tmp_path / "ckpt"), once=True))
+    got = {r.request_id: r.v for r in spark.read.parquet(str(tmp_path / "out")).where("user_id <> 'end'").collect()}
+    latest = {}
+    for rows in log:
+        latest.update({(u, t): v for u, t, v in rows})  # the last to arrive
+    want = {}
+    for n, rows in enumerate(asked[:-1]):
+        for i, (u, t) in enumerate(rows):
+            past = [vt for vu, vt in latest if vu == u and (vt <= t if inclusive else vt < t)]
+            want[f"{n}_{i}_{u}"] = latest[u, max(past)] if past else None
+    assert got == want
+
+
+def test_deletes_end_a_profile_in_streams(spark, streaming, tmp_path):
+    from pyspark.sql import types as T
+
+    table = T.StructType().add("user_id", T.StringType()).add("total_views", T.LongType()).add("update_time", T.TimestampType())
+    time_text = lambda ms: at(ms).strftime("%Y-%m-%d %H:%M:%S.") + f"{ms % 1000:03d}"
+    changes = [("a", 100, 1), ("a", 200, None), ("a", 300, 3), ("b", 150, None), ("b", 160, 5), (None, 170, 7)]
+    topic_file(tmp_path / "v", 0, *[
+        {"key": None if u is None else json.dumps({"user_id": u}), "value": None if v is None else json.dumps({"total_views": v, "update_time": time_text(t)}),
+         "timestamp": millis(t), "offset": n} for n, (u, t, v) in enumerate([*changes, ("end", FAR, 0)])])
+    topic_file(tmp_path / "p", 0, *[request(f"{u}{t}", t, u) for u in "ab" for t in (99, 100, 155, 199, 200, 299, 300)], request("end", FAR, "end"))
+    versions = topics.profile_versions(topics.file_upserts(streaming, str(tmp_path / "v")), table, "user_id", "update_time")
+    probes = stream(streaming, tmp_path / "p", schemas.REQUESTS_FOR_SCORING).select("request_id", "user_id", "ts")
+    joined = stream_asof_join(probes, versions.withWatermark("update_time", "5 seconds"), "user_id", "ts", "update_time", ["total_views"], deleted="deleted")
+    run(to_table(joined, str(tmp_path / "out"), str(tmp_path / "ckpt"), once=True))
+    got = {r.request_id: r.total_views for r in spark.read.parquet(str(tmp_path / "out")).where("user_id <> 'end'").collect()}
+    assert got == {"a99": None, "a100": 1, "a155": 1, "a199": 1, "a200": None, "a299": None, "a300": 3,
+                   "b99": None, "b100": None, "b155": None, "b199": 5, "b200": 5, "b299": 5, "b300": 5}
+
+
+def test_idle_inputs_get_beats(spark, streaming, tmp_path):
+    now = [0.0]
+    idle = IdleInputs(streaming, str(tmp_path / "beats"), timeout=5, clock=lambda: now[0])
+    topic_file(tmp_path / "r", 0, request("a", 0))
+    for name in ("requests", "wins", "clicks"):
+        idle.watched(name, stream(streaming, tmp_path / "r", schemas.REQUESTS, delay=None))
+    sent = lambda: {n: sorted(json.loads(p.read_text())["ms"] for p in (tmp_path / "beats" / n).glob("beat-*")) for n in idle.inputs}
+    idle.progressed({"requests": (3, 100), "wins": (2, 90), "clicks": (0, None)})
+    assert sent() == {"requests": [], "wins": [], "clicks": []}
+    now[0] = 6
+    idle.progressed({"requests": (3, 200), "wins": (1, 150), "clicks": (0, None)})
+    # Clicks never came; the slower of the active inputs is what they are carried to.
+    assert sent() == {"requests": [], "wins": [], "clicks": [150]}
+    now[0] = 12
+    idle.progressed({"requests": (1, 300), "wins": (0, None), "clicks": (0, None)})
+    assert sent() == {"requests": [], "wins": [300], "clicks": [150, 300]}
+    idle.progressed({"requests": (1, 250), "wins": (1, 160), "clicks": (0, None)})
+    now[0] = 30
+    idle.check()  # all are quiet: the furthest counts, and nobody is behind it
+    assert sent() == {"requests": [], "wins": [300], "clicks": [150, 300]}
+    idle.progressed({"requests": (0, None), "wins": (0, None), "clicks": (1, 900)})
+    now[0] = 40
+    idle.check()
+    assert sent() == {"requests": [900], "wins": [300, 900], "clicks": [150, 300]}
+
+
+def test_an_input_that_never_comes_is_waited_for_until_it_is_idle(streaming, tmp_path):
+    now = [0.0]
+    idle = IdleInputs(streaming, str(tmp_path / "beats"), timeout=5, clock=lambda: now[0])
+    topic_file(tmp_path / "r", 0, request("a", 0))
+    for name in "ab":
+        idle.watched(name, stream(streaming, tmp_path / "r", schemas.REQUESTS, delay=None))
+    now[0] = 3
+    assert idle.due() == {}
+    idle.progressed({"a": (1, 70), "b": (0, None)})
+    assert idle.due() == {}
+    now[0] = 6
+    assert idle.due() == {"b": 70}
+
+
 def test_scoring_reloads_the_model_for_every_batch(spark, streaming, tmp_path):
     models, out, ckpt = (str(tmp_path / n) for n in ("models", "out", "ckpt"))
     from pyspark.sql import types as T
@@ -247,7 +375,7 @@ def test_learning_writes_versions_and_status(spark, streaming, tmp_path):
     def learn():
         rows = stream(streaming, tmp_path / "imp", schemas.IMPRESSIONS_FOR_LEARNING, None, time="event_time")
         profiles = stream(streaming, tmp_path / "v", fields, None).withColumnRenamed("ts", "update_time")
-        run(jobs.learning_job(rows, profiles, models, log, ckpt, once=True))
+        run(jobs.learning_job(rows, profiles, models, log, ckpt, once=True, per_step=9))
 
     topic_file(tmp_path / "imp", 0, *[impression("u1", "Tech", i % 2, i) for i in range(20)], impression("broken", "Tech", 1, 5),
                impression("end", "Tech", 0, 60_000))
@@ -258,8 +386,69 @@ def test_learning_writes_versions_and_status(spark, streaming, tmp_path):
     save_model(spark, LinearModel(["frac_tech", "site_category_Tech"], [0.0, 0.0]), models)
     learn()
     status = {r.status: r.examples for r in spark.read.parquet(log).groupBy("status").agg(F.sum("examples").alias("examples")).collect()}
-    assert status == {"Updated": 20, "Error": 1}
-    assert load_latest(spark, models, "online").examples == 20
+    # Two of the twenty wait for a third mini-batch.
+    assert status == {"Updated": 18, "Error": 1}
+    assert load_latest(spark, models, "online").examples == 18
+
+
+def test_weights_are_those_of_mini_batches_in_order(spark, streaming, tmp_path):
+    """One micro-batch or several: the same weights, those of plain steps over the examples in order of time."""
+    from pyspark.sql import types as T
+
+    fields = T.StructType().add("user_id", T.StringType()).add("timestamp_ts", T.LongType())
+    for name in schemas.PROFILE_FEATURES:
+        fields = fields.add(name, T.LongType())
+    rng = random.Random(5)
+    shown = [(f"u{rng.randrange(4)}", rng.choice(["Tech", "News"]), rng.randrange(2), 60 * i + rng.randrange(50)) for i in range(203)]
+    names, per_step, rate = ["frac_tech", "site_category_Tech"], 20, LearningRate(steps_per_batch=2)
+    weights = np.zeros(3)
+    for step in range(len(shown) // per_step):
+        part = sorted(shown, key=lambda r: r[3])[step * per_step : (step + 1) * per_step]
+        x = np.array([[1.0, int(u[1]) / 10, float(c == "Tech")] for u, c, _, _ in part])
+        for i in range(2):
+            error = 1 / (1 + np.exp(-x @ weights)) - [k for _, _, k, _ in part]
+            eta = rate.at(step * 2 + i)
+            weights = weights * [1, 1 - eta * rate.alpha, 1 - eta * rate.alpha] - eta * x.T @ error / per_step
+    for cuts in (1, 7):
+        base = tmp_path / str(cuts)
+        topic_file(base / "v", 0, *[{"user_id": f"u{i}", "timestamp_ts": millis(-1000), "total_views": 10, "tech_views": i, "lifestyle_views": 1} for i in range(4)],
+                   {"user_id": "end", "timestamp_ts": millis(FAR)})
+        arrived = sorted(shown, key=lambda r: r[3] + rng.randrange(100))  # a little out of order, across files too
+        for n in range(cuts):
+            part = [r for i, r in enumerate(arrived) if i * cuts // len(shown) == n]
+            topic_file(base / "imp", n, *[impression(*r) for r in rng.sample(part, len(part))])
+        topic_file(base / "imp", cuts, impression("end", "Tech", 0, FAR))
+        rows = stream(streaming, base / "imp", schemas.IMPRESSIONS_FOR_LEARNING, time="event_time")
+        profiles = stream(streaming, base / "v", fields, None).withColumnRenamed("ts", "update_time")
+        run(jobs.learning_job(rows, profiles, str(base / "models"), str(base / "log"), str(base / "ckpt"), once=True, features=names, rate=rate, per_step=per_step))
+        model = load_latest(spark, str(base / "models"), "online")
+        assert model.examples == 200 and [model.intercept, *model.weights] == pytest.approx(weights.tolist(), abs=1e-9)
+
+
+def test_late_rows_are_those_the_watermark_drops(spark, streaming, tmp_path):
+    batches_of = [[0, 9000, 20_000], [1000, 40_000], [14_999, 15_000, 15_001, 60_000], [34_999, 36_000, 100]]
+    for n, times in enumerate(batches_of):
+        topic_file(tmp_path / "r", n, *[request(f"{n}_{t}", t) for t in times])
+    rows = stream(streaming, tmp_path / "r", schemas.REQUESTS_FOR_SCORING, delay=None)
+    run(late_rows_job(rows, str(tmp_path / "late"), str(tmp_path / "ckpt"), once=True))
+    got = {(r.request_id, r.late_ms) for r in spark.read.parquet(str(tmp_path / "late")).collect()}
+    assert got == {("2_14999", 1), ("2_15000", 0), ("3_34999", 1), ("3_100", 34_900)}
+    counted = rows.withWatermark("ts", "5 seconds").groupBy("request_id", "ts").count().writeStream.outputMode("append")
+    query = counted.format("noop").option("checkpointLocation", str(tmp_path / "c2")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"]) == 4
+
+
+def test_serving_batches_are_committed_once(spark, streaming, tmp_path):
+    path = str(tmp_path / "serving")
+    assert serving_table(spark, path, schemas.RIDES).count() == 0
+    for n in range(3):
+        topic_file(tmp_path / "t", n, {"ride_id": n, "pickup": "x", "fare": 1.5, "more": True})
+    job = jobs.ingest_job(topics.file_messages(streaming, str(tmp_path / "t"), 1), schemas.RIDES, path, str(tmp_path / "c"), once=True)
+    run(job)
+    again = spark.createDataFrame([('{"ride_id": 7, "pickup": "y"}',)], "value STRING")
+    ingest_to(path, schemas.RIDES, lambda m: topics.decode(m, schemas.RIDES))(again, 1)
+    assert sorted(r.ride_id for r in serving_table(spark, path, schemas.RIDES).collect()) == [0, 1, 2]
 
 
 def test_fare_totals_and_ride_jobs(spark, streaming, tmp_path):
@@ -312,6 +501,61 @@ def test_upserts_are_idempotent_and_deletes_remove(spark, tmp_path):
     assert [tuple(r) for r in current_rows(spark, path, table, "user_id").collect()] == [("a", 2)]
 
 
+def test_snapshots_replace_old_batches(spark, tmp_path):
+    """Reads merge one snapshot and the batches after it, whatever has been folded or dropped."""
+    from pyspark.sql import types as T
+
+    path, table = str(tmp_path / "t"), T.StructType().add("k", T.StringType()).add("v", T.LongType())
+    live, rng = {}, random.Random(7)
+    history = []
+    for n in range(9):
+        changes = {f"k{rng.randrange(12)}": rng.choice([None, n * 100 + i]) for i in range(5)}
+        write_batch(spark.createDataFrame([(k, v, v is None) for k, v in changes.items()], "k STRING, v LONG, deleted BOOLEAN"), path, n)
+        live = {k: v for k, v in {**live, **changes}.items() if v is not None}
+        history.append(dict(live))
+        if n in (2, 5, 7):
+            # The batch at hand may be repeated, so it is not folded.
+            assert compact(spark, path, table, "k", through=n - 1) == n - 1
+            drop_folded(spark, path)
+        assert {r.k: r.v for r in current_rows(spark, path, table, "k").collect()} == live
+    assert batches(spark, path) == [5, 6, 7, 8]  # the two newest snapshots hold batches up to 4 and 6
+    assert {r.k: r.v for r in current_rows(spark, path, table, "k", through=6).collect()} == history[6]
+    merged = current_rows(spark, path, table, "k")
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    # One scan of the newest snapshot, and one whose partitions are pruned to newer batches.
+    assert plan.count("FileScan parquet") == 2 and "PartitionFilters: [isnotnull(batch_id" in plan and "> 6)" in plan
+    assert {f.split("_snapshots/")[1][:12] for f in merged.inputFiles() if "_snapshots/" in f} == {"000000000006"}
+    assert compact(spark, path, table, "k") == 8 and compact(spark, path, table, "k") == 8
+    drop_folded(spark, path, keep=1)
+    assert batches(spark, path) == [] and {r.k: r.v for r in current_rows(spark, path, table, "k").collect()} == live
+
+
+def test_changes_inside_a_batch_follow_their_order(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    path, table = str(tmp_path / "t"), T.StructType().add("k", T.StringType()).add("v", T.LongType())
+    changes = "k STRING, v LONG, deleted BOOLEAN, offset LONG"
+    write_batch(spark.createDataFrame([("a", 1, False, 10), ("a", 2, False, 11), ("b", 3, False, 12), ("b", None, True, 13)], changes), path, 0)
+    compact(spark, path, table, "k", "offset")
+    # Offsets of another partition may be lower; later batches are later all the same.
+    write_batch(spark.createDataFrame([("a", 5, False, 3), ("b", 6, False, 4), ("b", 7, False, 5)], changes), path, 1)
+    for _ in range(2):
+        assert sorted(map(tuple, current_rows(spark, path, table, "k", "offset").collect())) == [("a", 5), ("b", 7)]
+        compact(spark, path, table, "k", "offset")
+        drop_folded(spark, path, keep=1)
+
+
+def test_upsert_streams_fold_as_they_go(spark, streaming, tmp_path, impression_topic):
+    for n in range(2, 7):
+        topic_file(tmp_path / "imp", n, impression(f"u{n % 3}", "Tech", n % 2, 100 + n))
+    rows = stream(streaming, tmp_path / "imp", schemas.IMPRESSIONS_FOR_PROFILES, time="event_time")
+    out = str(tmp_path / "profiles")
+    run(jobs.profile_job(rows, out, str(tmp_path / "ckpt"), once=True, compact_every=2))
+    assert min(batches(spark, out)) > 1
+    flat = [("r", u, c, k, t) for u, c, k, t in impression_topic] + [("r", f"u{n % 3}", "Tech", n % 2, 100 + n) for n in range(2, 7)]
+    same_rows(current_rows(spark, out, schemas.PROFILES, "user_id"), user_profiles(impressions(spark, *flat)))
+
+
 def test_reports_over_stored_tables(spark, tmp_path):
     path = str(tmp_path / "rides")
     assert read_table(spark, path, schemas.RIDES).count() == 0

@@ -1,18 +1,21 @@
 import math
 import random
+import threading
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pytest
 from helpers import at
 from pyspark.sql import functions as F
 
-from bidtide.functions.encode import feature_names, feature_table, fit_categories, one_hot, vocabulary
+from bidtide.functions.encode import feature_index, feature_names, feature_table, fit_categories, one_hot, sparse_features, vocabulary
 from bidtide.functions.rules import serving_share, training_share
 from bidtide.functions.score import CATEGORICAL, LinearModel, ctr_score, serving_features, text_sql
 from bidtide.operators import training
 from bidtide.operators.learning import LearningRate, learn_batch, learnable, new_model
 from bidtide.operators.metrics import classification_report, roc_auc
-from bidtide.operators.registry import current_model, load_latest, publish, save_model
+from bidtide.operators.numbering import numbered
+from bidtide.operators.registry import current_model, load_latest, model_rows, models, publish, save_model
 
 SYSTEMS, CATEGORIES = ["iOS", "Android", "Windows"], ["Tech", "News", "Sports"]
 
@@ -174,17 +177,78 @@ def test_registry(spark, tmp_path):
         save_model(spark, LinearModel(["a"], [float(version)], 0.0, "online", version), root)
     assert current_model(spark, root).weights == [10.0]
     assert load_latest(spark, root, "online", below=10).version == 2
-    # A version without all of its rows is passed over.
-    path = f"{root}/online/{11:012d}"
-    spark.read.parquet(f"{root}/online/{10:012d}").withColumn("version", F.lit(11).cast("long")).where("position = 0").write.parquet(path)
+    # An attempt without its marker does not count.
+    path = f"{root}/online/{11:012d}-{'0' * 32}"
+    model_rows(spark, LinearModel(["a"], [1.0], 0.0, "online", 11)).write.parquet(path)
     assert current_model(spark, root).version == 10
-    # Publishing goes to a new version, beyond an incomplete one too.
+    # What is committed stays as it is.
+    save_model(spark, LinearModel(["a"], [99.0], 0.0, "online", 10), root)
+    assert current_model(spark, root).weights == [10.0]
     assert publish(spark, batch, root).version == 1 and load_latest(spark, root, "batch").version == 1
-    assert publish(spark, LinearModel(["a"], [5.0], 0.0, "online"), root).version == 12
+    assert publish(spark, LinearModel(["a"], [5.0], 0.0, "online"), root).version == 11
+    assert models(spark, root, "online").select("version").distinct().count() == 4
+    assert models(spark, root, "nobody").count() == 0
+
+
+def test_readers_go_on_while_others_publish(spark, tmp_path):
+    """Publishers that race take different numbers, and a reader meets a whole model every time."""
+    root = str(tmp_path / "models")
+    publish(spark, LinearModel(["a", "b"], [0.0, 0.0], 0.0, "online"), root)
+    seen, done, taken = [], threading.Event(), []
+
+    def read():
+        while not done.is_set():
+            seen.append(current_model(spark, root))
+
+    def write(start):
+        for i in range(start, start + 4):
+            taken.append(publish(spark, LinearModel(["a", "b"], [float(i), float(-i)], 0.0, "online"), root).version)
+
+    with ThreadPoolExecutor(4) as pool:
+        reader = pool.submit(read)
+        writers = [pool.submit(write, start) for start in (10, 20, 30)]
+        for writer in writers:
+            writer.result()
+        done.set()
+        reader.result()
+    assert sorted(taken) == list(range(1, 13))
+    assert seen and all(m.weights[0] == -m.weights[1] for m in seen)
+    assert [m.version for m in seen] == sorted(m.version for m in seen)
+
+
+@pytest.mark.parametrize("n,parts", [(0, 3), (1, 3), (1000, 7)])
+def test_numbers_are_consecutive(spark, n, parts):
+    df = spark.range(n).select((F.col("id") * 7919 % 500).alias("k"), F.col("id").alias("v")).repartition(parts)
+    got = [(r.k, r.number) for r in numbered(df, ["k"]).collect()]
+    assert sorted(x for _, x in got) == list(range(n)) and [k for k, _ in sorted(got, key=lambda r: r[1])] == sorted(k for k, _ in got)
+
+
+def test_vocabulary_is_numbered_without_a_window(spark):
+    df = spark.range(3000).select(F.concat(F.lit("o"), F.col("id") % 900).alias("os"), F.when(F.col("id") % 2 == 0, F.col("id").cast("string")).alias("site_category"))
+    words = vocabulary(df, CATEGORICAL)
+    for plan in (words, feature_index(df, CATEGORICAL, ["n"])):
+        assert "Window" not in plan._jdf.queryExecution().executedPlan().toString()
+    values = {c: sorted({r[c] for r in df.collect()} - {None}) for c in CATEGORICAL}
+    assert sorted(map(tuple, words.collect())) == sorted((c, v, i) for c in CATEGORICAL for i, v in enumerate(values[c]))
+    table = feature_table(feature_index(df, CATEGORICAL, ["n"]), ["n"])
+    assert [tuple(r) for r in table.orderBy("position").collect()] == list(enumerate(feature_names(values, ["n"])))
+
+
+def test_sparse_vectors_hold_the_one_hot_features(spark):
+    rows = [("b", "y", 0.5), ("a", None, 0.0), ("c", "x", 1.0), (None, "z", 2.0), ("unseen", "y", -1.0)]
+    df = spark.createDataFrame(rows, "os STRING, site_category STRING, n DOUBLE")
+    seen = df.where("os IS NULL OR os <> 'unseen'")
+    names = feature_names(fit_categories(seen, CATEGORICAL), ["n"])
+    vectors = sparse_features(df, feature_index(seen, CATEGORICAL, ["n"]), CATEGORICAL, ["n"])
+    got = {(r.os, r.site_category): r.features.toArray().tolist() for r in vectors.collect()}
+    assert got == {(r.os, r.site_category): [r[f] for f in names] for r in df.select("os", "site_category", *[c.alias(f"{f}") for f, c in zip(names, one_hot(names, CATEGORICAL))]).collect()}
+    wide = spark.range(5000).select(F.col("id").cast("string").alias("os"), F.lit("x").alias("site_category"))
+    one = sparse_features(wide.limit(1), feature_index(wide, CATEGORICAL), CATEGORICAL).first().features
+    assert one.size == 4999 and len(one.indices) <= 1
 
 
 def test_vocabulary_as_a_plan(spark):
     df = spark.createDataFrame([("b", "y"), ("a", None), ("b", "x"), (None, "z")], "os STRING, site_category STRING")
-    features = feature_table(vocabulary(df, CATEGORICAL), CATEGORICAL, ["n"]).orderBy("position").collect()
+    features = feature_table(feature_index(df, CATEGORICAL, ["n"]), ["n"]).orderBy("position").collect()
     assert [tuple(r) for r in features] == [(0, "n"), (1, "os_b"), (2, "site_category_y"), (3, "site_category_z")]
-    assert [r.feature for r in feature_table(vocabulary(df.limit(0), CATEGORICAL), CATEGORICAL, ["n"]).collect()] == ["n"]
+    assert [r.feature for r in feature_table(feature_index(df.limit(0), CATEGORICAL, ["n"]), ["n"]).collect()] == ["n"]
