@@ -3,8 +3,8 @@ shingle sets confirm them.
 
 1. Every text becomes the set of hashes of its word shingles; documents with equal sets are one class (its smallest
    doc_id), so exact copies never form pairs.
-2. ``HASHES`` minima of permuted hashes; ``ROWS`` consecutive ones of the first make a band key, and ``KEEP_BITS`` low bits of each are packed
-   into a signature. Two signatures agree in a lane by chance with probability 2^-bits, which the estimate corrects for.
+2. ``HASHES`` minima of permuted hashes; ``ROWS`` consecutive ones of the first make a band key, and ``KEEP_BITS`` bits of each, mixed, are
+   packed into a signature. Two signatures agree in a lane by chance with probability 2^-bits, which the estimate corrects for.
 3. Rounds of stars: in each band bucket every class is paired with one class of the bucket drawn by a hash, another one
    in each round, and of its partners in all its buckets only the best by estimate is confirmed. Copies of one text mostly join
    here, with one pair for each copy and round.
@@ -13,7 +13,7 @@ shingle sets confirm them.
    is confirmed. Pairs inside one component change nothing and are not made.
 
 A pair at the threshold misses all bands with probability (1 - s^ROWS)^BANDS = 5e-8 at 0.8, and its estimate falls below the
-cut (four standard deviations under the threshold) with probability 3e-5.
+cut (six standard deviations under the threshold) with probability 1e-8, for sets of any size.
 
 Defined results: null, empty and blank texts have no shingles and link with nothing; a text with fewer words than a shingle
 is one shingle of all its words; repeated doc_ids are treated as one document each time they have equal sets, and
@@ -40,6 +40,7 @@ _LANES = 64 // KEEP_BITS
 _RANDOM = np.random.default_rng(20_240_601)
 _FACTORS = _RANDOM.integers(0, 1 << 32, HASHES, np.uint32) | np.uint32(1)
 _TERMS = _RANDOM.integers(0, 1 << 32, HASHES, np.uint32)
+_SEEDS = np.arange(1, HASHES + 1, dtype=np.uint64) << np.uint64(32)
 _ODD_LANES = int("01" * 32, 2)
 _CHUNK = 4096
 #: Rounds of stars.
@@ -65,7 +66,8 @@ def _band_keys(minima: np.ndarray) -> np.ndarray:
 
 
 def _packed(minima: np.ndarray) -> list[int]:
-    lanes = (minima & np.uint32((1 << KEEP_BITS) - 1)).astype(np.uint64).reshape(-1, _LANES)
+    # The permutations are affine, so whether two hashes agree in their own low bits is the same in every lane. Mixed, lanes are independent.
+    lanes = (mixed(minima.astype(np.uint64) + _SEEDS) >> np.uint64(64 - KEEP_BITS)).reshape(-1, _LANES)
     return (lanes << (np.arange(_LANES, dtype=np.uint64) * np.uint64(KEEP_BITS))).sum(axis=1, dtype=np.uint64).view(np.int64).tolist()
 
 
@@ -106,7 +108,7 @@ def estimate(left: str, right: str) -> Column:
 def estimate_cut(threshold: float) -> float:
     chance = 0.5**KEEP_BITS
     agree = threshold + (1 - threshold) * chance
-    return threshold - 4 * math.sqrt(agree * (1 - agree) / HASHES) / (1 - chance)
+    return threshold - 6 * math.sqrt(agree * (1 - agree) / HASHES) / (1 - chance)
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -153,7 +155,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     own = signs.join(classes, "set_key").where("doc_id = id").dropDuplicates(["id"]).select("id", *words, "bands")
     own = written(own, "class_signatures")
     keyed = own.select("id", F.explode("bands").alias("key"))
-    drawn = [F.min(F.struct(F.xxhash64("id", "key", F.lit(r)), F.col("id"))).alias(f"hub{r}") for r in range(STARS)]
+    # One order of classes for all buckets: those that share many members mostly share the hub, and a class makes few pairs.
+    drawn = [F.min(F.struct(F.xxhash64("id", F.lit(r)), F.col("id"))).alias(f"hub{r}") for r in range(STARS)]
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("members"), *drawn).where("members > 1").select("key", *[F.col(f"hub{r}.id").alias(f"hub{r}") for r in range(STARS)])
     buckets = written(keyed.join(shared, "key"), "buckets")
     signature = own.select("id", *words)

@@ -60,3 +60,18 @@ def test_rows_that_share_an_id_or_have_none_stay(spark):
     got = [tuple(r) for r in neardup.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
     want = [(None, t) for t in other[:5]] + [(7, other[5]), (7, other[6]), (None, None), (8, ""), (8, "")]
     assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_small_sets_at_the_threshold_lose_no_link(spark):
+    """Texts of 4 to 20 shingles with a copy of a quarter more: 0.8 exactly, 120 pairs of each size, and as many below."""
+    rows, linked = [], []
+    for n in (4, 8, 12, 16, 20):
+        for k in range(120):
+            words = [f"p{n}_{k}_{i}" for i in range(n + n // 4 + 2)]
+            base = len(rows)
+            rows += [(base, " ".join(words[: n + 1])), (base + 1, " ".join(words[: n + n // 4 + 1]))]
+            linked.append((base, base + 1))
+            apart = [f"q{n}_{k}_{i}" for i in range(n + n // 4 + 2)]
+            rows += [(base + 2, " ".join(apart[: n + 1])), (base + 3, " ".join(apart))]
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), size=2).collect()}
+    assert got == {i: i for i, _ in rows} | {b: a for a, b in linked}
