@@ -160,6 +160,13 @@ def ride_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bad
 
 
+def ride_bytes_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many byte messages end up in each fare category or are set aside for each reason."""
+    good, bad = rides.categorise_tolerant(datasets.ride_bytes(Inputs(spark, sf_dir).events))
+    category = F.from_json("value", "fare_category STRING")["fare_category"].alias("outcome")
+    return good.select(category).unionByName(bad.select(F.col("reason").alias("outcome"))).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
 def ride_serving_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     good, _ = rides.categorise_tolerant(Inputs(spark, sf_dir).messages)
     return rides.serving_rows(good, F.lit(INGESTED_AT))
@@ -356,6 +363,7 @@ QUERIES = {
     "ride_fare_category_strict": ride_fare_category_strict,
     "ride_fare_category_tolerant": ride_fare_category_tolerant,
     "ride_rejects": ride_rejects,
+    "ride_bytes_outcomes": ride_bytes_outcomes,
     "ride_serving_rows": ride_serving_rows,
     "ride_sample": ride_sample,
     "ride_category_counts": ride_category_counts,

@@ -108,7 +108,18 @@ def rides(events: DataFrame) -> DataFrame:
     )
 
 
+def ride_bytes(events: DataFrame) -> DataFrame:
+    """Ride messages as bytes, every fiftieth of them with one that is not UTF-8."""
+    text = _ride_text().cast("binary")
+    broken = F.concat(text, F.unhex(F.lit("FF")))
+    return events.select(F.when(F.col("event_id") % 50 == 5, broken).otherwise(text).alias("value"))
+
+
 def ride_messages(events: DataFrame) -> DataFrame:
+    return events.select(_ride_text().alias("value"))
+
+
+def _ride_text() -> Column:
     """Ride JSON as text, some of it broken, with a null, missing or textual fare, or with an extra key."""
     kind = F.col("event_id") % 50
     head = F.concat(F.lit('{"ride_id":'), F.col("event_id"), F.lit(',"pickup":"'), F.col("event_type"), F.lit('"'))
@@ -121,7 +132,7 @@ def ride_messages(events: DataFrame) -> DataFrame:
         .when(kind == 4, F.concat(fare, F.lit(',"note":{"k":[1,"x"]}}')))
         .otherwise(F.concat(fare, F.lit("}")))
     )
-    return events.select(F.concat(head, tail).alias("value"))
+    return F.concat(head, tail)
 
 
 def profile_upserts(events: DataFrame) -> DataFrame:

@@ -282,6 +282,11 @@ ORACLE = {
     ),
     "ride_fare_category_tolerant": _TOLERANT,
     "ride_rejects": _with(_MESSAGES, " SELECT value, reason FROM judged WHERE reason IS NOT NULL"),
+    "ride_bytes_outcomes": (
+        "SELECT CASE event_id % 50 WHEN 0 THEN 'not JSON' WHEN 1 THEN 'cheap' WHEN 2 THEN 'cheap' WHEN 3 THEN 'fare is not a number'"
+        " WHEN 5 THEN 'not text' ELSE CASE WHEN value < 10 THEN 'cheap' WHEN value < 15 THEN 'medium' ELSE 'expensive' END END AS outcome,"
+        " COUNT(*) AS n FROM events GROUP BY outcome"
+    ),
     "ride_serving_rows": _with(
         _MESSAGES,
         f" SELECT CAST(ride_id AS VARCHAR) AS ride_id, pickup, {_category('COALESCE(fare, 0)')}, fare,"
