@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bidtide.llm.text import per_batch, small_batches
-from bidtide.llm.tokens import PieceIds
+from bidtide.llm.tokens import MEMORY, PieceIds
 from bidtide.session import written
 
 WIDTH = 1024
@@ -101,7 +101,7 @@ class Schedule:
         return self.seats[phase] + share * (self.seats[phase + 1] - self.seats[phase])
 
 
-def _queues(docs: DataFrame, tokenizer: str, end_id: int, max_queues: int) -> DataFrame:
+def _queues(docs: DataFrame, tokenizer: str, end_id: int, max_queues: int, remembered: int) -> DataFrame:
     """Written ids of all documents with their place among their queue's ids in their partition."""
     source = F.col("source").cast("string")
     many = docs.select(source.alias("s")).distinct().limit(max_queues + 1).count() > max_queues
@@ -110,7 +110,7 @@ def _queues(docs: DataFrame, tokenizer: str, end_id: int, max_queues: int) -> Da
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, seen = PieceIds.of(tokenizer), TaskContext.get().partitionId(), {}
+        encoder, part, seen = PieceIds.of(tokenizer, remembered), TaskContext.get().partitionId(), {}
         narrow = encoder.vocabulary() <= 1 << 16 and end_id < 1 << 16
         for batch in batches:
             at, sizes, packed = [], [], []
@@ -126,14 +126,16 @@ def _queues(docs: DataFrame, tokenizer: str, end_id: int, max_queues: int) -> Da
     return written(texts.mapInArrow(run, f"part int, queue string, doc_id {kind}, at long, n long, ids binary"), "queues")
 
 
-def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, width: int = WIDTH, weights: dict[str, float] | None = None, max_queues: int = 1000) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, width: int = WIDTH, weights: dict[str, float] | None = None, max_queues: int = 1000,
+         remembered: int = MEMORY) -> DataFrame:
     """Pieces: doc_id, queue, start (ids of its document before), length, ids (32-bit little-endian), doc_tokens,
     sequence_id, offset. ``docs`` needs doc_id, source and text.
 
-    Gathered to the driver and sent round: one total for each of at most ``max_queues`` queues.
+    Gathered to the driver and sent round: one total for each of at most ``max_queues`` queues. ``remembered`` bounds the pieces
+    whose ids a Python worker keeps; results don't depend on it.
     """
     small_batches(docs)
-    queued = _queues(docs, tokenizer, end_id, max_queues)
+    queued = _queues(docs, tokenizer, end_id, max_queues, remembered)
     parts = queued.groupBy("queue", "part").agg(F.sum("n").alias("n"))
     totals = sorted(parts.groupBy("queue").agg(F.sum("n")).collect(), key=lambda r: (r[0] is not None, r[0]))
     names = [r[0] for r in totals]

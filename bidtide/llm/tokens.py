@@ -51,15 +51,17 @@ class PieceIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.limit = MEMORY
         self.after_space: dict[str, bytes | None] = {}  # ids of a piece with a space before it; None: not a plain piece
         self.as_is: dict[str, bytes] = {}
         self.marks = dict(zip(_MARKS, self._encoded(list(_MARKS))))
 
     @classmethod
-    def of(cls, path: str) -> PieceIds:
-        """The worker's own tokenizer, kept between tasks."""
+    def of(cls, path: str, pieces: int = MEMORY) -> PieceIds:
+        """The worker's own tokenizer, kept between tasks, which remembers up to ``pieces`` pieces."""
         if path not in _WORKER:
             _WORKER[path] = cls(path)
+        _WORKER[path].limit = pieces
         return _WORKER[path]
 
     def vocabulary(self) -> int:
@@ -71,7 +73,7 @@ class PieceIds:
     def _of_pieces(self, pieces: list[str]) -> bytes:
         """Ids of adjacent pieces of a text that start anew wherever ``_CUT`` holds."""
         if fresh := list(set(pieces).difference(self.as_is)):
-            if len(self.as_is) + len(fresh) > MEMORY:
+            if len(self.as_is) + len(fresh) > self.limit:
                 self.as_is.clear()
                 fresh = list(set(pieces))
             self.as_is.update(zip(fresh, self._encoded(fresh)))
@@ -120,7 +122,7 @@ class PieceIds:
         head, *pieces = text.split(" ")
         if len(head) > LONG or len(max(pieces, key=len, default="")) > LONG:
             return self._of_pieces(_CUT.split(text))
-        if len(self.after_space) > MEMORY:
+        if len(self.after_space) > self.limit:
             self.after_space.clear()
         if fresh := set(pieces).difference(self.after_space):
             self._learn(fresh)

@@ -86,6 +86,33 @@ def test_pipeline_stages_take_effect(spark):
     assert sum(r.length for r in pieces) == sum(r.doc_tokens for r in pieces if r.start == 0)
 
 
+def test_pipeline_on_awkward_and_empty_tables(spark, docs, table, tmp_path):
+    """Every stage and the whole on rows without ids, repeated ids with other texts, empty and long texts; and on no rows."""
+    pipeline = pytest.importorskip("corpus_pipeline")
+    words = [" ".join(f"{c}{i}" for i in range(12)) for c in "abcdefg"]
+    more = spark.createDataFrame([(None, words[0]), (None, words[1]), (50, words[2]), (50, words[3]), (None, words[1]), (None, None), (None, "")], "doc_id long, text string")
+    tables = {"full": docs.unionByName(more, allowMissingColumns=True), "none": docs.limit(0)}
+    for name, frame in tables.items():
+        folder = tmp_path / name
+        frame.write.parquet(f"{folder}/documents.parquet")
+        for other in ("labels", "benchmark"):
+            table(other).write.parquet(f"{folder}/{other}.parquet")
+        at = spark.read.parquet(f"{folder}/documents.parquet")
+        before, texts = at, []
+        for stage_name, stage in pipeline.STAGES[:-1]:
+            at = pipeline.written(stage(spark, at, str(folder)), stage_name)
+            assert at.columns == before.columns
+            texts.append([(r.doc_id, r.text) for r in at.collect()])
+        pieces = pipeline.run(spark, str(folder)).collect()
+        assert sorted({r.doc_id for r in pieces}, key=str) == sorted({i for i, _ in texts[-1]}, key=str)
+        assert sum(r.length for r in pieces) == sum(r.doc_tokens for r in pieces if r.start == 0)
+        if name == "none":
+            assert not pieces and not any(texts)
+        else:  # whatever their ids, rows that are no copies stay with their texts
+            assert {(None, words[0]), (None, words[1]), (50, words[2]), (50, words[3]), (None, None), (2, None)} <= set(texts[-1])
+            assert texts[-1].count((None, words[1])) == 1
+
+
 def test_language_without_trusted_text_and_toxic_words(spark):
     sf = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
