@@ -3,7 +3,8 @@
 Each stage is a function (spark, docs, sf_dir) -> DataFrame over all that the one before has kept; all but the last return
 documents with the columns they came with. ``run`` writes every stage's result to the shared folder and reads it again.
 
-Rows without a doc_id, null or empty texts pass every filter and are packed as an end id; an empty table gives no pieces.
+Rows that share a doc_id or have none are documents of their own: they lose repeated lines and go only as near-duplicates of another
+row. Null or empty texts pass every filter and are packed as an end id; an empty table gives no pieces.
 """
 
 from __future__ import annotations
@@ -40,7 +41,8 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of 1024 ids, mixed by source."""
-    pieces = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    # Executors come here with the heap that the stages before have grown to, so workers keep fewer pieces.
+    pieces = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), remembered=150_000)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
