@@ -83,6 +83,26 @@ def test_method_labels(spark):
     assert found[5].score == 0 and found[1].score == 1
 
 
+def plain(template, words):
+    """A licence's text: optional regions left out, replaceable ones filled."""
+    text = re.sub(r"\[\[[^\]]*\]\]", "", template)
+    return re.sub(r"\{\{\d+\}\}", words, text)
+
+
+def test_whole_licences(spark):
+    mit, two, three = licenses._MIT, f"{licenses._BSD_2} {licenses._BSD_DISCLAIMER}", f"{licenses._BSD_2} {licenses._BSD_3} {licenses._BSD_DISCLAIMER}"
+    texts = {
+        "mit": "The MIT Licence, copyright (c) 2020 Somebody. " + plain(mit, "Software").title() + " And more text.",
+        "json": plain(mit, "software").replace("all copies or", "all copies used for good not evil or"), "bare": plain(mit.split("the above copyright")[0], "software") + "shall be used for good, not evil",
+        "bsd-2": plain(two, "the owners"), "bsd-3": "x " + plain(three, "the owners").upper(), "word": plain(two, "us").replace("source code", "source files"),
+        "isc": plain(licenses._ISC, "the author"), "long": plain(mit, " ".join("abcdefghi")),
+    }
+    frame = spark.createDataFrame(list(texts.items()), "doc_id string, text string")
+    found = {r.doc_id: (r.labels, r.score) for r in licenses.license_labels(frame).collect()}
+    assert {k: v for k, v in found.items() if v[0]} == {k: ([k], 1.0) for k in ("mit", "bsd-2", "bsd-3", "isc")}
+    assert all(0.1 < found[k][1] < 1 for k in ("json", "bare", "word", "long"))
+
+
 def test_empty_tables(spark, docs):
     none = docs.limit(0)
     assert licenses.license_labels(none).count() == 0 and licenses.license_labels(docs).count() == docs.count()
