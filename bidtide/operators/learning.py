@@ -3,8 +3,8 @@
 Examples are numbered where they lie, and mini-batches cut from the numbers, so weights don't depend on how a stream was cut
 into micro-batches: what doesn't fill a mini-batch waits for the next micro-batch.
 
-One step is one distributed aggregation that returns the gradient as a single row; the driver holds nothing but
-the weight vector. The gradient depends on a batch only through its feature combinations and their counts, so
+The step of a large mini-batch is one distributed aggregation that returns the gradient as a single row; those of small ones run in a
+row in one task over a bounded number of rows. The driver holds nothing but the weight vector. The gradient depends on a batch only through its feature combinations and their counts, so
 the batch is collapsed once and the steps run over the collapsed rows.
 """
 
@@ -13,6 +13,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +41,8 @@ def new_model(features: Sequence[str]) -> LinearModel:
     return LinearModel(list(features), [0.0] * len(features), 0.0, source="online")
 
 
+#: Examples whose steps one task takes in a row.
+IN_TASK = 100_000
 #: What an example is learnt from; with the time these put examples in order, and ties are equal in all of them.
 EXAMPLE = (*CATEGORICAL, "frac_tech", "frac_lifestyle", "label")
 ORDER = ("event_time", "user_id", *EXAMPLE)
@@ -62,16 +66,49 @@ def mini_batches(new: DataFrame, waiting: DataFrame | None, per_step: int) -> tu
     return whole, placed.where(F.col("step") >= steps).drop("step"), steps
 
 
+def _steps_in_task(model: LinearModel, rows: DataFrame, first: int, last: int, done: int, rate: LearningRate) -> LinearModel:
+    """The steps of mini-batches ``first`` to ``last`` (excluded), one after the other in one task over at most ``IN_TASK`` rows."""
+    pairs = [split_feature(f, CATEGORICAL) for f in model.features]
+    start = [model.intercept, *model.weights]
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("step", kind="stable")
+        columns = [np.ones(len(frame))]
+        for feature, pair in zip(model.features, pairs):
+            columns.append((frame[pair[0]] == pair[1] if pair else frame[feature]).to_numpy(float))
+        x, y, n = np.column_stack(columns), frame["label"].to_numpy(float), frame["n"].to_numpy(float)
+        bounds = np.searchsorted(frame["step"].to_numpy(), np.arange(first, last + 1))
+        w = np.array(start)
+        for step, low, high in zip(range(first, last), bounds[:-1], bounds[1:]):
+            for i in range(rate.steps_per_batch):
+                eta = rate.at((done + step) * rate.steps_per_batch + i)
+                with np.errstate(over="ignore"):
+                    error = (1 / (1 + np.exp(-x[low:high] @ w)) - y[low:high]) * n[low:high]
+                slope = x[low:high].T @ error / n[low:high].sum()
+                w[1:] *= 1 - eta * rate.alpha
+                w -= eta * slope
+        return pd.DataFrame({"w": [w.tolist()]})
+
+    some = rows.where((F.col("step") >= first) & (F.col("step") < last))
+    w = some.groupBy(F.lit(0).alias("all")).applyInPandas(run, "w array<double>").first()["w"]
+    return replace(model, intercept=w[0], weights=w[1:])
+
+
 def learn_in_order(model: LinearModel, whole: DataFrame, steps: int, per_step: int, rate: LearningRate = LearningRate()) -> LinearModel:
-    """Update the model with mini-batches, each in turn."""
+    """Update the model with mini-batches, each in turn.
+
+    Small ones are taken many at a time: their steps depend on each other, so one task does those of up to ``IN_TASK`` examples.
+    The gradient of a larger one is a distributed sum."""
     if not steps:
         return model
-    done = model.examples // per_step
+    done, at_once = model.examples // per_step, IN_TASK // per_step
     collapsed = written(whole.repartitionByRange("step"), "mini_batch_rows")
-    for step in range(steps):
-        rows = collapsed.where(F.col("step") == step)
-        for i in range(rate.steps_per_batch):
-            model = gradient_step(model, rows, rate, (done + step) * rate.steps_per_batch + i)
+    for first in range(0, steps, max(1, at_once)):
+        if at_once > 1:
+            model = _steps_in_task(model, collapsed, first, min(first + at_once, steps), done, rate)
+        else:
+            for i in range(rate.steps_per_batch):
+                model = gradient_step(model, collapsed.where(F.col("step") == first), rate, (done + first) * rate.steps_per_batch + i)
     return replace(model, examples=model.examples + steps * per_step)
 
 

@@ -11,6 +11,7 @@ from bidtide import schemas
 from bidtide.functions.score import LinearModel
 from bidtide.operators.asof import asof_join
 from bidtide.operators.interval_join import enrich
+from bidtide.operators import learning
 from bidtide.operators.learning import LearningRate
 from bidtide.operators.profiles import profile_changelog, user_profiles
 from bidtide.operators.registry import load_latest, save_model
@@ -391,8 +392,11 @@ def test_learning_writes_versions_and_status(spark, streaming, tmp_path):
     assert load_latest(spark, models, "online").examples == 18
 
 
-def test_weights_are_those_of_mini_batches_in_order(spark, streaming, tmp_path):
-    """One micro-batch or several: the same weights, those of plain steps over the examples in order of time."""
+@pytest.mark.parametrize("in_task", [20, 90])
+def test_weights_are_those_of_mini_batches_in_order(monkeypatch, spark, streaming, tmp_path, in_task):
+    """One micro-batch or several, steps as sums or several in a task: the same weights, those of plain steps over the examples
+    in order of time."""
+    monkeypatch.setattr(learning, "IN_TASK", in_task)
     from pyspark.sql import types as T
 
     fields = T.StructType().add("user_id", T.StringType()).add("timestamp_ts", T.LongType())
@@ -409,7 +413,7 @@ def test_weights_are_those_of_mini_batches_in_order(spark, streaming, tmp_path):
             error = 1 / (1 + np.exp(-x @ weights)) - [k for _, _, k, _ in part]
             eta = rate.at(step * 2 + i)
             weights = weights * [1, 1 - eta * rate.alpha, 1 - eta * rate.alpha] - eta * x.T @ error / per_step
-    for cuts in (1, 7):
+    for cuts in (1, 5):
         base = tmp_path / str(cuts)
         topic_file(base / "v", 0, *[{"user_id": f"u{i}", "timestamp_ts": millis(-1000), "total_views": 10, "tech_views": i, "lifestyle_views": 1} for i in range(4)],
                    {"user_id": "end", "timestamp_ts": millis(FAR)})
