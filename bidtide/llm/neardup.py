@@ -9,8 +9,8 @@ shingle sets confirm them.
    in each round, and of its partners in all its buckets only the best by estimate is confirmed. Copies of one text mostly join
    here, with one pair for each copy and round.
 4. The rest, exactly: classes of a bucket that are still in different components are all compared by signature, those
-   that aren't of the bucket's largest component with all others, and every pair whose estimate is within reach
-   is confirmed. Pairs inside one component change nothing and are not made.
+   that aren't of the bucket's largest component with all others, and every pair whose estimate is within reach is confirmed, the
+   likeliest first. Buckets are cut into blocks, and blocks meet in pairs. Pairs inside one component change nothing and are passed over.
 
 A pair at the threshold misses all bands with probability (1 - s^ROWS)^BANDS = 5e-8 at 0.8, and its estimate falls below the
 cut (six standard deviations under the threshold) with probability 1e-8, for sets of any size.
@@ -25,6 +25,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -43,6 +44,8 @@ _TERMS = _RANDOM.integers(0, 1 << 32, HASHES, np.uint32)
 _SEEDS = np.arange(1, HASHES + 1, dtype=np.uint64) << np.uint64(32)
 _ODD_LANES = int("01" * 32, 2)
 _CHUNK = 4096
+#: Members of a bucket, and bytes of their sets, that make a block.
+BLOCK_ROWS, BLOCK_BYTES = 512, 16 << 20
 #: Rounds of stars.
 STARS = 3
 #: Ids up to which the table of documents to confirm is sent to the tasks (8 bytes each); beyond, texts are shuffled.
@@ -111,28 +114,38 @@ def estimate_cut(threshold: float) -> float:
     return threshold - 6 * math.sqrt(agree * (1 - agree) / HASHES) / (1 - chance)
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
-    pairs = written(pairs, "candidates")
-    wanted = written(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct(), "wanted")
-    if wanted.count() <= BROADCAST_IDS:
-        wanted = F.broadcast(wanted)
+def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """id, set (sorted 64-bit shingle hashes as bytes) of the documents in ``wanted`` (doc_id)."""
     hashes = WordHashes()
 
     def sets_of(batch: pa.RecordBatch) -> dict:
         return {"id": batch.column("doc_id"), "set": pa.array([shingles(hashes.of(spaced_words(t)), size).tobytes() for t in batch.column("text").to_pylist()], pa.binary())}
 
     texts = docs.select("doc_id", utf8().alias("text")).join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    sets = written(per_batch(texts, "id long, set binary", sets_of), "sets")
+    return per_batch(texts, "id long, set binary", sets_of)
+
+
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """100 * intersection >= percent * union, of sorted distinct values."""
+    small, large = (x, y) if len(x) <= len(y) else (y, x)
+    if 100 * len(small) < percent * len(large):
+        return False
+    both = int((large[np.minimum(np.searchsorted(large, small), len(large) - 1)] == small).sum())
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
+def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
+    pairs = written(pairs, "candidates")
+    wanted = written(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct(), "wanted")
+    if wanted.count() <= BROADCAST_IDS:
+        wanted = F.broadcast(wanted)
+    sets = written(_sets(docs, wanted, size), "sets")
 
     def verdict(batch: pa.RecordBatch) -> dict:
         a, b = [], []
         for first, second, x, y in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "x", "y"))):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            small, large = (x, y) if len(x) <= len(y) else (y, x)
-            at = np.searchsorted(large, small)
-            both = int((large[np.minimum(at, len(large) - 1)] == small).sum())
-            if 100 * both >= percent * (len(x) + len(y) - both):
+            if _similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent):
                 a.append(first), b.append(second)
         return {"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())}
 
@@ -175,29 +188,70 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         best = compared(at.select("a", "b")).groupBy("b").agg(F.max_by("a", F.struct("estimate", "a")).alias("a")).select("a", "b")
         found = _confirmed(best, docs, size, percent)
         links = found if links is None else links.unionByName(found)
-    links = links.unionByName(_confirmed(_rest(buckets, own, links, cut), docs, size, percent))
+    links = links.unionByName(_rest(buckets, own, links, docs, size, percent))
     labels = components(links).select(F.col("node").alias("id"), "component")
     named = classes.join(labels, "id", "left").select(F.col("set_key"), F.coalesce("component", "id").alias("component_id"))
     out = signs.select("doc_id", F.col("n").alias("n_shingles"), "set_key").join(named, "set_key", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def _rest(buckets: DataFrame, signature: DataFrame, links: DataFrame, cut: Column) -> DataFrame:
-    """Pairs of every bucket across components, by signature; one side leaves out the bucket's largest component.
-
-    A pair of two components is made in each bucket that it shares, as all of these hold more than one component; it is
-    kept in the one with the smallest key, so that it is a row once and not once for each bucket."""
+def _joining(rows: pd.DataFrame, percent: int, cut: float) -> list[tuple[int, int]]:
+    """Links of a piece of one bucket that join different components, confirmed on full sets. Rows of two blocks meet crosswise, those of
+    one block all; a pair is left to the bucket with the smallest key that both are in."""
+    low, high, key = rows["low"].iloc[0], rows["high"].iloc[0], rows["key"].iloc[0]
+    block, ids, main = rows["block"].to_numpy(), rows["id"].to_numpy(), rows["is_main"].to_numpy(bool)
+    words = np.stack([rows[f"w{i}"].to_numpy(np.int64) for i in range(HASHES // _LANES)], axis=1).view(np.uint64)
+    bands, comps = np.stack(rows["bands"].to_list()), rows["comp"].to_numpy()
+    sets = [np.frombuffer(x, np.uint64) for x in rows["set"]]
+    chance, odd, one = 0.5**KEEP_BITS, np.uint64(_ODD_LANES), np.uint64(1)
+    root = {c: c for c in comps.tolist()}
+
+    def top(c: int) -> int:
+        while root[c] != c:
+            c = root[c]
+        return c
+
+    out = []
+    for x in np.flatnonzero(~main):
+        apart = words ^ words[x]
+        near = (1 - np.bitwise_count((apart | (apart >> one)) & odd).sum(axis=1) / HASHES - chance) / (1 - chance)
+        there = (near >= cut) & (comps != comps[x]) & (main | (ids[x] < ids))
+        if low != high:
+            there &= block != block[x]
+        at = np.flatnonzero(there)
+        if len(at):
+            shared = np.where(bands[at] == bands[x], bands[at], np.iinfo(np.int64).max).min(axis=1)
+            at = at[shared == key]
+        for y in at[np.argsort(-near[at], kind="stable")].tolist():
+            a, b = top(int(comps[x])), top(int(comps[y]))
+            if a != b and _similar(sets[x], sets[y], percent):
+                root[a] = b
+                out.append((int(ids[x]), int(ids[y])))
+    return out
+
+
+def _rest(buckets: DataFrame, own: DataFrame, links: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links between different components, in the buckets that hold several. A bucket is cut into blocks of bounded numbers and bytes,
+    every two of which meet in one group; pairs are compared there, and only links that join components leave it."""
     known = written(_with_component(buckets.select("key", "id"), links), "bucket_components")
-    sizes = known.groupBy("key", "comp").count()
-    largest = sizes.groupBy("key").agg(F.max_by("comp", F.struct("count", "comp")).alias("main"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
-    mixed_rows = known.join(largest, "key").join(signature, "id")
-    mixed_rows = written(mixed_rows, "mixed_buckets")
-    x, y = mixed_rows.where("comp <> main").alias("x"), mixed_rows.alias("y")
-    apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") != F.col("y.comp"))
-    once = (F.col("y.comp") == F.col("y.main")) | (F.col("x.id") < F.col("y.id"))
-    here = F.array_min(F.array_intersect("x.bands", "y.bands")) == F.col("x.key")
-    pairs = x.join(y, apart & once & (estimate("x", "y") >= cut) & here)
-    return pairs.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+    by_comp = known.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
+    mixed = by_comp.groupBy("key").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
+    rows = written(known.join(mixed.select("key", "main"), "key"), "mixed_buckets")
+    sets = _sets(docs, rows.select(F.col("id").alias("doc_id")).distinct(), size)
+    whole = written(rows.join(own, "id").join(sets, "id"), "mixed_sets")
+    blocks = whole.groupBy("key").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS), F.ceil(F.sum(F.length("set")) / BLOCK_BYTES)).alias("blocks"))
+    placed = whole.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    met = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    names = [f"w{i}" for i in range(HASHES // _LANES)]
+    pieces = met.select(
+        "key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "id", "comp",
+        (F.col("comp") == F.col("main")).alias("is_main"), "bands", "set", *names)
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(_joining(rows, percent, cut), columns=["a", "b"], dtype="int64")
+
+    cut = estimate_cut(percent / 100)
+    return written(pieces.groupBy("key", "low", "high").applyInPandas(run, "a long, b long"), "joining_links")
 
 
 def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
