@@ -70,10 +70,26 @@ def utf8(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit("")).cast("binary")
 
 
+_HELD: list[dict] = []
+
+
+def worker_cache() -> dict:
+    """A dictionary that a Python worker keeps between tasks of one operator."""
+    _HELD.append({})
+    return _HELD[-1]
+
+
+def release() -> None:
+    """Empty what tasks of other operators have left in this worker."""
+    for cache in _HELD:
+        cache.clear()
+
+
 def per_batch(df: DataFrame, schema: str, rows: Callable[[pa.RecordBatch], dict[str, list | np.ndarray | pa.Array]]) -> DataFrame:
     """Apply ``rows`` to every Arrow batch; it returns columns by name, in the order of ``schema``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             if batch.num_rows:
                 yield pa.RecordBatch.from_pydict(dict(rows(batch)))

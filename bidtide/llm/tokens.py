@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bidtide.llm.text import per_batch, small_batches
+from bidtide.llm.text import per_batch, small_batches, worker_cache
 from bidtide.session import fresh_path
 
 MEMORY = 700_000
@@ -39,7 +39,7 @@ BLOCK_IDS = 65_536
 JOINED = 64
 _MARKS = ".,;:!?"
 _CUT = re.compile(r"(?<=\S)(?= \S)")
-_WORKER: dict[str, PieceIds] = {}
+_WORKER: dict[str, PieceIds] = worker_cache()
 
 
 class PieceIds:
