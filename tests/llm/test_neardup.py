@@ -75,32 +75,3 @@ def test_small_sets_at_the_threshold_lose_no_link(spark):
             rows += [(base + 2, " ".join(apart[: n + 1])), (base + 3, " ".join(apart))]
     got = {r.doc_id: r.component_id for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), size=2).collect()}
     assert got == {i: i for i, _ in rows} | {b: a for a, b in linked}
-
-
-def test_buckets_of_many_components_are_cut_into_blocks(monkeypatch, spark):
-    """One crowd of texts around the threshold: every link that joins components is found, however the buckets are cut."""
-    rng = random.Random(8)
-    base = [f"b{i}" for i in range(60)]
-    rows = []
-    for i in range(150):
-        words = list(base)
-        for at in rng.sample(range(60), rng.randrange(1, 9)):
-            words[at] = f"c{rng.randrange(40)}"
-        rows.append((i, " ".join(words)))
-    sets = {i: {tuple(t.split()[k : k + 2]) for k in range(59)} for i, t in rows}
-    root = {i: i for i, _ in rows}
-
-    def top(i):
-        return i if root[i] == i else top(root[i])
-
-    for a, x in sets.items():
-        for b, y in sets.items():
-            if a < b and 100 * len(x & y) >= 80 * len(x | y):
-                p, q = sorted((top(a), top(b)))
-                root[q] = p
-    frame = spark.createDataFrame(rows, "doc_id long, text string")
-    for block in (7, 512):
-        monkeypatch.setattr(neardup, "BLOCK_ROWS", block)
-        monkeypatch.setattr(neardup, "STARS", 1)
-        got = {r.doc_id: r.component_id for r in neardup.near_duplicates(frame, size=2).collect()}
-        assert got == {i: top(i) for i in root}
