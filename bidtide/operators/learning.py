@@ -3,9 +3,9 @@
 Examples are numbered where they lie, and mini-batches cut from the numbers, so weights don't depend on how a stream was cut
 into micro-batches: what doesn't fill a mini-batch waits for the next micro-batch.
 
-The step of a large mini-batch is one distributed aggregation that returns the gradient as a single row; those of small ones run in a
-row in one task over a bounded number of rows. The driver holds nothing but the weight vector. The gradient depends on a batch only through its feature combinations and their counts, so
-the batch is collapsed once and the steps run over the collapsed rows.
+The step of a large mini-batch is one distributed aggregation that returns the gradient as a single row; those of small ones run
+in a row in one task over a bounded number of rows. The driver holds nothing but the weight vector. The gradient depends on a
+mini-batch only through its feature combinations and their counts, so it is collapsed to these first.
 """
 
 from __future__ import annotations

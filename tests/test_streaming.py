@@ -569,9 +569,9 @@ def test_reports_over_stored_tables(spark, tmp_path):
 
 def test_kafka_needs_its_connector(spark):
     with pytest.raises(topics.KafkaUnavailable):
-        topics.kafka_messages(spark, "broker:9092", "dsp_wins", "earliest")
+        topics.kafka_messages(spark, "broker:9092", "wins", "earliest")
     with pytest.raises(ValueError):
-        topics.kafka_messages(spark, "broker:9092", "dsp_wins", "middle")
+        topics.kafka_messages(spark, "broker:9092", "wins", "middle")
 
 
 def test_failed_queries_are_restarted(spark, streaming, tmp_path):
