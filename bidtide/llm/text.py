@@ -80,9 +80,10 @@ def worker_cache() -> dict:
 
 
 def release() -> None:
-    """Empty what tasks of other operators have left in this worker."""
+    """Empty what tasks of other operators have left in this worker, Arrow's free memory included."""
     for cache in _HELD:
         cache.clear()
+    pa.default_memory_pool().release_unused()
 
 
 def per_batch(df: DataFrame, schema: str, rows: Callable[[pa.RecordBatch], dict[str, list | np.ndarray | pa.Array]]) -> DataFrame:
