@@ -42,7 +42,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of 1024 ids, mixed by source."""
     # Executors come here with the heap that the stages before have grown to, so workers keep fewer pieces.
-    pieces = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), remembered=150_000)
+    pieces = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), remembered=50_000)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
