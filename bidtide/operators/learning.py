@@ -42,7 +42,7 @@ def new_model(features: Sequence[str]) -> LinearModel:
 
 
 #: Examples whose steps one task takes in a row.
-IN_TASK = 100_000
+IN_TASK = 500_000
 #: What an example is learnt from; with the time these put examples in order, and ties are equal in all of them.
 EXAMPLE = (*CATEGORICAL, "frac_tech", "frac_lifestyle", "label")
 ORDER = ("event_time", "user_id", *EXAMPLE)

@@ -3,18 +3,21 @@
 Probes wait in their key's state until the watermark has passed their time; by then every version they may need
 has arrived. A version is kept while it is still the latest one before the watermark.
 
-State is a map of blocks in the state store, each a run of at most ``block`` rows in order of time, under a small directory of their
-bounds. A timer at the earliest waiting probe resolves what the watermark has passed, one block of probes at a time against
-the blocks of versions that can hold their answer. So a task holds a few blocks, however many rows a key has, and a
-micro-batch rewrites only the blocks it touches.
-
-The Python side only compares times. What a probe or version carries travels as one JSON text that is written and
-read by Spark, so a group costs three columns however wide the rows are.
+Keys share state by buckets of their hash, as a state group costs many round trips however few rows it has. State is a map of
+blocks in the state store, each a run of at most ``block`` rows in order of key and time, under a small directory of their bounds. A
+timer at the earliest waiting probe resolves what the watermark has passed, one block of probes at a time against the blocks of
+versions that can hold its answers. So a task holds a few blocks and one version of each of a bucket's keys, however many rows a
+key has, and a micro-batch rewrites only the blocks it touches.
+
+The Python side only compares keys and times. What a probe or version carries travels as one JSON text that is written and
+read by Spark, so a group costs four columns however wide the rows are.
 """
 
 from __future__ import annotations
 
+from collections import OrderedDict
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pandas as pd
@@ -25,12 +28,61 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 #: Rows of a block, which are read and written together.
 BLOCK = 2048
-_ROWS = "times ARRAY<BIGINT>, rows ARRAY<STRING>"
-_DIRECTORY = "ids ARRAY<BIGINT>, firsts ARRAY<BIGINT>, lasts ARRAY<BIGINT>, upcoming BIGINT"
+#: State groups that keys are dealt to. It is part of the state's layout, so a checkpoint keeps the number it began with.
+BUCKETS = 1024
+#: Blocks of versions that a task keeps while it resolves a bucket.
+_KEPT = 16
+_ROWS = "keys ARRAY<STRING>, times ARRAY<BIGINT>, rows ARRAY<STRING>"
+_DIRECTORY = (
+    "ids ARRAY<BIGINT>, lows ARRAY<STRING>, highs ARRAY<STRING>, firsts ARRAY<BIGINT>, lasts ARRAY<BIGINT>,"
+    " sizes ARRAY<BIGINT>, settled ARRAY<BOOLEAN>, upcoming BIGINT"
+)
+
+
+@dataclass(frozen=True)
+class _Rows:
+    """Rows of a block in order of key and time; of equal ones, in order of arrival."""
+
+    keys: np.ndarray
+    times: np.ndarray
+    rows: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.times)
+
+    def __getitem__(self, some) -> _Rows:
+        return _Rows(self.keys[some], self.times[some], self.rows[some])
+
+    def and_later(self, more: _Rows) -> _Rows:
+        both = (self.keys, more.keys), (self.times, more.times), (self.rows, more.rows)
+        return _Rows(*[np.concatenate(pair) for pair in both]).ordered()
+
+    def ordered(self) -> _Rows:
+        codes, _ = pd.factorize(self.keys, sort=True)
+        return self[np.lexsort((self.times, codes))]
+
+    def latest(self) -> _Rows:
+        """The last row of each key."""
+        return self[np.append(self.keys[1:] != self.keys[:-1], True)] if len(self) else self
+
+
+def _no_rows() -> _Rows:
+    return _Rows(np.zeros(0, object), np.zeros(0, np.int64), np.zeros(0, object))
+
+
+@dataclass(frozen=True)
+class _Bounds:
+    low: str
+    high: str
+    first: int
+    last: int
+    size: int
+    #: One version of each key, left by ``_drop_settled``.
+    settled: bool
 
 
 class _Blocks:
-    """Rows of one kind under the current key: blocks by number, and their first and last times."""
+    """Rows of one kind under the current bucket: blocks by number, and their bounds."""
 
     def __init__(self, handle: StatefulProcessorHandle, name: str, size: int):
         self.size = size
@@ -38,44 +90,50 @@ class _Blocks:
         self._directory = handle.getValueState(f"{name}_directory", _DIRECTORY)
 
     def open(self) -> _Blocks:
-        """Read the current key's directory."""
-        ids, firsts, lasts, self.upcoming = self._directory.get() if self._directory.exists() else ([], [], [], 0)
-        self.bounds = {i: (a, b) for i, a, b in zip(ids, firsts, lasts)}
+        """Read the current bucket's directory."""
+        *columns, self.upcoming = self._directory.get() or ([[]] * 7 + [0])
+        self.bounds = {i: _Bounds(*rest) for i, *rest in zip(*columns)}
         self.changed = False
+        self._read: OrderedDict[int, _Rows] = OrderedDict()
         return self
 
     def close(self) -> None:
+        self._read.clear()
         if self.changed and self.bounds:
-            ids = list(self.bounds)
-            self._directory.update((ids, [self.bounds[i][0] for i in ids], [self.bounds[i][1] for i in ids], self.upcoming))
+            values = self.bounds.values()
+            columns = [[getattr(b, f.name) for b in values] for f in fields(_Bounds)]
+            self._directory.update((list(self.bounds), *columns, self.upcoming))
         elif self.changed:
             self._directory.clear()
 
-    def add(self, times: np.ndarray, rows: np.ndarray) -> None:
-        """Add rows in order of time. Few of them go to the last block while it has room, so that trickles don't scatter."""
-        if not len(times):
+    def add(self, rows: _Rows, settled: bool = False) -> None:
+        """Add rows in their order. Few of them go to the last block while it has room, so that trickles don't scatter."""
+        if not len(rows):
             return
         last = self.upcoming - 1
-        if len(times) < self.size // 4 and last in self.bounds:
-            old, kept = self.read(last)
-            if len(old) + len(times) <= self.size:
-                times, rows = np.concatenate([old, times]), np.concatenate([kept, rows])
-                order = np.argsort(times, kind="stable")  # later arrivals of one time stay behind earlier ones
-                self.put(last, times[order], rows[order])
-                return
-        for start in range(0, len(times), self.size):
-            self.put(self.upcoming, times[start : start + self.size], rows[start : start + self.size])
+        if not settled and len(rows) < self.size // 4 and last in self.bounds and self.bounds[last].size + len(rows) <= self.size:
+            self.put(last, self.read(last).and_later(rows))
+            return
+        for start in range(0, len(rows), self.size):
+            self.put(self.upcoming, rows[start : start + self.size], settled)
             self.upcoming += 1
 
-    def read(self, block: int) -> tuple[np.ndarray, np.ndarray]:
-        times, rows = self._blocks.getValue((block,))
-        return np.array(times, np.int64), np.array(rows, object)
+    def read(self, block: int) -> _Rows:
+        if block not in self._read:
+            keys, times, rows = self._blocks.getValue((block,))
+            self._read[block] = _Rows(np.array(keys, object), np.array(times, np.int64), np.array(rows, object))
+        self._read.move_to_end(block)
+        if len(self._read) > _KEPT:
+            self._read.popitem(last=False)
+        return self._read[block]
 
-    def put(self, block: int, times: np.ndarray, rows: np.ndarray) -> None:
+    def put(self, block: int, rows: _Rows, settled: bool = False) -> None:
         self.changed = True
-        if len(times):
-            self._blocks.updateValue((block,), (times.tolist(), rows.tolist()))
-            self.bounds[block] = int(times[0]), int(times[-1])
+        self._read.pop(block, None)
+        if len(rows):
+            self._blocks.updateValue((block,), (rows.keys.tolist(), rows.times.tolist(), rows.rows.tolist()))
+            times = rows.times
+            self.bounds[block] = _Bounds(rows.keys[0], rows.keys[-1], int(times.min()), int(times.max()), len(rows), settled)
         else:
             self._blocks.removeKey((block,))
             self.bounds.pop(block)
@@ -93,13 +151,13 @@ class _AsOf(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         versions, probes = self.versions.open(), self.probes.open()
         for chunk in rows:
-            chunk = chunk.sort_values("t", kind="stable")
-            times, is_version, row = chunk["t"].to_numpy(np.int64), chunk["is_version"].to_numpy(bool), chunk["row"].to_numpy(object)
-            versions.add(times[is_version], row[is_version])
-            probes.add(times[~is_version], row[~is_version])
+            is_version = chunk["is_version"].to_numpy(bool)
+            found = _Rows(chunk["key"].to_numpy(object), chunk["t"].to_numpy(np.int64), chunk["row"].to_numpy(object))
+            versions.add(found[is_version].ordered())
+            probes.add(found[~is_version].ordered())
         watermark = timerValues.getCurrentWatermarkInMs()
         if not probes.bounds:
-            self._drop_settled(watermark)  # keys that nobody asks for keep one version too
+            self._drop_settled(watermark)  # buckets that nobody asks for keep one version of a key too
         self._set_timer(watermark)
         versions.close()
         probes.close()
@@ -108,51 +166,64 @@ class _AsOf(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         watermark = timerValues.getCurrentWatermarkInMs()
         versions, probes = self.versions.open(), self.probes.open()
-        for block in [b for b, (first, _) in probes.bounds.items() if first <= watermark]:
-            times, rows = probes.read(block)
-            ready = int(np.searchsorted(times, watermark, "right"))
-            yield pd.DataFrame({"t": times[:ready], "probe": rows[:ready], "version": self._found(times[:ready])})
-            probes.put(block, times[ready:], rows[ready:])
+        # Blocks of neighbouring keys ask for the same blocks of versions.
+        for block in sorted((b for b, at in probes.bounds.items() if at.first <= watermark), key=lambda b: probes.bounds[b].low):
+            waiting = probes.read(block)
+            ready = waiting.times <= watermark
+            asked = waiting[ready]
+            yield pd.DataFrame({"t": asked.times, "probe": asked.rows, "version": self._found(asked)})
+            probes.put(block, waiting[~ready])
         self._drop_settled(watermark)
         self.timer.clear()
         self._set_timer(watermark)
         versions.close()
         probes.close()
 
-    def _found(self, asked: np.ndarray) -> np.ndarray:
-        """The version of each time asked for, in order. Of versions at one time the one that arrived last wins."""
+    def _found(self, asked: _Rows) -> np.ndarray:
+        """The version of each key and time asked for, in order. Of versions at one time the one that arrived last wins."""
         best, origin, found = np.full(len(asked), np.iinfo(np.int64).min), np.full(len(asked), -1), np.full(len(asked), None, object)
-        bounds = self.versions.bounds
-        candidates = [b for b, (first, _) in bounds.items() if first <= asked[-1]]
-        for block in sorted(candidates, key=lambda b: bounds[b][1], reverse=True):
-            if (origin >= 0).all() and bounds[block][1] < best.min():
+        low, high, latest, bounds = asked.keys[0], asked.keys[-1], asked.times.max(), self.versions.bounds
+        candidates = [b for b, at in bounds.items() if at.first <= latest and at.low <= high and at.high >= low]
+        for block in sorted(candidates, key=lambda b: bounds[b].last, reverse=True):
+            if (origin >= 0).all() and bounds[block].last < best.min():
                 break
-            times, rows = self.versions.read(block)
-            past = np.searchsorted(times, asked, "right" if self.inclusive else "left") - 1
-            at = times[past]
+            versions = self.versions.read(block)
+            past = self._places(versions, asked)
+            at = versions.times[past]
             better = (past >= 0) & ((at > best) | ((at == best) & (block > origin)))
-            best[better], origin[better], found[better] = at[better], block, rows[past[better]]
+            best[better], origin[better], found[better] = at[better], block, versions.rows[past[better]]
         return found
 
+    def _places(self, versions: _Rows, asked: _Rows) -> np.ndarray:
+        """Where the version of each row asked for lies in a block, or -1."""
+        codes, known = pd.factorize(versions.keys)
+        wanted = pd.Index(known).get_indexer(asked.keys)
+        times = np.unique(versions.times)
+        # Keys and times as one number in the order of the block.
+        placed = codes * (len(times) + 1) + np.searchsorted(times, versions.times) + 1
+        asked_at = np.searchsorted(times, asked.times, "right" if self.inclusive else "left")
+        past = np.searchsorted(placed, wanted * (len(times) + 1) + asked_at, "right") - 1
+        return np.where((wanted >= 0) & (past >= 0) & (codes[past] == wanted), past, -1)
+
     def _drop_settled(self, watermark: int) -> None:
-        """Forget versions that a later one before the watermark has replaced."""
-        past = [(last, block) for block, (_, last) in self.versions.bounds.items() if last < watermark]
-        if not past:
+        """Forget versions that a later one of their key before the watermark has replaced. Versions that are left from before are
+        read again once as many have come since, so that a micro-batch costs what it brings."""
+        bounds = self.versions.bounds
+        past = sorted(b for b, at in bounds.items() if at.last < watermark)
+        new = sum(bounds[b].size for b in past if not bounds[b].settled)
+        if not new or new < sum(bounds[b].size for b in past if bounds[b].settled):
             return
-        settled, kept = max(past)
-        for last, block in past:
-            if block != kept:
-                self.versions.put(block, np.zeros(0, np.int64), np.zeros(0, object))
-        first, _ = self.versions.bounds[kept]
-        if first < settled:
-            times, rows = self.versions.read(kept)
-            self.versions.put(kept, times[-1:], rows[-1:])
+        left = _no_rows()
+        for block in past:  # in order of arrival
+            left = left.and_later(self.versions.read(block)).latest()
+            self.versions.put(block, _no_rows())
+        self.versions.add(left, settled=True)
 
     def _set_timer(self, watermark: int) -> None:
         """One timer, at the earliest waiting probe."""
         if not self.probes.bounds:
             return
-        earliest = max(min(first for first, _ in self.probes.bounds.values()), watermark + 1)
+        earliest = max(min(at.first for at in self.probes.bounds.values()), watermark + 1)
         if self.timer.exists():
             (at,) = self.timer.get()
             if at <= earliest:
@@ -186,6 +257,7 @@ def stream_asof_join(
     heavy_keys: Sequence[str] = (),
     lanes: int = 16,
     block: int = BLOCK,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """Streaming counterpart of ``asof_join``. Both inputs carry a watermark; probes without a match get nulls, and
     rows without a time are left out.
@@ -199,17 +271,20 @@ def stream_asof_join(
     spread = F.pmod(F.xxhash64(probe_time, *carried), F.lit(lanes)).cast("int")
     copies = F.when(heavy, F.sequence(F.lit(0), F.lit(lanes - 1))).otherwise(F.array(F.lit(0)))
     gone = F.coalesce(F.col(deleted), F.lit(False)) if deleted else F.lit(False)
+    # Keys as text with a mark, so that probes without one meet no version.
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("bucket")
+    text = F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit("")).alias("key")
 
     # The time columns stay in the rows because they carry the watermarks.
     left = probes.select(
-        F.col(key).alias("key"), F.when(heavy | F.col(key).isNull(), spread).otherwise(0).alias("lane"), F.lit(False).alias("is_version"),
+        bucket, text, F.when(heavy | F.col(key).isNull(), spread).otherwise(0).alias("lane"), F.lit(False).alias("is_version"),
         F.unix_millis(probe_time).alias("t"), _packed(carried).alias("row"), F.col(probe_time).alias("time"),
     )
     right = versions.where(F.col(key).isNotNull()).select(
-        F.col(key).alias("key"), F.explode(copies).alias("lane"), F.lit(True).alias("is_version"),
+        bucket, text, F.explode(copies).alias("lane"), F.lit(True).alias("is_version"),
         F.unix_millis(version_time).alias("t"), F.when(~gone, _packed(values)).alias("row"), F.col(version_time).alias("time"),
     )
-    resolved = left.unionByName(right).where("t IS NOT NULL").groupBy("key", "lane").transformWithStateInPandas(
+    resolved = left.unionByName(right).where("t IS NOT NULL").groupBy("bucket", "lane").transformWithStateInPandas(
         statefulProcessor=_AsOf(inclusive, block),
         outputStructType="t BIGINT, probe STRING, version STRING",
         outputMode="Append",

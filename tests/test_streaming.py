@@ -1,6 +1,7 @@
 import json
 import random
 import time
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -594,3 +595,30 @@ def test_failed_queries_are_restarted(spark, streaming, tmp_path):
     topic_file(tmp_path / "t", 1, "y")
     with pytest.raises(Exception, match="flaky"):
         run_with_restarts(writer, attempts=1, delay_seconds=0)
+
+
+def test_asof_keys_share_state_groups(spark, streaming, tmp_path):
+    """Many users in few state groups, over several micro-batches and blocks of many users; a user without a name is not one without a key."""
+    from pyspark.sql import types as T
+
+    rng = random.Random(5)
+    users = ["", *[f"u{i}" for i in range(300)]]
+    fields = T.StructType().add("user_id", T.StringType()).add("timestamp_ts", T.LongType()).add("v", T.LongType())
+    log = [[(rng.choice(users), n * 2000 + rng.randrange(2400), n * 10_000 + i) for i in range(700)] for n in range(3)] + [[("end", FAR, 0)]]
+    asked = [[(rng.choice([None, *users]), n * 2000 + rng.randrange(2400)) for _ in range(500)] for n in range(3)] + [[("end", FAR)]]
+    versions_topic(tmp_path / "v", *log)
+    for n, rows in enumerate(asked):
+        topic_file(tmp_path / "p", n, *[request(f"{n}_{i}", t, u) for i, (u, t) in enumerate(rows)])
+    probes = stream(streaming, tmp_path / "p", schemas.REQUESTS_FOR_SCORING).select("request_id", "user_id", "ts")
+    joined = stream_asof_join(probes, stream(streaming, tmp_path / "v", fields), "user_id", "ts", "ts", ["v"], lanes=2, block=64, buckets=3)
+    query = to_table(joined, str(tmp_path / "out"), str(tmp_path / "ckpt"), once=True).start()
+    query.awaitTermination()
+    got = {r.request_id: r.v for r in spark.read.parquet(str(tmp_path / "out")).where("user_id IS NULL OR user_id <> 'end'").collect()}
+    latest = {(u, t): v for rows in log for u, t, v in rows}
+    want = {}
+    for n, rows in enumerate(asked[:-1]):
+        for i, (u, t) in enumerate(rows):
+            past = [vt for vu, vt in latest if vu == u and vt <= t]
+            want[f"{n}_{i}"] = latest[u, max(past)] if past else None
+    assert got == want
+    assert max(s["numRowsUpdated"] for p in query.recentProgress for s in p["stateOperators"]) < len(users)
