@@ -326,20 +326,34 @@ def upsert_topic_current(spark: SparkSession, sf_dir: str) -> DataFrame:
 _QUIET = {"requests": (datasets.requests, 31, REQUESTS), "wins": (datasets.wins, 15, WINS), "clicks": (datasets.clicks, 23, CLICKS)}
 
 
+#: Messages of a topic's file, at least, where eight days have several files.
+PER_FILE = 100_000
+
+
+def _publish_weekly(at: Streams, name: str, dataset, days: int) -> int:
+    """Write the first days of a dataset as a topic of JSON messages, eight days after eight days; the files of each.
+
+    Rows are dealt out one by one, so none of that many files is empty and a micro-batch of them holds eight days exactly."""
+    rows = dataset(at.table).where(F.dayofmonth("ts") <= days).withColumn("timestamp_ts", F.unix_millis("ts"))
+    week = F.expr("(dayofmonth(ts) - 1) div 8")
+    found = {r["week"]: r["n"] for r in rows.groupBy(week.alias("week")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    weeks = range(0, -(-days // 8))
+    files = max(1, min(found.get(n, 0) for n in weeks) // PER_FILE)
+    for n in weeks:
+        as_messages(rows.where(week == n).drop("ts")).repartition(files).write.mode("append").text(at.path(name))
+    return files
+
+
 def quiet_inputs_impressions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The enrichment job over wins that go quiet first, then clicks, then requests, without any marker at their ends.
 
-    A topic is a file for each eight days, and a micro-batch reads the next file of every topic that has one."""
+    A topic has equally many files for each eight days, and a micro-batch reads those of the next eight days of every topic that has any."""
     at = Streams(spark, sf_dir, "quiet")
-    for name, (dataset, days, _) in _QUIET.items():
-        rows = dataset(at.table).where(F.dayofmonth("ts") <= days).withColumn("timestamp_ts", F.unix_millis("ts"))
-        for week in range(0, days, 8):
-            some = rows.where(F.dayofmonth("ts").between(week + 1, week + 8))
-            as_messages(some.drop("ts")).coalesce(1).write.mode("append").text(at.path(name))
+    files = {name: _publish_weekly(at, name, dataset, days) for name, (dataset, days, _) in _QUIET.items()}
     idle = IdleInputs(at.session, at.path("beats"), timeout=1.0)
     at.session.streams.addListener(idle)
     try:
-        inputs = [at.topic(name, schema, 1) for name, (_, _, schema) in _QUIET.items()]
+        inputs = [at.topic(name, schema, files[name]) for name, (_, _, schema) in _QUIET.items()]
         query = jobs.enrichment_job(*inputs, at.path("out"), at.path("ckpt"), idle=idle, trigger="100 milliseconds").start()
         last = at.table.agg(F.max(F.unix_millis(F.col("ts").cast("timestamp")))).first()[0]
         jobs.await_watermark(query, last - OUT_OF_ORDER_MS, timeout=900)

@@ -622,3 +622,20 @@ def test_asof_keys_share_state_groups(spark, streaming, tmp_path):
             want[f"{n}_{i}"] = latest[u, max(past)] if past else None
     assert got == want
     assert max(s["numRowsUpdated"] for p in query.recentProgress for s in p["stateOperators"]) < len(users)
+
+
+def test_eight_days_of_a_topic_are_equally_many_files(spark, tmp_path, monkeypatch):
+    from bidtide.plans import datasets, streams
+
+    ts = F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id") * 3600).cast("timestamp_ntz")  # an event an hour from 2024-01-01
+    events = spark.range(24 * 30).select(F.col("id").alias("event_id"), ts.alias("ts"), (F.col("id") % 9).alias("user_id"),
+                                         F.lit("view").alias("event_type"), F.lit(1.5).alias("value"), F.lit("{}").alias("props"))
+    events.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(streams, "PER_FILE", 40)
+    at = streams.Streams(spark, str(tmp_path), "weekly")
+    files = streams._publish_weekly(at, "requests", datasets.requests, 15)
+    assert files == 24 * 7 // 40
+    found = sorted(Path(at.path("requests").removeprefix("file://")).glob("*.txt"), key=lambda p: p.stat().st_mtime_ns)
+    days = [[(json.loads(line)["timestamp_ts"] - 1_704_067_200_000) // 86_400_000 for line in p.read_text().splitlines()] for p in found]
+    assert [{day // 8 for day in some} for some in days] == [{0}] * files + [{1}] * files
+    assert sorted(day for some in days for day in some) == [day for day in range(15) for _ in range(24)]
