@@ -116,3 +116,14 @@ def test_schedule_never_goes_back(totals, weights, weighted):
     plan = packing.Schedule(totals, weights[: len(totals)] if weighted else None)
     served = plan.served(np.arange(sum(totals) + 1))
     assert (np.diff(served, axis=0) >= 0).all() and served.sum(axis=1).tolist() == list(range(sum(totals) + 1)) and served[-1].tolist() == totals
+
+
+@pytest.mark.parametrize("name,edge", [("byte_bpe_50k.json", "start"), ("word_bpe_49k.json", "end")])
+def test_words_are_cut_where_ids_show_their_edges(monkeypatch, name, edge):
+    path = public_tokenizers.path(name)
+    pieces = tokens.PieceIds(path)
+    assert pieces.edge == edge
+    monkeypatch.setattr(tokens, "TOGETHER", 7)
+    texts = ["", " ", "one", *[f"word{'xyzq' * (i % 5)} né{chr(97 + i % 26)}straße, И{chr(1072 + i % 32)}о 漢字 {i}a it's. the İi" for i in range(60)], "the one word " * 40]
+    plain = tokens.PieceIds(path).tokenizer
+    assert pieces.encode(texts) == [np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
