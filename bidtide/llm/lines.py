@@ -5,16 +5,17 @@ with any earlier line (by doc_id, then line number) is at least ``percent`` are
 tokens, such as a line without blanks, are similar only if they are equal.
 
 1. Rarity: occurrences of all tokens of all lines, counted in ``SKETCH`` hashed counters (a table of fixed size, which is
-   what is sent round). Tokens are ordered by their counter, then by hash: one order for all lines, so the filters are
+   what is sent round). Tokens are ordered by their counter, up to 65,535, then by hash: one order for all lines, so the filters are
    exact whatever the counters hold.
 2. Lines with equal token sets are one class, represented by its first line; all others are removed at once.
 3. Prefix filter: similar lines share one of the first ``size - ceil(t * size) + 1`` tokens of the larger and the first
-   ``size - ceil(2t / (1 + t) * size) + 1`` of the smaller. Pairs on a shared token must pass the length filter, the positional
-   filter (tokens after the shared one suffice for the overlap) and the number of odd bits in which their parity bitmaps
-   differ (each differing token flips one), all inside the join.
-4. First a round of stars on the two rarest tokens pairs each line with the first line that has them, which settles most
-   copies of a line with one pair each. Lines still without a match are then joined with all earlier lines.
-5. Candidates are verified on their full token sets.
+   ``size - ceil(2t / (1 + t) * size) + 1`` of the smaller. Tokens that occur once leave no posting, as no two lines share them. Pairs on
+   a shared token must pass the length filter, the positional filter (tokens after the shared one suffice for the overlap)
+   and the number of odd bits in which their parity bitmaps differ (each differing token flips one), all inside the join.
+4. Only whether a line has an earlier match is asked, so all joins on tokens are semi joins: the postings with an earlier partner, then
+   the partners of these. No join makes a row for a pair, however many lines are alike.
+5. Full token sets decide inside semi joins as well: first on each line's rarest token with a partner, which settles most
+   lines, then for lines without a match so far on all their other tokens.
 
 Defined results: a null text has no lines and stays null; an empty text is one empty line; doc_id is a long. ``removed_lines`` names
 lines by doc_id, so it wants ids that are unique, and leaves rows without one alone; ``without_repeats`` takes any rows: those that
@@ -24,58 +25,88 @@ extra columns stay as they are.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bidtide.llm.rows import with_row_ids
-from bidtide.llm.text import _ALNUM, WordHashes, mixed, per_batch, small_batches, utf8
+from bidtide.llm.text import _ALNUM, mixed, per_batch, release, small_batches, utf8
 from bidtide.session import written
 
 SKETCH = 1 << 22
 _BLOCK = 1 << 14
 #: Ids up to which the table of documents to verify is sent to the tasks (8 bytes each); beyond, texts are shuffled.
 BROADCAST_IDS = 1_000_000
+_LOW = 0xFFFFFFFF
+#: Words of a line's parity bitmap.
+_BITS = ("bits0", "bits1")
 _SALT = np.uint64(0xA5A5A5A5A5A5A5A5)
-
-
-def _tokens(texts: list[bytes], hashes: WordHashes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of all lines of some texts: text number, line number; of their distinct tokens: line (counted on), hash."""
-    words, counts, owner, number = [], [], [], []
-    for i, text in enumerate(texts):
-        lines = text.split(b"\n")
-        owner += [i] * len(lines)
-        number += range(len(lines))
-        for line in lines:
-            found = line.translate(_ALNUM).split()
-            words += found
-            counts.append(len(found))
-    line = np.repeat(np.arange(len(counts)), counts)
-    token = hashes.of(words)
-    order = np.lexsort((token, line))
-    line, token = line[order], token[order]
+#: As ``_ALNUM``, but ends of lines stay.
+_LINES = bytes(10 if b == 10 else _ALNUM[b] for b in range(256))
+#: Masks of the first bytes of eight.
+_FIRST = np.array([256**n - 1 for n in range(9)], np.uint64)
+
+
+def _words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of all lines of some texts: text number, line number; of their words in order: line (counted on), hash.
+
+    Up to eight bytes, words that differ have hashes that differ."""
+    raw = b"\n".join(texts).translate(_LINES) + bytes(16)
+    flat = np.frombuffer(raw, np.uint8)
+    ends_of_lines = np.flatnonzero(flat == 10)
+    per_text = np.array([text.count(b"\n") + 1 for text in texts], np.int64)
+    owner = np.repeat(np.arange(len(texts)), per_text)
+    number = np.arange(len(owner)) - np.repeat(np.cumsum(per_text) - per_text, per_text)
+    inside = np.concatenate([[False], flat > 32])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, sizes = edges[::2], edges[1::2] - edges[::2]
+    eight = np.ndarray(len(raw) - 7, "<u8", raw, strides=(1,))  # the eight bytes at every place
+    token = mixed(mixed(eight[starts] & _FIRST[np.minimum(sizes, 8)]))
+    more = np.flatnonzero(sizes > 8)
+    token[more] = mixed(token[more] + mixed((eight[starts[more] + 8] & _FIRST[np.minimum(sizes[more] - 8, 8)]) ^ _SALT))
+    for i in np.flatnonzero(sizes > 16):
+        token[i] = xxhash.xxh3_64_intdigest(raw[starts[i] : starts[i] + sizes[i]])
+    return owner, number.astype(np.int32), np.searchsorted(ends_of_lines, starts), token
+
+
+def _distinct(line: np.ndarray, token: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct tokens of each line, by line, rank (below 2^16), then token."""
+    spare = 48 - int(line.max() if len(line) else 0).bit_length()
+    key = (line.astype(np.uint64) << np.uint64(16) | rank.astype(np.uint64)) << np.uint64(spare) | token >> np.uint64(64 - spare)
+    order = np.argsort(key)
+    same = (key[order][1:] == key[order][:-1]) & (token[order][1:] != token[order][:-1])
+    if same.any():  # the key doesn't tell some tokens apart
+        order = np.lexsort((token, rank, line))
+    line, token, rank = line[order], token[order], rank[order]
     fresh = np.ones(len(token), bool)
     fresh[1:] = (token[1:] != token[:-1]) | (line[1:] != line[:-1])
-    return np.array(owner, np.int64), np.array(number, np.int32), line[fresh], token[fresh]
+    return line[fresh], token[fresh], rank[fresh]
 
 
 def _counters(docs: DataFrame) -> np.ndarray:
     """Occurrences of tokens by hashed counter. Tasks sum the counters of a block, and blocks come back as bytes: 16 MB."""
-    hashes = WordHashes()
 
-    def rows(batch: pa.RecordBatch) -> dict:
-        words = [w for text in batch.column("text").to_pylist() for w in text.translate(_ALNUM).split()]
-        counter, n = np.unique((hashes.of(words) % np.uint64(SKETCH)).astype(np.int32), return_counts=True)
-        return {"counter": pa.array(counter), "n": pa.array(n)}
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        held = np.zeros(SKETCH, np.int64)
+        for batch in batches:
+            counter, n = np.unique((_words(batch.column("text").to_pylist())[3] % np.uint64(SKETCH)).astype(np.int32), return_counts=True)
+            held[counter] += n
+        for block in range(0, SKETCH, _BLOCK):
+            if len(counter := np.flatnonzero(held[block : block + _BLOCK])):
+                yield pa.RecordBatch.from_pydict({"counter": pa.array((counter + block).astype(np.int32)), "n": pa.array(held[block + counter])})
 
     def blocks(group: pd.DataFrame) -> pd.DataFrame:
         held = np.zeros(_BLOCK, np.uint32)
         held[group["counter"] % _BLOCK] = np.minimum(group["n"], 2**32 - 1)
         return pd.DataFrame({"block": [int(group["counter"].iloc[0]) // _BLOCK], "counts": [held.tobytes()]})
 
-    found = per_batch(docs.select(utf8().alias("text")), "counter int, n long", rows).groupBy("counter").agg(F.sum("n").alias("n"))
+    found = docs.select(utf8().alias("text")).mapInArrow(run, "counter int, n long").groupBy("counter").agg(F.sum("n").alias("n"))
     counters = np.zeros(SKETCH, np.uint32)
     for block, counts in found.groupBy(F.floor(F.col("counter") / _BLOCK)).applyInPandas(blocks, "block int, counts binary").collect():
         counters[block * _BLOCK : (block + 1) * _BLOCK] = np.frombuffer(counts, np.uint32)
@@ -87,33 +118,34 @@ def _starts(line: np.ndarray) -> np.ndarray:
 
 
 def _line_table(docs: DataFrame, counters: np.ndarray, min_tokens: int, percent: int) -> DataFrame:
-    """Per line with enough tokens: doc_id, line, size, k1, k2 (of its set), bits, prefix (by rarity)."""
-    shared = docs.sparkSession.sparkContext.broadcast(counters)
-    hashes = WordHashes()
+    """Per line with enough tokens: doc_id, line, size, k1, k2 (of its set), parity bitmap, prefix (by rarity: place and token in one number)."""
+    shared = docs.sparkSession.sparkContext.broadcast(np.minimum(counters, 2**16 - 1).astype(np.uint16))
 
     def rows(batch: pa.RecordBatch) -> dict:
-        owner, number, line, token = _tokens(batch.column("text").to_pylist(), hashes)
+        owner, number, line, token = _words(batch.column("text").to_pylist())
+        line, token, seen = _distinct(line, token, shared.value[(token % np.uint64(SKETCH)).astype(np.int64)])
         sizes = np.bincount(line, minlength=len(owner))
         enough = sizes[line] >= min_tokens
-        line, token = line[enough], token[enough]
-        order = np.lexsort((token, shared.value[(token % np.uint64(SKETCH)).astype(np.int64)], line))
-        line, token = line[order], token[order]
+        line, token, seen = line[enough], token[enough], seen[enough]
         starts = _starts(line)
         at = line[starts]
         size = sizes[at]
         prefix = size - -(-size * percent // 100) + 1
         place = np.arange(len(line)) - np.repeat(starts, size)
-        first = place < np.repeat(prefix, size)
+        # A token that occurs once in all lines is shared by no two.
+        first = (place < np.repeat(prefix, size)) & (seen > 1)
+        word, bit = token >> np.uint64(63), np.uint64(1) << ((token >> np.uint64(57)) & np.uint64(63))
         fold = lambda ufunc, v: ufunc.reduceat(v, starts).view(np.int64) if len(starts) else np.zeros(0, np.int64)
-        offsets = np.concatenate([[0], np.cumsum(prefix)]).astype(np.int32)
+        offsets = np.concatenate([[0], np.cumsum(first)])[np.append(starts, len(first))].astype(np.int32)
         return {
             "doc_id": batch.column("doc_id").take(pa.array(owner[at])), "line": pa.array(number[at]), "size": pa.array(size.astype(np.int32)),
             "k1": pa.array(fold(np.add, mixed(token))), "k2": pa.array(fold(np.add, mixed(token ^ _SALT))),
-            "bits": pa.array(fold(np.bitwise_xor, np.uint64(1) << (token >> np.uint64(58)))),
-            "prefix": pa.ListArray.from_arrays(pa.array(offsets), pa.array((token[first] >> np.uint64(16)).astype(np.uint32).view(np.int32))),
+            **{name: pa.array(fold(np.bitwise_xor, np.where(word == w, bit, np.uint64(0)))) for w, name in enumerate(_BITS)},
+            "prefix": pa.ListArray.from_arrays(pa.array(offsets), pa.array((place[first] << 32) | ((token[first] >> np.uint64(16)) & np.uint64(0xFFFFFFFF)).view(np.int64))),
         }
 
-    return per_batch(docs.select("doc_id", utf8().alias("text")), "doc_id long, line int, size int, k1 long, k2 long, bits long, prefix array<int>", rows)
+    bits = ", ".join(f"{name} long" for name in _BITS)
+    return per_batch(docs.select("doc_id", utf8().alias("text")), f"doc_id long, line int, size int, k1 long, k2 long, {bits}, prefix array<long>", rows)
 
 
 def _overlap(percent: int, *sizes: Column) -> Column:
@@ -122,50 +154,71 @@ def _overlap(percent: int, *sizes: Column) -> Column:
     return F.ceil(F.lit(percent) * total / F.lit(100 + percent))
 
 
-def _passing(x: str, y: str, percent: int) -> Column:
-    """Length, positional and bitmap filter of postings on one token."""
+def _match(a: str, b: str, percent: int) -> Column:
+    """Postings on one token, ``a`` of an earlier line, that pass the length, prefix, positional and bitmap filters."""
     c = lambda side, name: F.col(f"{side}.{name}")
-    low, high = F.least(c(x, "size"), c(y, "size")), F.greatest(c(x, "size"), c(y, "size"))
-    need = _overlap(percent, c(x, "size"), c(y, "size"))
-    after = F.least(c(x, "size") - c(x, "place"), c(y, "size") - c(y, "place"))
-    apart = c(x, "size") + c(y, "size") - 2 * need
-    return (low * 100 >= high * percent) & (after >= need) & (F.bit_count(c(x, "bits").bitwiseXOR(c(y, "bits"))) <= apart)
-
-
-def _verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """Lines b (b_doc, b_line) with a pair whose full sets are similar."""
-    pairs = written(pairs.distinct(), "line_pairs")
-    at = lambda s: F.struct(F.col(f"{s}_doc").alias("doc_id"), F.col(f"{s}_line").alias("line")).alias("at")
-    wanted = pairs.select(at("a")).unionByName(pairs.select(at("b"))).distinct().groupBy("at.doc_id").agg(F.collect_list("at.line").alias("lines"))
-    wanted = written(wanted, "wanted_lines")
+    size_a, size_b = (c(x, "line_size").bitwiseAND(_LOW) for x in (a, b))
+    place_a, place_b = (F.shiftright(c(x, "place_token"), 32) for x in (a, b))
+    earlier = (c(a, "doc_id") < c(b, "doc_id")) | (c(a, "doc_id") == c(b, "doc_id")) & (c(a, "line_size") < c(b, "line_size"))
+    low, high = F.least(size_a, size_b), F.greatest(size_a, size_b)
+    need = _overlap(percent, size_a, size_b)
+    # The smaller set's postings end earlier.
+    short = F.when(size_a <= size_b, place_a).otherwise(place_b) <= low - _overlap(percent, low, low)
+    differing = sum((F.bit_count(c(a, w).bitwiseXOR(c(b, w))) for w in _BITS), F.lit(0))
+    same = c(a, "place_token").bitwiseAND(_LOW) == c(b, "place_token").bitwiseAND(_LOW)
+    return same & earlier & (low * 100 >= high * percent) & (F.least(size_a - place_a, size_b - place_b) >= need) & short & (differing <= size_a + size_b - 2 * need)
+
+
+def _settled(late: DataFrame, early: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Lines of ``late`` postings that are similar to the line of an earlier posting on one token, by their full sets."""
+    at = ["doc_id", "line"]
+    partners = early.alias("a").join(late.alias("b"), _match("a", "b", percent), "left_semi").join(sets, at)
+    both = F.size(F.array_intersect("a.set", "b.set"))
+    similar = both * 100 >= F.lit(percent) * (F.size("a.set") + F.size("b.set") - both)
+    found = late.join(sets, at).alias("b").join(partners.alias("a"), _match("a", "b", percent) & similar, "left_semi")
+    return found.select(*at).distinct()
+
+
+def _sets(lines: DataFrame, docs: DataFrame) -> DataFrame:
+    """doc_id, line, set (hashes of the distinct tokens) of some lines, from their texts."""
+    wanted = written(lines.groupBy("doc_id").agg(F.collect_list("line").alias("lines")), "wanted_lines")
     if wanted.count() <= BROADCAST_IDS:
         wanted = F.broadcast(wanted)
-    hashes = WordHashes()
 
-    def sets_of(batch: pa.RecordBatch) -> dict:
-        ids, lines, sets = [], [], []
-        for doc_id, text, numbers in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "lines"))):
+    def rows(batch: pa.RecordBatch) -> dict:
+        ids, numbers, found = [], [], []
+        for doc_id, text, some in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "lines"))):
             split = text.split(b"\n")
-            for number in numbers:
+            for number in some:
                 if number < len(split):
-                    ids.append(doc_id), lines.append(number)
-                    sets.append(np.unique(hashes.of(split[number].translate(_ALNUM).split())).tobytes())
-        return {"doc": pa.array(ids, pa.int64()), "line": pa.array(lines, pa.int32()), "set": pa.array(sets, pa.binary())}
+                    ids.append(doc_id), numbers.append(number), found.append(split[number])
+        _, _, line, token = _words(found)
+        line, token, _ = _distinct(line, token, np.zeros(len(line), np.int64))
+        ends = np.concatenate([[0], np.cumsum(np.bincount(line, minlength=len(ids)))]).astype(np.int32)
+        return {"doc_id": pa.array(ids, pa.int64()), "line": pa.array(numbers, pa.int32()), "set": pa.ListArray.from_arrays(pa.array(ends), pa.array(token.view(np.int64)))}
 
     texts = docs.select("doc_id", utf8().alias("text")).join(wanted, "doc_id")
-    sets = written(per_batch(texts, "doc long, line int, set binary", sets_of), "line_sets")
-
-    def similar(batch: pa.RecordBatch) -> dict:
-        good = []
-        for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-            both = len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
-            good.append(100 * both >= percent * ((len(x) + len(y)) // 8 - both))
-        keep = batch.filter(pa.array(good, pa.bool_()))
-        return {c: keep.column(c) for c in ("b_doc", "b_line")}
-
-    side = lambda s, v: sets.select(F.col("doc").alias(f"{s}_doc"), F.col("line").alias(f"{s}_line"), F.col("set").alias(v))
-    filled = pairs.join(side("b", "y"), ["b_doc", "b_line"]).join(side("a", "x"), ["a_doc", "a_line"])
-    return per_batch(filled.select("b_doc", "b_line", "x", "y"), "b_doc long, b_line int", similar).distinct()
+    return written(per_batch(texts, "doc_id long, line int, set array<long>", rows), "line_sets")
+
+
+def _similar_to_earlier(classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """doc_id, line of classes whose set is similar to that of an earlier class."""
+    # Two numbers to a column: these rows are most of what is shuffled.
+    line_size = F.shiftleft(F.col("line").cast("long"), 32).bitwiseOR(F.col("size").cast("long")).alias("line_size")
+    postings = classes.select("doc_id", line_size, *_BITS, F.explode("prefix").alias("place_token"))
+    line, token = F.shiftright("line_size", 32).cast("int").alias("line"), F.col("place_token").bitwiseAND(_LOW)
+    late = written(postings.alias("b").join(postings.alias("a"), _match("a", "b", percent), "left_semi"), "late_postings")
+    tokens = late.select(token.alias("token")).distinct()
+    tokens = F.broadcast(tokens) if tokens.count() <= BROADCAST_IDS else tokens
+    near = postings.join(tokens, token == F.col("token"), "left_semi")
+    early = written(near.alias("a").join(late.alias("b"), _match("a", "b", percent), "left_semi"), "early_postings")
+    late, early, at = late.withColumn("line", line), early.withColumn("line", line), ["doc_id", "line"]
+    sets = _sets(late.select(*at).unionByName(early.select(*at)).distinct(), docs)
+    rarest = late.groupBy(*at).agg(F.min("place_token").alias("place_token"))
+    found = written(_settled(late.join(rarest, [*at, "place_token"], "left_semi"), early, sets, percent), "settled")
+    settled = F.broadcast(found) if found.count() <= BROADCAST_IDS else found
+    more = late.join(rarest, [*at, "place_token"], "left_anti").join(settled, at, "left_anti")
+    return found.unionByName(_settled(more, early, sets, percent))
 
 
 def removed_lines(docs: DataFrame, percent: int = 80, min_tokens: int = 1) -> DataFrame:
@@ -173,32 +226,11 @@ def removed_lines(docs: DataFrame, percent: int = 80, min_tokens: int = 1) -> Da
     small_batches(docs, "4m")
     named = docs.where("doc_id is not null and text is not null")
     lines = written(_line_table(named, _counters(named), min_tokens, percent), "lines")
-    first = F.min(F.struct("doc_id", "line", "size", "bits", "prefix")).alias("f")
+    first = F.min(F.struct("doc_id", "line", "size", *_BITS, "prefix")).alias("f")
     classes = written(lines.groupBy("k1", "k2").agg(first).select("f.*"), "line_classes")
     # Different sets are similar from this size on only: one token less in a set of k leaves (k - 1) / k of it.
     least = -(-percent // (100 - percent)) if percent < 100 else 2**31 - 1
-    classes_joined = classes.where(F.col("size") >= least)
-    postings = classes_joined.select("doc_id", "line", "size", "bits", F.posexplode("prefix").alias("place", "token"))
-    # Stars: the first line that has a token among its two rarest meets all others that have it there.
-    rare = postings.where("place < 2")
-    hubs = rare.groupBy("token").agg(F.min(F.struct("doc_id", "line", "size", "bits", "place")).alias("h"), F.count(F.lit(1)).alias("n")).where("n > 1").select("token", "h.*")
-    apart = (F.col("x.doc_id") != F.col("y.doc_id")) | (F.col("x.line") != F.col("y.line"))
-    stars = rare.alias("y").join(hubs.alias("x"), (F.col("x.token") == F.col("y.token")) & apart & _passing("x", "y", percent))
-    columns = [F.col("x.doc_id").alias("a_doc"), F.col("x.line").alias("a_line"), F.col("y.doc_id").alias("b_doc"), F.col("y.line").alias("b_line")]
-    settled = written(_verified(stars.select(*columns), named, percent), "settled").select(F.col("b_doc").alias("doc_id"), F.col("b_line").alias("line"), F.lit(True).alias("settled"))
-    # The rest: of each pair the smaller line's postings end earlier; the later line must be one without a match so far.
-    marks = F.broadcast(settled) if settled.count() <= BROADCAST_IDS else settled
-    known = classes_joined.join(marks, ["doc_id", "line"], "left").select(
-        "doc_id", "line", "size", "bits", F.coalesce("settled", F.lit(False)).alias("settled"), F.posexplode("prefix").alias("place", "token"))
-    short = known.where(F.col("place") < F.col("size") - _overlap(percent, F.col("size"), F.col("size")) + 1)
-    smaller = (F.col("x.size") < F.col("y.size")) | (F.col("x.size") == F.col("y.size")) & ((F.col("x.doc_id") < F.col("y.doc_id")) | (F.col("x.doc_id") == F.col("y.doc_id")) & (F.col("x.line") < F.col("y.line")))
-    x_first = (F.col("x.doc_id") < F.col("y.doc_id")) | (F.col("x.doc_id") == F.col("y.doc_id")) & (F.col("x.line") < F.col("y.line"))
-    open_one = ~F.when(x_first, F.col("y.settled")).otherwise(F.col("x.settled"))
-    rest = short.alias("x").join(known.alias("y"), (F.col("x.token") == F.col("y.token")) & smaller & open_one & _passing("x", "y", percent))
-    swapped = [F.when(x_first, F.col(f"x.{c}")).otherwise(F.col(f"y.{c}")).alias(f"a_{n}") for c, n in (("doc_id", "doc"), ("line", "line"))]
-    swapped += [F.when(x_first, F.col(f"y.{c}")).otherwise(F.col(f"x.{c}")).alias(f"b_{n}") for c, n in (("doc_id", "doc"), ("line", "line"))]
-    late = _verified(rest.select(*swapped), named, percent).select(F.col("b_doc").alias("doc_id"), F.col("b_line").alias("line"))
-    matched = late.unionByName(settled.drop("settled"))
+    matched = _similar_to_earlier(classes.where(F.col("size") >= least), named, percent)
     kept = classes.select("doc_id", "line").join(matched, ["doc_id", "line"], "left_anti")
     gone = lines.select("doc_id", "line").join(kept, ["doc_id", "line"], "left_anti").distinct()
     return gone.groupBy("doc_id").agg(F.array_sort(F.collect_list("line")).alias("lines"))

@@ -62,3 +62,26 @@ def test_rows_that_share_an_id_are_documents_of_their_own(spark):
     got = [(r.doc_id, r.text) for r in lines.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
     want = [(1, "alpha beta gamma delta"), (2, ""), (2, "a wholly unique sentence stands here"), (None, "no id but words of its own"), (None, "last words")]
     assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_crowd_of_near_copies_makes_no_row_for_a_pair(spark, monkeypatch):
+    random.seed(4)
+    base = [f"b{i}" for i in range(40)]
+    rows = []
+    for i in range(240):  # two lines with three other words each are just under the threshold
+        copy = list(base)
+        for at in random.sample(range(40), 1 if i % 20 == 7 else 3):
+            copy[at] = f"c{i}x{at}"
+        rows.append((i, " ".join(copy)))
+    held = []
+    monkeypatch.setattr(lines, "written", lambda df, name, write=lines.written: held.append((name, write(df, name))) or held[-1][1])
+    got = {r.doc_id: list(r.lines) for r in lines.removed_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert got == brute(rows)
+    assert max(frame.count() for _, frame in held) <= 240 * 9  # postings: 40 - 32 + 1 a line
+
+
+def test_long_words_and_equal_starts(spark):
+    stems = ["a" * 7, "a" * 8, "a" * 9, "a" * 16, "a" * 17, "a" * 40, "a" * 16 + "b", "é" * 4, "é" * 8, "é" * 9]
+    rows = [(0, " ".join(stems)), (1, " ".join(reversed(stems))), (2, " ".join([*stems[:8], "x", "y"])), (3, " ".join([*stems[:9], "z"])), (4, "a" * 8), (5, "a" * 16), (6, "A" * 17), (7, "a" * 17)]
+    got = {r.doc_id: list(r.lines) for r in lines.removed_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute(rows) == {1: [0], 3: [0], 7: [0]}
