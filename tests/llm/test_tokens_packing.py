@@ -127,3 +127,16 @@ def test_words_are_cut_where_ids_show_their_edges(monkeypatch, name, edge):
     texts = ["", " ", "one", *[f"word{'xyzq' * (i % 5)} né{chr(97 + i % 26)}straße, И{chr(1072 + i % 32)}о 漢字 {i}a it's. the İi" for i in range(60)], "the one word " * 40]
     plain = tokens.PieceIds(path).tokenizer
     assert pieces.encode(texts) == [np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+
+
+def test_texts_that_wait_for_new_pieces_keep_their_places(monkeypatch):
+    for path in (WORDS, BYTES):
+        plain = direct(path)
+        texts = ["one two three", "one two three", "", " ", "new words here, one two", "x" * 100 + " one", "one " + "y" * 100, "one\ntwo three", " two one", "one  two", "two three one"] * 3 + ["last thing said"]
+        wanted = [plain(t) for t in texts]
+        for together, held, limit in ((1, 1, 3), (2, 4, 5), (1024, 3, 100), (1024, 10_000, 1)):
+            monkeypatch.setattr(tokens, "TOGETHER", together)
+            monkeypatch.setattr(tokens, "HELD", held)
+            pieces = tokens.PieceIds(path)
+            pieces.limit = limit
+            assert [np.frombuffer(b, "<u4").tolist() for b in pieces.encode(texts)] == wanted
