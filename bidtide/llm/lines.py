@@ -93,13 +93,13 @@ def _counters(docs: DataFrame) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
-        held = np.zeros(SKETCH, np.int64)
+        held = np.zeros(SKETCH, np.uint32)
         for batch in batches:
             counter, n = np.unique((_words(batch.column("text").to_pylist())[3] % np.uint64(SKETCH)).astype(np.int32), return_counts=True)
-            held[counter] += n
+            held[counter] += n.astype(np.uint32)
         for block in range(0, SKETCH, _BLOCK):
             if len(counter := np.flatnonzero(held[block : block + _BLOCK])):
-                yield pa.RecordBatch.from_pydict({"counter": pa.array((counter + block).astype(np.int32)), "n": pa.array(held[block + counter])})
+                yield pa.RecordBatch.from_pydict({"counter": pa.array((counter + block).astype(np.int32)), "n": pa.array(held[block + counter].astype(np.int64))})
 
     def blocks(group: pd.DataFrame) -> pd.DataFrame:
         held = np.zeros(_BLOCK, np.uint32)
@@ -223,7 +223,7 @@ def _similar_to_earlier(classes: DataFrame, docs: DataFrame, percent: int) -> Da
 
 def removed_lines(docs: DataFrame, percent: int = 80, min_tokens: int = 1) -> DataFrame:
     """doc_id, lines: of every document that loses some, the numbers of the lines to remove, ascending."""
-    small_batches(docs, "4m")
+    small_batches(docs, "1m")
     named = docs.where("doc_id is not null and text is not null")
     lines = written(_line_table(named, _counters(named), min_tokens, percent), "lines")
     first = F.min(F.struct("doc_id", "line", "size", *_BITS, "prefix")).alias("f")
