@@ -8,9 +8,10 @@ shingle sets confirm them.
 3. Rounds of stars: in each band bucket every class is paired with one class of the bucket drawn by a hash, another one
    in each round, and of its partners in all its buckets only the best by estimate is confirmed. Copies of one text mostly join
    here, with one pair for each copy and round.
-4. The rest, exactly: classes of a bucket that are still in different components are all compared by signature, those
-   that aren't of the bucket's largest component with all others, and every pair whose estimate is within reach
-   is confirmed. Pairs inside one component change nothing and are not made.
+4. The rest, exactly: classes of a bucket that are still in different components are all compared by signature. A semi join
+   keeps those with a partner whose estimate is within reach, and their full sets are sent to tasks that confirm every such
+   pair and hand on only links that join components. Many small buckets share a task's group; a large one is cut into
+   blocks of bounded rows and bytes, and blocks meet in pairs. No row is made for a pair.
 
 A pair at the threshold misses all bands with probability (1 - s^ROWS)^BANDS = 5e-8 at 0.8, and its estimate falls below the
 cut (six standard deviations under the threshold) with probability 1e-8, for sets of any size.
@@ -23,6 +24,7 @@ their rows all appear; an empty table gives an empty result; extra columns are i
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +45,8 @@ _TERMS = _RANDOM.integers(0, 1 << 32, HASHES, np.uint32)
 _SEEDS = np.arange(1, HASHES + 1, dtype=np.uint64) << np.uint64(32)
 _ODD_LANES = int("01" * 32, 2)
 _CHUNK = 4096
+#: Rows, and bytes of their sets, that make a block of a bucket or a group of small buckets.
+BLOCK_ROWS, BLOCK_BYTES = 2048, 16 << 20
 #: Rounds of stars.
 STARS = 3
 #: Ids up to which the table of documents to confirm is sent to the tasks (8 bytes each); beyond, texts are shuffled.
@@ -111,10 +115,9 @@ def estimate_cut(threshold: float) -> float:
     return threshold - 6 * math.sqrt(agree * (1 - agree) / HASHES) / (1 - chance)
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
-    pairs = written(pairs, "candidates")
-    wanted = written(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct(), "wanted")
+def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """Written id, set (sorted 64-bit shingle hashes as bytes) of the documents in ``wanted`` (doc_id)."""
+    wanted = written(wanted.distinct(), "wanted")
     if wanted.count() <= BROADCAST_IDS:
         wanted = F.broadcast(wanted)
     hashes = WordHashes()
@@ -123,7 +126,13 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Da
         return {"id": batch.column("doc_id"), "set": pa.array([shingles(hashes.of(spaced_words(t)), size).tobytes() for t in batch.column("text").to_pylist()], pa.binary())}
 
     texts = docs.select("doc_id", utf8().alias("text")).join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    sets = written(per_batch(texts, "id long, set binary", sets_of), "sets")
+    return written(per_batch(texts, "id long, set binary", sets_of), "sets")
+
+
+def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
+    pairs = written(pairs, "candidates")
+    sets = _sets(docs, pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))), size)
 
     def verdict(batch: pa.RecordBatch) -> dict:
         a, b = [], []
@@ -175,29 +184,78 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         best = compared(at.select("a", "b")).groupBy("b").agg(F.max_by("a", F.struct("estimate", "a")).alias("a")).select("a", "b")
         found = _confirmed(best, docs, size, percent)
         links = found if links is None else links.unionByName(found)
-    links = links.unionByName(_confirmed(_rest(buckets, own, links, cut), docs, size, percent))
+    links = links.unionByName(_rest(buckets, own, links, docs, size, percent))
     labels = components(links).select(F.col("node").alias("id"), "component")
     named = classes.join(labels, "id", "left").select(F.col("set_key"), F.coalesce("component", "id").alias("component_id"))
     out = signs.select("doc_id", F.col("n").alias("n_shingles"), "set_key").join(named, "set_key", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def _rest(buckets: DataFrame, signature: DataFrame, links: DataFrame, cut: Column) -> DataFrame:
-    """Pairs of every bucket across components, by signature; one side leaves out the bucket's largest component.
-
-    A pair of two components is made in each bucket that it shares, as all of these hold more than one component; it is
-    kept in the one with the smallest key, so that it is a row once and not once for each bucket."""
+def _joining(rows: pa.Table, percent: int, cut: float) -> Iterator[tuple[int, int]]:
+    """Links of one bucket's rows that join different components, confirmed on full sets. Rows of two blocks meet crosswise, those of one
+    all; a pair is left to the bucket with the smallest key that both are in."""
+    key, low, high = (rows.column(c)[0].as_py() for c in ("key", "low", "high"))
+    block, ids, comps = (rows.column(c).to_numpy() for c in ("block", "id", "comp"))
+    words = np.stack([rows.column(f"w{i}").to_numpy() for i in range(HASHES // _LANES)], axis=1).view(np.uint64)
+    bands = rows.column("bands").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
+    sets = [np.frombuffer(x, np.uint64) for x in rows.column("set").to_pylist()]
+    sizes = np.array([len(x) for x in sets])
+    distinct, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    sets = np.split(codes, np.cumsum(sizes)[:-1])
+    marked, chance, odd, one = np.zeros(len(distinct), bool), 0.5**KEEP_BITS, np.uint64(_ODD_LANES), np.uint64(1)
+    labels = np.unique(comps, return_inverse=True)[1]  # of what is joined so far
+    for x in range(len(ids) - 1):
+        at = np.flatnonzero((labels[x + 1 :] != labels[x]) & ((block[x + 1 :] != block[x]) | (low == high))) + x + 1
+        at = at[100 * np.minimum(sizes[at], sizes[x]) >= percent * np.maximum(sizes[at], sizes[x])]
+        apart = words[at] ^ words[x]
+        near = (1 - np.bitwise_count((apart | (apart >> one)) & odd).sum(axis=1, dtype=np.int64) / HASHES - chance) / (1 - chance)
+        at = at[near >= cut]
+        if len(at):
+            at = at[np.where(bands[at] == bands[x], bands[at], np.iinfo(np.int64).max).min(axis=1) == key]
+        marked[sets[x]] = True
+        for y in at.tolist():
+            if labels[x] != labels[y]:
+                both = int(np.count_nonzero(marked[sets[y]]))
+                if 100 * both >= percent * (sizes[x] + sizes[y] - both):
+                    labels[labels == labels[y]] = labels[x]
+                    yield int(ids[x]), int(ids[y])
+        marked[sets[x]] = False
+
+
+def _rest(buckets: DataFrame, signature: DataFrame, links: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links between different components, in the buckets that hold several.
+
+    A pair of two components stands in each bucket that it shares, as all of these hold more than one component; it is
+    compared in the one with the smallest key."""
     known = written(_with_component(buckets.select("key", "id"), links), "bucket_components")
-    sizes = known.groupBy("key", "comp").count()
-    largest = sizes.groupBy("key").agg(F.max_by("comp", F.struct("count", "comp")).alias("main"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
-    mixed_rows = known.join(largest, "key").join(signature, "id")
-    mixed_rows = written(mixed_rows, "mixed_buckets")
-    x, y = mixed_rows.where("comp <> main").alias("x"), mixed_rows.alias("y")
+    comps = known.groupBy("key").agg(F.min("comp").alias("first"), F.max("comp").alias("last")).where("first <> last")
+    mixed_rows = written(known.join(comps.select("key"), "key", "left_semi").join(signature, "id"), "mixed_buckets")
+    cut = estimate_cut(percent / 100)
+    x, y = mixed_rows.alias("x"), mixed_rows.alias("y")
     apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") != F.col("y.comp"))
-    once = (F.col("y.comp") == F.col("y.main")) | (F.col("x.id") < F.col("y.id"))
     here = F.array_min(F.array_intersect("x.bands", "y.bands")) == F.col("x.key")
-    pairs = x.join(y, apart & once & (estimate("x", "y") >= cut) & here)
-    return pairs.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+    near = written(x.join(y, apart & (estimate("x", "y") >= F.lit(cut)) & here, "left_semi"), "near_buckets")
+    sets = _sets(docs, near.select(F.col("id").alias("doc_id")), size)
+    whole = written(near.join(sets, "id"), "near_sets")
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS), F.ceil(F.sum(F.length("set")) / BLOCK_BYTES), F.lit(1).cast("long"))
+    groups = whole.agg(blocks).first()[0]
+    cuts = whole.groupBy("key").agg(blocks.alias("blocks"))
+    placed = whole.join(cuts, "key").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    met = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    shared = F.when(F.col("blocks") > 1, F.col("key")).otherwise(F.pmod(F.xxhash64("key"), F.lit(groups)))
+    words = [f"w{i}" for i in range(HASHES // _LANES)]
+    pieces = met.select(
+        (F.col("blocks") > 1).alias("large"), shared.alias("group"), F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+        "key", "block", "id", "comp", "bands", "set", *words)
+
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("key")
+        keys = rows.column("key").to_numpy()
+        edges = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+        found = [link for i, j in zip(edges, edges[1:]) for link in _joining(rows.slice(i, j - i), percent, cut)]
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    return written(pieces.groupBy("large", "group", "low", "high").applyInArrow(run, "a long, b long"), "joining_links")
 
 
 def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:

@@ -75,3 +75,34 @@ def test_small_sets_at_the_threshold_lose_no_link(spark):
             rows += [(base + 2, " ".join(apart[: n + 1])), (base + 3, " ".join(apart))]
     got = {r.doc_id: r.component_id for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), size=2).collect()}
     assert got == {i: i for i, _ in rows} | {b: a for a, b in linked}
+
+
+def test_a_crowd_makes_no_row_for_a_pair(monkeypatch, spark):
+    """Texts around the threshold to each other: every link that joins components is found however buckets are cut, and what
+    the last step hands on are links between components, not pairs."""
+    rng = random.Random(8)
+    base = [f"b{i}" for i in range(60)]
+    rows = []
+    for i in range(150):
+        words = list(base)
+        for at in rng.sample(range(60), rng.randrange(1, 9)):
+            words[at] = f"c{rng.randrange(40)}"
+        rows.append((i, " ".join(words)))
+    want = brute(rows, 2)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    written, made = neardup.written, {}
+
+    def counted(df, name):
+        out = written(df, name)
+        made.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(neardup, "written", counted)
+    monkeypatch.setattr(neardup, "STARS", 1)
+    for block in (7, 2048):
+        made.clear()
+        monkeypatch.setattr(neardup, "BLOCK_ROWS", block, raising=False)
+        got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in neardup.near_duplicates(frame, size=2).collect()}
+        assert got == want
+        assert max(made["candidates"]) <= len(rows) and made["near_buckets"][0] <= made["mixed_buckets"][0]
+        assert block < 2048 or 0 < made["joining_links"][0] <= made["near_buckets"][0]
