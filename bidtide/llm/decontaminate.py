@@ -111,7 +111,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, pass_
     A benchmark of more than ``pass_words`` words is split by a hash of its items; each pass reads what the one
     before has written, so no task ever holds more than one automaton of bounded size.
     """
-    small_batches(docs)
+    small_batches(docs, "2m")
     words = F.size(F.split(F.coalesce("text", F.lit("")), r"\s+"))
     passes = max(1, -(-int(benchmark.agg(F.sum(words)).first()[0] or 0) // pass_words))
     items = benchmark.select("item_id", "text", F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)).alias("pass"))
@@ -131,9 +131,10 @@ def n_hit() -> Column:
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, share: float = 0.0, window: int = 10) -> DataFrame:
     """The documents of which at most ``share`` of the words are hit, with all their columns and unchanged texts."""
-    at = "__row"
-    keyed = docs.withColumn(at, F.struct(*docs.columns))
-    small_batches(docs)
-    found = contamination(keyed.select(F.col(at).alias("doc_id"), F.col("text")), benchmark, window)
+    # The text goes to Python and back once, and not a second time among the columns.
+    others = [F.col(c) for c in docs.columns if c != "text"]
+    keyed = docs.select(F.struct(*others, F.col("text").isNull().alias("__no_text")).alias("doc_id"), "text")
+    found = contamination(keyed, benchmark, window)
     kept = found.where(n_hit() <= share * F.col("n_words"))
-    return kept.select("doc_id.*")
+    text = F.when(~F.col("doc_id.__no_text"), F.col("text").cast("string")).alias("text")
+    return kept.select(*[text if c == "text" else F.col("doc_id").getField(c).alias(c) for c in docs.columns])

@@ -77,7 +77,7 @@ def _packed(minima: np.ndarray) -> list[int]:
 
 def signed(docs: DataFrame, size: int) -> DataFrame:
     """Per document: doc_id, n (shingles), set_key, signature words w0.., bands. The last three are null for empty sets."""
-    small_batches(docs)
+    small_batches(docs, "2m")
     hashes = WordHashes()
 
     def rows(batch: pa.RecordBatch) -> dict:

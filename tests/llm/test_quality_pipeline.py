@@ -4,7 +4,7 @@ from collections import Counter
 
 import pytest
 
-from bidtide.llm import quality
+from bidtide.llm import decontaminate, quality
 
 
 def plain_model(texts, order=quality.ORDER):
@@ -132,3 +132,17 @@ def test_toxic_words_in_shards_equal_one_pass(spark):
     docs = spark.createDataFrame([(1, "ScUm."), (2, "scummy"), (3, None), (4, "a rotter")], "doc_id long, text string")
     one, many = ({r.doc_id: r.w for r in quality.with_toxicity(docs, words, "w", n).collect()} for n in (10, 1))
     assert one == many and one[1] > 0 and one[4] > 0 and one[2] == one[3] == 0
+
+
+def test_decontamination_sends_a_text_once(spark, monkeypatch):
+    """The text is no part of the row that goes through Python with it; null texts, other columns and their order stay."""
+    sent = []
+    contamination = decontaminate.contamination
+    monkeypatch.setattr(decontaminate, "contamination", lambda docs, *more: sent.append(docs.schema) or contamination(docs, *more))
+    item = " ".join(f"w{i}" for i in range(12))
+    rows = [("a", 1, None, 5), ("b", 1, "", 6), (None, None, "Fine \u00e9 text", None), ("c", 2, f"so {item} it", 7), ("a", 1, None, 5)]
+    docs = spark.createDataFrame(rows, "source string, doc_id long, text string, n_chars int")
+    kept = decontaminate.without_contaminated(docs, spark.createDataFrame([("i", item)], "item_id string, text string"))
+    assert kept.columns == docs.columns and [f.dataType for f in kept.schema] == [f.dataType for f in docs.schema]
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted((r for r in rows if r[0] != "c"), key=str)
+    assert "text" not in sent[0]["doc_id"].dataType.names
