@@ -140,3 +140,27 @@ def test_texts_that_wait_for_new_pieces_keep_their_places(monkeypatch):
             pieces = tokens.PieceIds(path)
             pieces.limit = limit
             assert [np.frombuffer(b, "<u4").tolist() for b in pieces.encode(texts)] == wanted
+
+
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_words_with_signs_and_line_breaks_are_learnt_as_words(path):
+    """A word met with other signs or across a line break costs no call of its own, and ids stay the library's."""
+    words = [f"Wo{a}{b}rd\u00e9" for a in "abcdefghij" for b in "klmnopqrst"]
+    texts = [f"x {w} {w}*** {w}_. {w}.\n{w} {w}!!\n{w}?\n\u00c9{w} {w}\n's" for w in words] + ["a \u0130b \u0130b. c\u0301. d.\u0301 e\n\u0301f g\r\nh i\n\nj 1. <|endoftext|>\nk", "a b\x1cc\nd \u3000e\u2028f."]
+    pieces = tokens.PieceIds(path)
+    asked, encoded = [], pieces._encoded
+    pieces._encoded = lambda given: asked.extend(given) or encoded(given)
+    plain = direct(path)
+    assert pieces.encode(texts) == [np.array(plain(t), "<u4").tobytes() for t in texts]
+    assert len(asked) <= 3 * len(words)
+
+
+def test_pieces_met_again_outlive_those_met_once():
+    pieces = tokens.PieceIds(BYTES)
+    pieces.limit = 40
+    learnt, learn = [], pieces._learn
+    pieces._learn = lambda fresh: learnt.extend(fresh) or learn(fresh)
+    for i in range(60):
+        pieces.encode([f"x often again n{'abcdefghij'[i % 10]}{'klmnop'[i // 10]}w"])
+        assert len(pieces.after_space) + len(pieces.older) <= pieces.limit + 4
+    assert learnt.count("often") == 1 and len(set(learnt)) == 62
