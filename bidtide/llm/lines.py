@@ -12,8 +12,9 @@ tokens, such as a line without blanks, are similar only if they are equal.
    ``size - ceil(2t / (1 + t) * size) + 1`` of the smaller. Tokens that occur once leave no posting, as no two lines share them. Pairs on
    a shared token must pass the length filter, the positional filter (tokens after the shared one suffice for the overlap)
    and the number of odd bits in which their parity bitmaps differ (each differing token flips one), all inside the join.
-4. Only whether a line has an earlier match is asked, so all joins on tokens are semi joins: the postings with an earlier partner, then
-   the partners of these. No join makes a row for a pair, however many lines are alike.
+4. Only whether a line has an earlier match is asked, so all joins on tokens are semi joins: the postings with a partner on either side,
+   of these the ones with an earlier partner, then the partners of those. No join makes a row for a pair, however many lines are alike,
+   and none keeps a posting because its token alone occurs in a similar line: such rows grow faster than the input.
 5. Full token sets decide inside semi joins as well: first on each line's rarest token with a partner, which settles most
    lines, then for lines without a match so far on all their other tokens.
 
@@ -154,15 +155,19 @@ def _overlap(percent: int, *sizes: Column) -> Column:
     return F.ceil(F.lit(percent) * total / F.lit(100 + percent))
 
 
-def _match(a: str, b: str, percent: int) -> Column:
-    """Postings on one token, ``a`` of an earlier line, that pass the length, prefix, positional and bitmap filters."""
+def _match(a: str, b: str, percent: int, either: bool = False) -> Column:
+    """Postings on one token, ``a`` of an earlier line (of any other one, if ``either``), that pass the length, prefix, positional and bitmap
+    filters."""
     c = lambda side, name: F.col(f"{side}.{name}")
     size_a, size_b = (c(x, "line_size").bitwiseAND(_LOW) for x in (a, b))
     place_a, place_b = (F.shiftright(c(x, "place_token"), 32) for x in (a, b))
-    earlier = (c(a, "doc_id") < c(b, "doc_id")) | (c(a, "doc_id") == c(b, "doc_id")) & (c(a, "line_size") < c(b, "line_size"))
+    if either:
+        earlier = (c(a, "doc_id") != c(b, "doc_id")) | (c(a, "line_size") != c(b, "line_size"))
+    else:
+        earlier = (c(a, "doc_id") < c(b, "doc_id")) | (c(a, "doc_id") == c(b, "doc_id")) & (c(a, "line_size") < c(b, "line_size"))
     low, high = F.least(size_a, size_b), F.greatest(size_a, size_b)
     need = _overlap(percent, size_a, size_b)
-    # The smaller set's postings end earlier.
+    # The smaller set's postings end earlier. Of equal sizes, the positional filter holds both places to this, so the order of a and b is only in ``earlier``.
     short = F.when(size_a <= size_b, place_a).otherwise(place_b) <= low - _overlap(percent, low, low)
     differing = sum((F.bit_count(c(a, w).bitwiseXOR(c(b, w))) for w in _BITS), F.lit(0))
     same = c(a, "place_token").bitwiseAND(_LOW) == c(b, "place_token").bitwiseAND(_LOW)
@@ -206,12 +211,11 @@ def _similar_to_earlier(classes: DataFrame, docs: DataFrame, percent: int) -> Da
     # Two numbers to a column: these rows are most of what is shuffled.
     line_size = F.shiftleft(F.col("line").cast("long"), 32).bitwiseOR(F.col("size").cast("long")).alias("line_size")
     postings = classes.select("doc_id", line_size, *_BITS, F.explode("prefix").alias("place_token"))
-    line, token = F.shiftright("line_size", 32).cast("int").alias("line"), F.col("place_token").bitwiseAND(_LOW)
-    late = written(postings.alias("b").join(postings.alias("a"), _match("a", "b", percent), "left_semi"), "late_postings")
-    tokens = late.select(token.alias("token")).distinct()
-    tokens = F.broadcast(tokens) if tokens.count() <= BROADCAST_IDS else tokens
-    near = postings.join(tokens, token == F.col("token"), "left_semi")
-    early = written(near.alias("a").join(late.alias("b"), _match("a", "b", percent), "left_semi"), "early_postings")
+    line = F.shiftright("line_size", 32).cast("int").alias("line")
+    # Postings with a partner on either side first: all later joins are between these, and the only one of all postings deals them out once.
+    paired = written(postings.alias("b").join(postings.alias("a"), _match("a", "b", percent, either=True), "left_semi"), "paired_postings")
+    late = written(paired.alias("b").join(paired.alias("a"), _match("a", "b", percent), "left_semi"), "late_postings")
+    early = written(paired.alias("a").join(late.alias("b"), _match("a", "b", percent), "left_semi"), "early_postings")
     late, early, at = late.withColumn("line", line), early.withColumn("line", line), ["doc_id", "line"]
     sets = _sets(late.select(*at).unionByName(early.select(*at)).distinct(), docs)
     rarest = late.groupBy(*at).agg(F.min("place_token").alias("place_token"))

@@ -85,3 +85,24 @@ def test_long_words_and_equal_starts(spark):
     rows = [(0, " ".join(stems)), (1, " ".join(reversed(stems))), (2, " ".join([*stems[:8], "x", "y"])), (3, " ".join([*stems[:9], "z"])), (4, "a" * 8), (5, "a" * 16), (6, "A" * 17), (7, "a" * 17)]
     got = {r.doc_id: list(r.lines) for r in lines.removed_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == brute(rows) == {1: [0], 3: [0], 7: [0]}
+
+
+def test_crowd_on_a_token_of_similar_lines_is_not_kept(spark, monkeypatch):
+    random.seed(6)
+    pool = [f"p{i}" for i in range(24)]
+    rows = [(i, " ".join([f"topic{i % 3}", *random.sample(pool, 9)])) for i in range(300)]  # nearly all are alike in the topic only
+    for i in (30, 31, 32):
+        rows.append((1000 + i, rows[i][1] + " more"))
+    joins = []
+    join = type(spark.range(0)).join
+
+    def noted(self, other, on=None, how=None):
+        joins.append((how, join(self, other, on, how)))
+        return joins[-1][1]
+
+    monkeypatch.setattr(type(spark.range(0)), "join", noted)
+    got = {r.doc_id: list(r.lines) for r in lines.removed_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    monkeypatch.undo()
+    assert got == brute(rows) and set(got) >= {1030, 1031, 1032}
+    similar = len(got) * 2  # lines with a match and, at most, as many matched ones
+    assert max(frame.count() for how, frame in joins if how == "left_semi") <= 3 * similar  # postings: 10 - 8 + 1 a line, 11 - 9 + 1
