@@ -164,3 +164,31 @@ def test_pieces_met_again_outlive_those_met_once():
         pieces.encode([f"x often again n{'abcdefghij'[i % 10]}{'klmnop'[i // 10]}w"])
         assert len(pieces.after_space) + len(pieces.older) <= pieces.limit + 4
     assert learnt.count("often") == 1 and len(set(learnt)) == 62
+
+
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_a_piece_is_looked_up_once_for_many_texts_and_plain_words_skip_patterns(path):
+    words = [f"W{a}{b}rdé­"[:5] for a in "abcdefghij" for b in "klmnopqrst"]
+    texts = [f"{w} {' '.join(words)}.\n{w} {' '.join(words)}" for w in words]
+    pieces = tokens.PieceIds(path)
+    asked, encoded, known, looked = [], pieces._encoded, pieces._known, []
+    pieces._encoded = lambda given: asked.extend(given) or encoded(given)
+    pieces._known = lambda given: looked.extend(given) or known(given)
+    plain = direct(path)
+    assert pieces.encode(texts) == [np.array(plain(t), "<u4").tobytes() for t in texts]
+    assert len(looked) <= 3 * len(words) and len([w for w in asked if " " not in w]) <= len(words) + 10
+
+
+def test_ids_are_not_dealt_out_for_few_queues(spark, monkeypatch):
+    rows = [(i, f"s{i % 3}", "some words to pack " * (i % 7)) for i in range(40)]
+    frame = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        pieces = packing.pack(frame, BYTES, width=64)
+        assert "SortMergeJoin" not in pieces._jdf.queryExecution().executedPlan().toString()
+        few = sum(r.length for r in pieces.collect())
+        monkeypatch.setattr(packing, "BROADCAST_ROWS", 0)
+        dealt = sum(r.length for r in packing.pack(frame, BYTES, width=64).collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert few == dealt > 0
